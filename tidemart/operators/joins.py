@@ -1,0 +1,24 @@
+"""Join helpers: a lookup join that broadcasts only a side of checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# A lookup side is broadcast only below this many rows; above it the join is
+# left to the planner (sort-merge, or a runtime broadcast chosen by AQE from
+# measured sizes).
+LOOKUP_BROADCAST_MAX_ROWS = 100_000
+
+
+def bounded_rows(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (stops reading early)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def lookup_join(left: DataFrame, lookup: DataFrame, on: Column | str | list,
+                how: str = "left", max_rows: int = LOOKUP_BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join a (usually small) lookup table; broadcast it only if proven small."""
+    if bounded_rows(lookup, max_rows):
+        lookup = F.broadcast(lookup)
+    return left.join(lookup, on, how)
