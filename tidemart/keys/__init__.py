@@ -13,7 +13,7 @@ from collections.abc import Callable
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
 
-_MODULES = ("sources", "primitives", "models", "quality", "reports", "churn")
+_MODULES = ("sources", "models", "quality", "reports", "churn", "primitives")
 
 
 def register(name: str, oracle: str | None = None):

@@ -311,7 +311,7 @@ cte("standin_risk_edges", """
 SELECT t.p, lo.v + (hi.v - lo.v) * t.frac AS q
 FROM (SELECT p, floor((n - 1) * p) + 1 AS lo_rn, ceil((n - 1) * p) + 1 AS hi_rn,
              (n - 1) * p - floor((n - 1) * p) AS frac
-      FROM (SELECT count(*) AS n FROM standin) c, (SELECT unnest([0.33, 0.66]) AS p) ps) t
+      FROM (SELECT count(*) AS n FROM standin) c, (SELECT unnest([0.33, 0.66]::DOUBLE[]) AS p) ps) t
 JOIN (SELECT score AS v, row_number() OVER (ORDER BY score, customer_id) AS rn FROM standin) lo
   ON lo.rn = t.lo_rn
 JOIN (SELECT score AS v, row_number() OVER (ORDER BY score, customer_id) AS rn FROM standin) hi

@@ -48,7 +48,7 @@ SELECT t.p, lo.v + (hi.v - lo.v) * t.frac AS q
 FROM (SELECT p, floor((n - 1) * p) + 1 AS lo_rn, ceil((n - 1) * p) + 1 AS hi_rn,
              (n - 1) * p - floor((n - 1) * p) AS frac
       FROM (SELECT DISTINCT n FROM {name}_ranked) s,
-           (SELECT unnest([0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS p) ps) t
+           (SELECT unnest([0.0, 0.2, 0.4, 0.6, 0.8, 1.0]::DOUBLE[]) AS p) ps) t
 JOIN {name}_ranked lo ON lo.rn = t.lo_rn
 JOIN {name}_ranked hi ON hi.rn = t.hi_rn
 """)
