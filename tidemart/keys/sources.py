@@ -118,3 +118,10 @@ def table_materialise(spark, sf_dir):
         t = files.materialise(w.model(m), path)
         parts.append(t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(m).alias("model"), "rows"))
     return reduce(DataFrame.unionByName, parts)
+
+
+@register("refresh_all")
+def refresh_all(spark, sf_dir):
+    from ..plans.refresh import refresh_all as run
+    return run(spark, _landing(spark, sf_dir),
+               work_path(spark, "warehouse", _tag(sf_dir), "batch"))

@@ -132,3 +132,18 @@ def view(df: DataFrame, name: str) -> DataFrame:
     """Register a model as a (session) view and read it back by name."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+class ParquetRaw:
+    """Raw tables read back from the raw database folder (one Parquet table each)."""
+
+    def __init__(self, spark: SparkSession, raw_dir: str):
+        self.spark, self.raw_dir = spark, raw_dir.rstrip("/")
+
+    def get(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.raw_dir}/{name}")
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in FILE_TABLE_MAP.values():
+            return self.get(name)
+        raise AttributeError(name)

@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The source project is a daily full-refresh batch; it has no streams,
+watermarks, windows over event time or incremental models, so nothing is
+built here. The batch entry point is ``tidemart.plans.refresh.refresh_all``.
+"""
