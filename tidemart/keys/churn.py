@@ -25,8 +25,10 @@ STANDIN_SCALE = 100000.0
 
 
 def dataset(spark, sf_dir) -> DataFrame:
+    """Features + labels, one row per customer, written once to the checkpoint
+    folder: the ML steps read it several times (indexer fit, split, medians)."""
     w = Warehouse(spark, sf_dir)
-    return C.ml_dataset(w.mart_customer_features, w.mart_churn_labels)
+    return C.ml_dataset(w.mart_customer_features, w.mart_churn_labels).checkpoint(eager=True)
 
 
 def standin_score(ds: DataFrame) -> DataFrame:
@@ -36,7 +38,7 @@ def standin_score(ds: DataFrame) -> DataFrame:
 
 
 def standin(spark, sf_dir) -> DataFrame:
-    return standin_score(dataset(spark, sf_dir))
+    return standin_score(dataset(spark, sf_dir)).checkpoint(eager=True)
 
 
 cte("ml_dataset", """

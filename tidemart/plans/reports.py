@@ -58,11 +58,20 @@ def rfm_base(base: DataFrame, key: str = "customer_id") -> DataFrame:
     )
 
 
-def value_quintile(df: DataFrame, col: str, reverse: bool = False,
-                   tie_cols: tuple = ()) -> Column:
+def quintile_edges(df: DataFrame, cols: list[str], key: str) -> DataFrame:
+    """Quintile edges (p = 0, .2, ..., 1) of several columns in one ordered pass:
+    the columns are stacked as (metric, value) and ranked within metric."""
+    long = df.select(key, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
+        for c in cols])).alias("r")).select(key, "r.*")
+    return exact_quantiles(long, "value", QUINTILE_PROBS, group_cols=["metric"],
+                           tie_cols=(key,))
+
+
+def value_quintile(edges_df: DataFrame, col: str, reverse: bool = False) -> Column:
     """Quintile bin of a value (pandas ``qcut(x, 5)``), 5..1 when reversed."""
-    edges_df = exact_quantiles(df, col, QUINTILE_PROBS, tie_cols=tie_cols)
-    edges = [quantile_scalar(edges_df, p) for p in QUINTILE_PROBS]
+    e = edges_df.filter(F.col("metric") == col)
+    edges = [quantile_scalar(e, p) for p in QUINTILE_PROBS]
     labels = [5, 4, 3, 2, 1] if reverse else [1, 2, 3, 4, 5]
     return edge_bins(F.col(col).cast("double"), edges, labels)
 
@@ -81,8 +90,9 @@ def rfm_scores(base: DataFrame, key: str = "customer_id") -> DataFrame:
     # one row per customer, read by three ordered passes below: write it once
     # to the checkpoint folder instead of recomputing the order pipeline
     rfm = rfm_base(base, key).checkpoint(eager=True)
-    r_score = value_quintile(rfm, "recency", reverse=True, tie_cols=(key,))
-    m_score = value_quintile(rfm, "monetary", tie_cols=(key,))
+    edges = quintile_edges(rfm, ["recency", "monetary"], key).checkpoint(eager=True)
+    r_score = value_quintile(edges, "recency", reverse=True)
+    m_score = value_quintile(edges, "monetary")
     # rank(method='first') on frequency: ties in key order
     ranked = row_numbers(rfm, ["frequency", key], out="_frank")
     n = rfm.agg(F.count(F.lit(1))).scalar()
