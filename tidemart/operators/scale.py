@@ -92,9 +92,12 @@ def range_pass(df: DataFrame, order: Sequence, *, group_cols: Sequence[str] = ()
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(g) for g in group_cols] + [_col(c) for c in order]
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # without an explicit count AQE may merge small contiguous ranges (order is
+    # kept); the checkpoint below fixes the partition ids the offsets refer to
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    ranged = ranged.sortWithinPartitions(*keys)
     fields = list(df.schema.fields) + [T.StructField(PID, T.IntegerType(), False),
                                        T.StructField(LRN, T.LongType(), False)]
     for w in weight_cols:

@@ -51,13 +51,13 @@ def _days(n: Column) -> Column:
 def spread(df: DataFrame) -> DataFrame:
     """Give a scan at least the cluster's default parallelism.
 
-    A file with one row group is read by one task, and every narrow step after
-    it (the text formatting of the fixture mapping) runs there too. Only then
-    is the scan spread round-robin; a scan of many files is left as it is, so
-    on a large input this adds no shuffle.
+    A table stored as a few files (one row group each here) is read by a few
+    tasks, and every narrow step after it (the text formatting of the fixture
+    mapping) runs there too. Only then is the scan spread round-robin; a table
+    of many files is left as it is, so on a large input this adds no shuffle.
     """
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if len(df.inputFiles()) < target:
         return df.repartition(target)
     return df
 
