@@ -202,3 +202,31 @@ def test_staging_spelling_fixed(spark):
     s = staging.stg_products(raw)
     assert s.columns[2:4] == ["name_length", "description_length"]
     assert s.first()["weight_g"] == Decimal("1.50")
+
+
+def test_suite_statuses(spark):
+    from tidemart.plans.quality import suite
+    from tidemart.schemas import RAW_COLUMNS
+
+    def raw(name, rows):
+        return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RAW_COLUMNS[name]))
+
+    orders = raw("orders", [("o1", "c1", "delivered", "2020-01-01 00:00:00", None, None, None, None),
+                            ("o1", "c1", "delivered", "2020-01-01 00:00:00", None, None, None, None)])
+    items = raw("order_items", [("o2", "1", "p", "s", None, "1.00", "1.00")])
+    geo = raw("geolocation", [("00001", "1", "1", "x", "S"), ("00001", "1", "1", "x", "S")])
+    others = {n: raw(n, []) for n in RAW_COLUMNS if n not in ("orders", "order_items", "geolocation")}
+    raws = {"orders": orders, "order_items": items, "geolocation": geo, **others}
+    key_df = spark.createDataFrame([("a",)], "k string")
+    models = {m: key_df for m in ("stg_orders", "stg_customers", "stg_order_items",
+                                  "stg_order_payments", "stg_order_reviews", "fct_orders",
+                                  "dim_customers", "dim_products")}
+    models = {m: key_df.select(*[F.col("k").alias(c) for c in
+                                 ("order_id", "customer_id", "product_id", "payment_value",
+                                  "review_id", "review_score")]) for m in models}
+    st = {r["test"]: r["status"] for r in suite(models, raws).collect()
+          if r["model"].startswith("raw")}
+    assert st["orders_duplicate_check"] == "fail"
+    assert st["orphan_order_items"] == "fail"
+    assert st["geolocation_duplicate_check"] == "warn"
+    assert st["row_counts"] == "fail"   # empty raw tables

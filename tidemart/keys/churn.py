@@ -423,8 +423,11 @@ def ml_feature_importance(spark, sf_dir):
     model, _, _ = trained(spark, sf_dir, "final")
     prep = trained(spark, sf_dir, "prep")
     imp = model.featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(prep.features, [float(x) for x in imp])),
-                                 "feature string, importance double")
+    trees = spark.createDataFrame(list(zip(prep.features, [float(x) for x in imp])),
+                                  "feature string, importance double")
+    linear = C.linear_contributions(trained(spark, sf_dir, "logreg"), prep.test, prep.features)
+    return (trees.withColumn("model", F.lit("boosted_trees"))
+                 .unionByName(linear.withColumn("model", F.lit("logistic_regression"))))
 
 
 def _score_all(spark, sf_dir) -> DataFrame:

@@ -198,10 +198,17 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
                .withColumn("_lo", F.floor("_h").cast("long") + 1)
                .withColumn("_hi", F.ceil("_h").cast("long") + 1)
                .withColumn("_frac", F.col("_h") - F.floor("_h")))
-    lo = ranked.select(*group_cols, F.col("_rn").alias("_lo"), F.col("_v").alias("_vlo"))
-    hi = ranked.select(*group_cols, F.col("_rn").alias("_hi"), F.col("_v").alias("_vhi"))
-    # targets: (#groups x #probs) rows; the joins fetch 2 rows per target
-    res = targets.join(lo, [*group_cols, "_lo"]).join(hi, [*group_cols, "_hi"])
+    # the ranks to fetch: 2 per (group, p), so the broadcast is bounded by
+    # 2 x groups x probabilities rows; one join picks them out of the ranking
+    need = targets.select(*group_cols, "p", "_frac", F.explode(F.array(
+        F.struct(F.col("_lo").alias("_rn"), F.lit(True).alias("_is_lo")),
+        F.struct(F.col("_hi").alias("_rn"), F.lit(False).alias("_is_lo")))).alias("t")) \
+        .select(*group_cols, "p", "_frac", "t.*")
+    got = ranked.select(*group_cols, "_rn", "_v").join(F.broadcast(need), [*group_cols, "_rn"])
+    res = got.groupBy(*group_cols, "p").agg(
+        F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(~F.col("_is_lo"), F.col("_v"))).alias("_vhi"),
+        F.max("_frac").alias("_frac"))
     q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
     return res.select(*group_cols, "p", q.alias("q"))
 

@@ -286,3 +286,19 @@ def save_model(model, features: list[str], med: dict, threshold: float, path: st
 def load_model(path: str, spark) -> tuple[PipelineModel, DataFrame]:
     return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/metadata")
 
+
+
+def linear_contributions(model, df: DataFrame, features: list[str]) -> DataFrame:
+    """Mean |coef_j * (x_j - mean_j)| per feature over all rows of ``df``: the
+    exact per-feature contribution to the logit of a linear model. Two
+    aggregate passes (means, then contributions); no row leaves the cluster."""
+    coefs = model.coefficients.toArray().tolist()
+    x = vector_to_array(F.col("features"))
+    arr = df.select(x.alias("x"))
+    means = arr.agg(*[F.avg(F.col("x")[i]).alias(f"m{i}") for i in range(len(features))])
+    m = [means.select(f"m{i}").scalar() for i in range(len(features))]
+    contrib = arr.agg(*[F.avg(F.abs(F.lit(coefs[i]) * (F.col("x")[i] - m[i]))).alias(f"c{i}")
+                        for i in range(len(features))])
+    return contrib.select(F.explode(F.array(*[
+        F.struct(F.lit(f).alias("feature"), F.col(f"c{i}").alias("importance"))
+        for i, f in enumerate(features)])).alias("r")).select("r.*")
