@@ -230,3 +230,17 @@ def test_suite_statuses(spark):
     assert st["orphan_order_items"] == "fail"
     assert st["geolocation_duplicate_check"] == "warn"
     assert st["row_counts"] == "fail"   # empty raw tables
+
+
+def test_gap_lag_paths_agree_and_switch_on_hot_key(spark):
+    rows = [(f"o{i}", "hot" if i % 3 == 0 else f"c{i % 17}", "delivered",
+             T0 + timedelta(hours=7 * i), None, None, None, None) for i in range(300)]
+    fct = marts.fct_orders(_orders(spark, rows), spark.createDataFrame([], ITEMS),
+                           spark.createDataFrame([], PAYS))
+    cols = ["order_id", "purchase_gap_days"]
+    safe = marts.orders_with_gap(fct, hot_key_safe=True).select(*cols)
+    win = marts.orders_with_gap(fct, hot_key_safe=False).select(*cols)
+    assert sorted(safe.collect()) == sorted(win.collect())
+    assert marts.largest_group(fct, "customer_id") == 100
+    auto = marts.orders_with_gap(fct, max_window_rows=50)   # hot customer -> range path
+    assert sorted(auto.select(*cols).collect()) == sorted(win.collect())
