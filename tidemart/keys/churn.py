@@ -366,7 +366,7 @@ _TRAINED: dict = {}
 
 def trained(spark, sf_dir, part: str):
     """Train each piece once per (session, source) and share it across keys."""
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     st = _TRAINED.setdefault(key, {})
     if "prep" not in st:
         st["prep"] = C.prepare(dataset(spark, sf_dir))

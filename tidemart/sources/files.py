@@ -71,7 +71,7 @@ _LANDED: dict[tuple, str] = {}
 
 def landing_for(spark: SparkSession, sf_dir: str, raw: dict[str, DataFrame]) -> str:
     """Landing folder for one source, exported once per run."""
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _LANDED:
         _LANDED[key] = export_landing(spark, raw, work_path(spark, "landing", source_tag(sf_dir)))
     return _LANDED[key]
