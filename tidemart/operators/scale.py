@@ -24,7 +24,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,10 +37,6 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _names(cols) -> list[str]:
-    return [c for c in cols if isinstance(c, str)]
-
-
 def _local_pass(weight_cols: list[str], group_cols: list[str],
                 lags: list[tuple[str, str]]):
     """Per-partition function: row number, running sums and lag, with carry."""
@@ -217,10 +212,3 @@ def quantile_scalar(edges: DataFrame, p: float) -> Column:
     """One quantile of a group-less ``exact_quantiles`` result as a scalar subquery."""
     return edges.filter(F.col("p") == F.lit(float(p))).select("q").scalar()
 
-
-def to_pandas_small(df: DataFrame, limit: int) -> pd.DataFrame:
-    """Collect a frame that is bounded by construction, checking the bound."""
-    rows = df.limit(limit + 1).toPandas()
-    if len(rows) > limit:
-        raise ValueError(f"expected at most {limit} rows")
-    return rows
