@@ -160,8 +160,10 @@ def row_numbers(df: DataFrame, order: Sequence, *, group_cols: Sequence[str] = (
         base_aggs = [F.min(out).alias("_g_first")]
         base_aggs += [F.min(F.col("cum_" + w) - F.coalesce(F.col(w), F.lit(0)))
                       .alias("_g_base_" + w) for w in weight_cols]
+        # one row per group: restart is meant for few, large groups (class
+        # labels, metric names); many small groups want a plain window instead
         base = res.groupBy(*group_cols).agg(*base_aggs)
-        res = res.join(base, group_cols)
+        res = res.join(F.broadcast(base), group_cols)
         res = res.withColumn(out, F.col(out) - F.col("_g_first") + 1)
         for w in weight_cols:
             res = res.withColumn("cum_" + w, F.col("cum_" + w) - F.col("_g_base_" + w))
