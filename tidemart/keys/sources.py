@@ -120,7 +120,20 @@ def table_materialise(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
-@register("refresh_all")
+def _refresh_sql() -> str:
+    from .quality import _SUITE_SQL
+    from ..plans.refresh import MART_ORDER
+    load = " UNION ALL ".join(
+        f"SELECT 'load' AS step, '{t}' AS name, 'loaded' AS status, count(*) AS rows FROM raw_{t}"
+        for t in FILE_TABLE_MAP.values())
+    built = " UNION ALL ".join(
+        f"SELECT 'model', '{m}', 'built', count(*) FROM {m}" for m in MART_ORDER)
+    checks = (f"SELECT 'check', concat_ws('.', test, model, column_name), status, failures "
+              f"FROM ({_SUITE_SQL}) s")
+    return sql(f"{load} UNION ALL {built} UNION ALL {checks}")
+
+
+@register("refresh_all", _refresh_sql())
 def refresh_all(spark, sf_dir):
     from ..plans.refresh import refresh_all as run
     return run(spark, _landing(spark, sf_dir),
