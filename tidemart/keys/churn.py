@@ -1,11 +1,11 @@
-"""Keys for the churn model and the batch job.
+"""Keys for the churn model.
 
 Metric keys are exact and engine-independent, so they are checked against
 DuckDB on a fixed stand-in score (``standin_score``: a rational function of
 monetary value, in (0, 1)). The training keys (logistic baseline, boosted
 trees, weight search, early stopping, importances, scoring, model save/load
-the score table and the batch) are rows-only: their numbers depend on the
-optimiser. Models are trained once per (session, source) and shared.
+and the score table) are rows-only: their numbers depend on the optimiser.
+Models are trained once per (session, source) and shared.
 """
 
 from __future__ import annotations
