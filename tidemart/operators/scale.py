@@ -214,3 +214,12 @@ def quantile_scalar(edges: DataFrame, p: float) -> Column:
     """One quantile of a group-less ``exact_quantiles`` result as a scalar subquery."""
     return edges.filter(F.col("p") == F.lit(float(p))).select("q").scalar()
 
+
+def quantile_scalars(edges: DataFrame, probs: Sequence[float]) -> list[Column]:
+    """All quantiles of a group-less ``exact_quantiles`` result from a single
+    struct-valued scalar subquery (one small job instead of one per edge)."""
+    row = edges.agg(*[F.max(F.when(F.col("p") == F.lit(float(p)), F.col("q"))).alias(f"q{i}")
+                      for i, p in enumerate(probs)])
+    sub = row.select(F.struct(*[f"q{i}" for i in range(len(probs))]).alias("s")).scalar()
+    return [sub[f"q{i}"] for i in range(len(probs))]
+

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bins import edge_bins
-from ..operators.scale import exact_quantiles, quantile_scalar, row_numbers
+from ..operators.scale import exact_quantiles, quantile_scalars, row_numbers
 from . import metrics as M
 
 LABEL = "is_churned"
@@ -260,8 +260,7 @@ def risk_segments(scores: DataFrame, prob: str = "churn_probability") -> DataFra
     """Low / Medium / High by the 33rd and 66th percentile (right-closed bins
     [0, p33], (p33, p66], (p66, 1]) and the action for each segment."""
     q = exact_quantiles(scores, prob, RISK_PROBS, tie_cols=(KEY,))
-    edges = [F.lit(0.0), quantile_scalar(q, RISK_PROBS[0]), quantile_scalar(q, RISK_PROBS[1]),
-             F.lit(1.0)]
+    edges = [F.lit(0.0), *quantile_scalars(q, RISK_PROBS), F.lit(1.0)]
     seg = edge_bins(F.col(prob), edges, RISK_LABELS)
     act = F.create_map(*[x for k, v in RISK_ACTIONS.items() for x in (F.lit(k), F.lit(v))])
     return scores.withColumn("risk_segment", seg) \

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.bins import edge_bins, fixed_bins, rank_quintile
 from ..functions.temporal import add_days, elapsed_days, month_text
-from ..operators.scale import exact_quantiles, quantile_scalar, row_numbers
+from ..operators.scale import exact_quantiles, quantile_scalars, row_numbers
 from .marts import MONEY_SUM, mean
 
 # Delivery-time buckets (days, right-closed) and their labels.
@@ -71,7 +71,7 @@ def quintile_edges(df: DataFrame, cols: list[str], key: str) -> DataFrame:
 def value_quintile(edges_df: DataFrame, col: str, reverse: bool = False) -> Column:
     """Quintile bin of a value (pandas ``qcut(x, 5)``), 5..1 when reversed."""
     e = edges_df.filter(F.col("metric") == col)
-    edges = [quantile_scalar(e, p) for p in QUINTILE_PROBS]
+    edges = quantile_scalars(e, QUINTILE_PROBS)
     labels = [5, 4, 3, 2, 1] if reverse else [1, 2, 3, 4, 5]
     return edge_bins(F.col(col).cast("double"), edges, labels)
 
