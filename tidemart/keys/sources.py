@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..catalog import Warehouse
 from ..oracle import sql
-from ..plans import reports as R
 from ..schemas import FILE_TABLE_MAP
 from ..session import work_path
 from ..sources import files
