@@ -244,3 +244,11 @@ def test_gap_lag_paths_agree_and_switch_on_hot_key(spark):
     assert marts.largest_group(fct, "customer_id") == 100
     auto = marts.orders_with_gap(fct, max_window_rows=50)   # hot customer -> range path
     assert sorted(auto.select(*cols).collect()) == sorted(win.collect())
+
+
+def test_largest_group_probe_sampled(spark):
+    df = spark.range(0, 200000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"))
+    exact = marts.largest_group(df, "k")
+    est = marts.largest_group(df, "k", probe_rows=20000)   # ~10% sample
+    assert exact == 66667 and abs(est - exact) / exact < 0.1

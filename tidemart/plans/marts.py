@@ -112,9 +112,19 @@ def ref_date(orders: DataFrame) -> Column:
 WINDOW_GROUP_MAX_ROWS = 1_000_000
 
 
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows in the largest group (partial aggregation, then a one-row max)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+PROBE_ROWS = 10_000_000
+
+
+def largest_group(df: DataFrame, key: str, probe_rows: int = PROBE_ROWS) -> int:
+    """Rows in the largest group, for choosing a strategy (results never depend
+    on it). Exact up to ``probe_rows`` rows; above that it is estimated from a
+    seeded sample of about ``probe_rows`` rows, so the probe shuffles a bounded
+    number of keys however large the input is."""
+    n = df.count()
+    frac = min(1.0, probe_rows / n) if n else 1.0
+    src = df if frac >= 1.0 else df.sample(fraction=frac, seed=17)
+    top = src.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
+    return int(round(top / frac))
 
 
 def orders_with_gap(fct: DataFrame, *, hot_key_safe: bool | None = None,
