@@ -16,6 +16,11 @@ same work with one range shuffle:
    count we chose) gives each partition its offset and the last row of the
    partition before it; it is broadcast and joined on the partition id.
 
+Why an Arrow pass and not a window: a window partitioned by the partition id
+would make Spark re-shuffle every row to satisfy that distribution (a second
+full shuffle); the Arrow pass runs on each range partition where it already
+is, vectorised with pandas, and carries running state across batches.
+
 The plain-window form of each operator is the test oracle (tests/test_scale.py).
 """
 
