@@ -60,3 +60,14 @@ def test_entry_runs(spark):
     from __spark_entry__ import entry
     df = entry(spark)
     assert df.count() > 0 and df.columns == ["month", "revenue", "orders"]
+
+
+def test_registry_equals_survey_inventory():
+    import importlib.util
+    from pathlib import Path
+    spec = importlib.util.spec_from_file_location(
+        "keys_table", Path(__file__).resolve().parents[1] / "scripts" / "keys_table.py")
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    from __spark_entry__ import queries
+    assert set(mod.survey_keys()) == set(queries())
