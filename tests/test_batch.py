@@ -9,3 +9,18 @@ def test_batch_runs_clean(spark, tmp_path):
     assert fct.count() == 1500
     checks = spark.read.parquet(str(tmp_path / "batch" / "checks"))
     assert checks.filter("status = 'fail'").count() == 0 and checks.count() == 22
+
+
+def test_missing_landing_file_is_skipped(spark, tmp_path):
+    from tidemart.sources.files import multi_file_load
+    landing = tmp_path / "landing"
+    (landing / "sellers.csv").mkdir(parents=True)
+    (landing / "sellers.csv" / "part-0.csv").write_text(
+        "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,00001,X,NA\n")
+    rep = {r["table_name"]: r for r in multi_file_load(
+        spark, str(landing), str(tmp_path / "raw"),
+        {"sellers.csv": "sellers", "orders.csv": "orders"}).collect()}
+    assert rep["orders"]["status"] == "skipped" and rep["orders"]["rows"] == 0
+    assert rep["sellers"]["status"] == "loaded" and rep["sellers"]["rows"] == 1
+    # pandas-style NA marker became NULL on load
+    assert spark.read.parquet(str(tmp_path / "raw" / "sellers")).first()["seller_state"] is None

@@ -9,6 +9,7 @@ Layout under the shared work folder (``session.work_path``):
 from __future__ import annotations
 
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,22 +95,27 @@ def load_report_row(spark: SparkSession, table: str, fname: str, status: str,
 
 
 def multi_file_load(spark: SparkSession, landing_dir: str, raw_dir: str,
-                    file_map: dict[str, str] = FILE_TABLE_MAP) -> DataFrame:
+                    file_map: dict[str, str] = FILE_TABLE_MAP,
+                    parallelism: int = 4) -> DataFrame:
     """Load every mapped landing file into its raw table; skip missing files.
 
     Returns the load report (table_name, file_name, status, rows); the total
     is a ``sum(rows)`` over it.
     """
-    parts = []
-    for fname, table in file_map.items():
+    def load(item):
+        fname, table = item
         try:
             df = read_csv_text(spark, f"{landing_dir}/{fname}", table)
         except AnalysisException:
-            parts.append(load_report_row(spark, table, fname, "skipped", None))
-            continue
+            return load_report_row(spark, table, fname, "skipped", None)
         path = f"{raw_dir}/{table}"
         df.write.mode("overwrite").parquet(path)
-        parts.append(load_report_row(spark, table, fname, "loaded", path))
+        return load_report_row(spark, table, fname, "loaded", path)
+
+    # the loads are independent write jobs: submit them concurrently so small
+    # tables do not leave the cluster idle behind one large one
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(file_map))) as ex:
+        parts = list(ex.map(load, file_map.items()))
     return reduce(DataFrame.unionByName, parts)
 
 
