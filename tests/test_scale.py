@@ -54,3 +54,20 @@ def test_exact_quantiles_match_numpy(spark):
     for (g, p), q in got.set_index(["g", "p"])["q"].items():
         assert abs(q - pdf[pdf.g == g].v.quantile(p)) < 1e-9
     assert len(got) == pdf.g.nunique() * len(probs)
+
+
+def test_approx_quantiles_close_to_exact(spark):
+    import math
+    from tidemart.operators.scale import approx_quantiles
+    df = _skewed(spark)
+    probs = [0.2, 0.5, 0.8]
+    ap = {(r["g"], r["p"]): r["q"] for r in
+          approx_quantiles(df, "v", probs, group_cols=["g"]).collect()}
+    pdf = df.toPandas()
+    assert len(ap) == pdf.g.nunique() * len(probs)
+    for (g, p), q in ap.items():
+        x = sorted(pdf[pdf.g == g].v)
+        h = (len(x) - 1) * p
+        # a data value within one position of the exact order statistics
+        lo, hi = max(0, math.floor(h) - 1), min(len(x) - 1, math.ceil(h) + 1)
+        assert x[lo] <= q <= x[hi], (g, p, q)

@@ -228,3 +228,18 @@ def quantile_scalars(edges: DataFrame, probs: Sequence[float]) -> list[Column]:
     sub = row.select(F.struct(*[f"q{i}" for i in range(len(probs))]).alias("s")).scalar()
     return [sub[f"q{i}"] for i in range(len(probs))]
 
+
+
+def approx_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
+                     group_cols: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:
+    """Quantiles from Spark's ``percentile_approx`` (a mergeable sketch per
+    group, relative rank error about 1/accuracy): one partial aggregation, no
+    ordered pass. Same output layout as ``exact_quantiles``; use it by option
+    when an exact rank is not required."""
+    group_cols = list(group_cols)
+    probs = [float(p) for p in probs]
+    v = F.col(value).cast("double")
+    agg = df.groupBy(*group_cols).agg(
+        F.percentile_approx(v, F.array(*[F.lit(p) for p in probs]), accuracy).alias("_qs"))
+    return agg.select(*group_cols, F.posexplode("_qs").alias("_i", "q")).select(
+        *group_cols, F.array(*[F.lit(p) for p in probs])[F.col("_i")].alias("p"), "q")
