@@ -7,8 +7,8 @@ import duckdb
 import pytest
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("region nation customer supplier part orders lineitem events").split()
-SKIP = {"ml_confusion_matrix"}  # covered at sf0.01 by scripts/oracle_check.py
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
 
 
 def _norm(v):
@@ -69,5 +69,6 @@ def test_registry_equals_survey_inventory():
         "keys_table", Path(__file__).resolve().parents[1] / "scripts" / "keys_table.py")
     mod = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(mod)
-    from __spark_entry__ import queries
-    assert set(mod.survey_keys()) == set(queries())
+    from tidemart import keys
+    keys.load_all()
+    assert set(mod.survey_keys()) == set(keys.QUERIES)

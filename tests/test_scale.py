@@ -71,3 +71,17 @@ def test_approx_quantiles_close_to_exact(spark):
         # a data value within one position of the exact order statistics
         lo, hi = max(0, math.floor(h) - 1), min(len(x) - 1, math.ceil(h) + 1)
         assert x[lo] <= q <= x[hi], (g, p, q)
+
+
+def test_positions_with_hot_leading_value_nulls_and_big_ints(spark):
+    from tidemart.operators.positions import with_positions
+    big = 2**60 + 1
+    rows = [(None if i % 7 == 0 else (1 if i % 3 else i), i, big if i % 5 else None, float("nan"))
+            for i in range(1000)]
+    df = spark.createDataFrame(rows, "a long, b long, c long, d double")
+    got = with_positions(df, ["a", "b"], num_partitions=7).orderBy("position").collect()
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    assert [r["position"] for r in got] == list(range(1000))
+    assert [(r["a"], r["b"], r["c"]) for r in got] == [w[:3] for w in want]
+    assert all(r["d"] != r["d"] for r in got)
+    assert with_positions(df.limit(0), ["a"]).count() == 0

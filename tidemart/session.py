@@ -3,7 +3,8 @@
 The library never assumes a machine-local folder on a cluster: every table it
 writes (landing CSVs, raw tables, marts, models, checkpoints) lives under the
 folder the cluster names in ``spark.checkpoint.dir``. Only when that setting is
-missing (a laptop, a unit test) do we create one under the system temp folder.
+missing (a laptop, a unit test) and the master is local do we create one under
+the system temp folder; on a cluster master the missing setting is an error.
 """
 
 from __future__ import annotations
@@ -61,6 +62,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = sc.master or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(
+                f"spark.checkpoint.dir is unset on master {master!r}: name a folder that the "
+                "driver and all executors share; a machine-local folder would lose tables")
         d = tempfile.mkdtemp(prefix="tidemart-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -72,7 +78,7 @@ _RUN_ID = uuid.uuid4().hex[:12]
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A path for written tables of this run, inside the shared folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    # the checkpoint folder Spark returns has a per-context uuid leaf; keep our
-    # tables next to it so one run's files stay together
+    # inside the per-context uuid leaf of the checkpoint folder Spark returns, so
+    # one run's files stay together
     return "/".join([base, "tidemart", _RUN_ID, *parts])
 
