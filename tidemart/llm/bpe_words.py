@@ -34,7 +34,7 @@ from ..session import work_path
 from .bpe import load_tokenizer, pieces, split_words
 from .common import write_and_reread
 
-CHUNK_BYTES = 32 << 20
+CHUNK_BYTES = 16 << 20
 WORD_BUCKETS = 1024
 CACHED_WORDS = 1_000_000      # of one bucket; beyond it a word may be encoded again
 WORDS_AT_ONCE = 500_000
@@ -51,6 +51,20 @@ def unpack(b: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").ravel()
 
 
+def pack_words(words: list[str]) -> bytes:
+    """Words one after the other, compressed, behind their packed sizes."""
+    raw = [w.encode() for w in words]
+    sizes = pack(np.fromiter(map(len, raw), np.uint32, len(raw)))
+    return len(sizes).to_bytes(4, "little") + sizes + zlib.compress(b"".join(raw), 6)
+
+
+def unpack_words(b: bytes) -> list[str]:
+    cut = 4 + int.from_bytes(b[:4], "little")
+    ends = np.cumsum(unpack(b[4:cut])).tolist()
+    raw = zlib.decompress(b[cut:])
+    return [raw[a:e].decode() for a, e in zip([0, *ends], ends)]
+
+
 def word_bucket(word: str, n: int) -> int:
     return zlib.crc32(word.encode()) % n
 
@@ -98,7 +112,7 @@ def _split(n_buckets: int, chunk_bytes: int, row_type: pa.DataType):
             of = np.array([word_bucket(w, n_buckets) for w in words], np.uint32)
             rows = pa.concat_arrays(chunk.rows) if chunk.rows else pa.array([], row_type)
             yield pa.RecordBatch.from_arrays([
-                pa.array([name]), pa.array([None], pa.int32()), pa.array([None], pa.list_(pa.string())),
+                pa.array([name]), pa.array([None], pa.int32()), pa.array([None], pa.binary()),
                 pa.array([pack(codes)]), pa.array([pack(of)]), pa.array([chunk.sizes], pa.list_(pa.int32())),
                 pa.ListArray.from_arrays(pa.array([0, len(rows)], pa.int32()), rows)], names=names)
             by = np.argsort(of, kind="stable")
@@ -108,7 +122,7 @@ def _split(n_buckets: int, chunk_bytes: int, row_type: pa.DataType):
                 part = groups[a:a + 64]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([name] * len(part)), pa.array([int(of[g[0]]) for g in part], pa.int32()),
-                    pa.array([[words[i] for i in g] for g in part], pa.list_(pa.string())),
+                    pa.array([pack_words([words[i] for i in g]) for g in part], pa.binary()),
                     *[pa.nulls(len(part), t) for t in (pa.binary(), pa.binary(), pa.list_(pa.int32()),
                                                        pa.list_(row_type))]], names=names)
 
@@ -144,7 +158,7 @@ def _encode(path: str, cached_words: int):
             for bucket, words in zip(b.column(1).to_pylist(), b.column(2)):
                 if bucket != current or len(known) > cached_words:
                     known, current = {}, bucket
-                words = words.as_py()
+                words = unpack_words(words.as_py())
                 new = [w for w in words if w not in known]
                 for w, e in zip(new, tok.encode_batch(new, add_special_tokens=False)):
                     known[w] = np.array(e.ids, np.uint32)
@@ -212,7 +226,7 @@ def encode(docs: DataFrame, tokenizer: str, *, text: str = "text", keep: list[st
     arrow_row = to_arrow_type(row_type)
     schema = T.StructType([
         T.StructField("chunk", T.StringType()), T.StructField("bucket", T.IntegerType()),
-        T.StructField("words", T.ArrayType(T.StringType())), T.StructField("codes", T.BinaryType()),
+        T.StructField("words", T.BinaryType()), T.StructField("codes", T.BinaryType()),
         T.StructField("buckets", T.BinaryType()), T.StructField("sizes", T.ArrayType(T.IntegerType())),
         T.StructField("rows", T.ArrayType(row_type))])
     # one pass over the text writes both kinds, bucketed by chunk
