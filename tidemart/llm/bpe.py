@@ -14,17 +14,17 @@ from functools import lru_cache
 
 #: A space between two characters that no definition of white space includes.
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
+#: White space other than the space and the line feed.
+_ODD_SPACE = re.compile(r"[^\S \n]")
 
 
 def split_words(text: str) -> list[str]:
     """Words of a text: joined by one space they give the text. All but the
     first are encoded with that space in front."""
-    words = text.split(" ")
-    # only plain words: no empty one (spaces in a row), none that begins or
-    # ends in white space (then a neighbour's white space could join it)
-    if "" not in words and not any(w[0].isspace() or w[-1].isspace() for w in words):
-        return words
-    return _BREAK.split(text)
+    # every space is a break where none has white space beside it
+    if ("  " in text or " \n" in text or "\n " in text or _ODD_SPACE.search(text)):
+        return _BREAK.split(text)
+    return text.split(" ")
 
 
 @lru_cache(maxsize=4)

@@ -16,6 +16,8 @@ keep one entry each; an empty table gives no rows and no files.
 from __future__ import annotations
 
 import struct
+from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from .common import write_and_reread
 MAGIC = b"TPK1"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 24
-CACHED_WORDS = 500_000
+CACHED_WORDS = 2_000_000
 END_ID = 0
 # fixed layout: bits per id, ids per block, ids, documents, place of the
 # document table, place of the block offsets, magic
@@ -143,26 +145,45 @@ class Reader:
         return self.ids(int(self.starts[k]), int(self.starts[k + 1]))
 
 
+class _SpacedWords(dict):
+    """Ids (as bytes) of words with a space in front, encoded when first met.
+    Bounded: the words met since the last turn, and those of the turn before."""
+
+    def __init__(self, tok, most: int):
+        super().__init__()
+        self.tok, self.most, self.before = tok, most, {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.before.get(word)
+        if ids is None:
+            ids = array("I", self.tok.encode(" " + word, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+    def turn(self) -> None:
+        if len(self) > self.most // 2:
+            self.before = dict(self)
+            self.clear()
+
+
+@lru_cache(maxsize=1)
+def _spaced_words(path: str, most: int) -> _SpacedWords:
+    """Kept from task to task of a Python worker."""
+    return _SpacedWords(load_tokenizer(path), most)
+
+
 class WordCache:
-    """Ids of words met before in this task, as bytes; bounded."""
+    """Encodes whole texts, looking up the words met before in this worker."""
 
     def __init__(self, path: str, most: int = CACHED_WORDS):
-        self.tok, self.most, self.known = load_tokenizer(path), most, {}
+        self.tok, self.words = load_tokenizer(path), _spaced_words(path, most)
 
     def encode(self, text: str) -> np.ndarray:
-        if not text:
-            return np.empty(0, np.uint32)
         words = split_words(text)
-        words = words[:1] + [" " + w for w in words[1:]]
-        known = self.known
-        new = list({w for w in words if w not in known})
-        if new:
-            if len(known) + len(new) > self.most:
-                known.clear()
-                new = list(set(words))
-            for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-        return np.frombuffer(b"".join([known[w] for w in words]), "<u4")
+        first = array("I", self.tok.encode(words[0], add_special_tokens=False).ids).tobytes()
+        ids = first + b"".join(map(self.words.__getitem__, words[1:]))
+        self.words.turn()
+        return np.frombuffer(ids, np.uint32)
 
 
 def write_token_files(docs: DataFrame, tokenizer: str, folder: str, *, doc_id: str = "doc_id",
