@@ -64,8 +64,8 @@ def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document (operator 3): doc_id, lang, source, n_tokens,
     ids (little-endian unsigned 32-bit) and the digest of the decoded text."""
     path = default_tokenizer_path()
-    ids = bpe_words.encode(docs, path, keep=["doc_id", "lang", "source"])
-    back = bpe_words.decode(ids, bpe_words.piece_table(spark, path))
+    back = bpe_words.encode(docs, path, keep=["doc_id", "lang", "source"],
+                            piece_rows=bpe_words.piece_table(spark, path))
     return back.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
                        "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -40,6 +40,9 @@ def test_word_table_round_trip(spark, chunk_bytes, buckets):
     for r in got:
         assert np.frombuffer(r["ids"], "<u4").tolist() == whole(r["text"])
         assert r["decoded"] == (r["text"] or "")
+    both = bpe_words.encode(df, PATH, keep=["doc_id", "text"], chunk_bytes=chunk_bytes, n_buckets=buckets,
+                            piece_rows=bpe_words.piece_table(spark, PATH))
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, got))
 
 
 def test_word_table_awkward_and_empty(spark):

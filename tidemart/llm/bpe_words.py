@@ -9,7 +9,8 @@
    vectorised gather per chunk. The places are bucketed by chunk when written,
    so only the small word lists are shuffled, never text or places.
 4. ``decode``: ids are joined to the id-to-piece table. It has one row per
-   vocabulary entry, so it is broadcast (size checked) and joined in arrays.
+   vocabulary entry, so it is broadcast (size checked) and joined in arrays;
+   ``encode`` does this in the pass of step 3 where the text is wanted at once.
 
 A frequent word is one row per chunk at most, so no word makes a hot task.
 
@@ -37,7 +38,7 @@ from .common import write_and_reread
 CHUNK_BYTES = 16 << 20
 WORD_BUCKETS = 1024
 CACHED_WORDS = 1_000_000      # of one bucket; beyond it a word may be encoded again
-WORDS_AT_ONCE = 500_000
+WORDS_AT_ONCE = 100_000
 MAX_VOCABULARY = 2_000_000    # of the broadcast id-to-piece table
 
 
@@ -171,10 +172,12 @@ def _encode(path: str, cached_words: int):
     return run
 
 
-def _gather(row_type: pa.DataType):
-    """Chunks with their word lists' ids to one row per document."""
+def _gather(table):
+    """Chunks with their word lists' ids to one row per document; with the text
+    back from the ids where there is a broadcast id-to-piece ``table``."""
 
     def run(batches):
+        piece = table and table.value
         for b in batches:
             for k in range(b.num_rows):
                 codes, of = unpack(b.column(0)[k].as_py()), unpack(b.column(1)[k].as_py())
@@ -203,21 +206,24 @@ def _gather(row_type: pa.DataType):
                     at = np.arange(int(total[-1]) if len(total) else 0) + np.repeat(begin[w] - total + n_ids, n_ids)
                     flat = ids[at].astype("<u4")
                     bounds = np.concatenate([[0], total])[ends[docs] - lo]
-                    offsets = np.concatenate([[0], bounds]) * 4
-                    yield pa.RecordBatch.from_arrays([
-                        rows.slice(a, len(bounds)),
-                        pa.Array.from_buffers(pa.binary(), len(bounds), [
-                            None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(flat)])],
-                        names=["row", "ids"])
+                    offsets = np.concatenate([[0], bounds])
+                    out = [rows.slice(a, len(bounds)), pa.Array.from_buffers(pa.binary(), len(bounds), [
+                        None, pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(flat)])]
+                    if piece is not None:
+                        out.append(pa.array([decode_ids(piece, flat[x:y]) for x, y in
+                                             zip(offsets.tolist(), offsets[1:].tolist())], pa.string()))
+                    yield pa.RecordBatch.from_arrays(out, names=["row", "ids", "decoded"][:len(out)])
                     a = docs.stop
 
     return run
 
 
 def encode(docs: DataFrame, tokenizer: str, *, text: str = "text", keep: list[str],
-           chunk_bytes: int = CHUNK_BYTES, n_buckets: int = WORD_BUCKETS) -> DataFrame:
+           piece_rows: DataFrame | None = None, chunk_bytes: int = CHUNK_BYTES,
+           n_buckets: int = WORD_BUCKETS) -> DataFrame:
     """The columns ``keep`` and ``ids`` (little-endian unsigned 32-bit integers)
-    of every row of ``docs``. ``tokenizer``: a file all executors can read."""
+    of every row of ``docs``, and with ``piece_rows`` also ``decoded``, as
+    ``decode`` gives it. ``tokenizer``: a file all executors can read."""
     from pyspark.sql.pandas.types import to_arrow_type
 
     spark = docs.sparkSession
@@ -242,8 +248,10 @@ def encode(docs: DataFrame, tokenizer: str, *, text: str = "text", keep: list[st
     lists = encoded.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "ids")).alias("lists"))
     joined = chunks.filter("bucket is null").select("chunk", "codes", "buckets", "sizes", "rows").join(
         lists, "chunk", "left").select("codes", "buckets", "sizes", "rows", "lists")
-    out = T.StructType([T.StructField("row", row_type), T.StructField("ids", T.BinaryType())])
-    return joined.mapInArrow(_gather(arrow_row), out).select("row.*", "ids")
+    table = None if piece_rows is None else _broadcast_pieces(piece_rows)
+    out = [T.StructField("row", row_type), T.StructField("ids", T.BinaryType())]
+    out += [T.StructField("decoded", T.StringType())] if table else []
+    return joined.mapInArrow(_gather(table), T.StructType(out)).select("row.*", *[f.name for f in out[1:]])
 
 
 def piece_table(spark: SparkSession, tokenizer: str) -> DataFrame:
@@ -251,21 +259,28 @@ def piece_table(spark: SparkSession, tokenizer: str) -> DataFrame:
     return spark.createDataFrame(pieces(tokenizer), "id int, piece binary")
 
 
-def decode(encoded: DataFrame, piece_rows: DataFrame, *, ids: str = "ids") -> DataFrame:
-    """``encoded`` plus ``decoded``: the pieces of the ids in order, as UTF-8
-    (bytes that are no UTF-8 become U+FFFD). An unknown id is an error."""
+def _broadcast_pieces(piece_rows: DataFrame):
     rows = piece_rows.limit(MAX_VOCABULARY + 1).collect()
     if len(rows) > MAX_VOCABULARY:
         raise ValueError(f"the id-to-piece table has over {MAX_VOCABULARY} rows")
-    table = encoded.sparkSession.sparkContext.broadcast({r["id"]: bytes(r["piece"]) for r in rows})
+    return piece_rows.sparkSession.sparkContext.broadcast({r["id"]: bytes(r["piece"]) for r in rows})
+
+
+def decode_ids(pieces_by_id: dict[int, bytes], ids: np.ndarray) -> str:
+    return b"".join(map(pieces_by_id.__getitem__, ids.tolist())).decode("utf-8", "replace")
+
+
+def decode(encoded: DataFrame, piece_rows: DataFrame, *, ids: str = "ids") -> DataFrame:
+    """``encoded`` plus ``decoded``: the pieces of the ids in order, as UTF-8
+    (bytes that are no UTF-8 become U+FFFD). An unknown id is an error."""
+    table = _broadcast_pieces(piece_rows)
     at = encoded.columns.index(ids)
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
 
     def run(batches):
-        piece = table.value.__getitem__
         for b in batches:
-            texts = [b"".join(map(piece, np.frombuffer(x.as_buffer() or b"", "<u4").tolist()))
-                     .decode("utf-8", "replace") for x in b.column(at)]
+            texts = [decode_ids(table.value, np.frombuffer(x.as_buffer() or b"", "<u4"))
+                     for x in b.column(at)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())],
                                              names=[*b.schema.names, "decoded"])
 

@@ -89,8 +89,8 @@ FROM keyed GROUP BY doc_id"""
 
 def op3_bpe_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = default_tokenizer_path()
-    ids = bpe_words.encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
-    back = bpe_words.decode(ids, bpe_words.piece_table(spark, path))
+    back = bpe_words.encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"],
+                            piece_rows=bpe_words.piece_table(spark, path))
     return back.select("doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
