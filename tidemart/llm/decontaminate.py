@@ -43,6 +43,7 @@ CLASS_RATIO = 1.5      # sizes in a class are within this factor
 BLOCK_ITEMS = 10_000
 MAX_STRIDE = 8
 WALKS_AT_ONCE = 1 << 15
+WORDS_AT_ONCE = 500_000
 
 _SPLIT = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
@@ -253,25 +254,35 @@ def _search(index, names):
     def run(batches):
         idx: ItemIndex = index.value
         get = idx.vocab.get
-        ids = idx.ids
+
+        def hits_of(rows, codes):
+            """(row, item, edits, from, to) for some documents of a batch."""
+            size = np.array([len(c) for c in codes], np.int64)
+            if not size.sum():
+                return []
+            flat, start = np.concatenate(codes), np.cumsum(size) - size
+            found = idx.verify(flat, start, size, idx.candidates(flat, start, size))
+            return [(rows[d], idx.ids[i], *rest) for d, i, *rest in found]
+
         for b in batches:
             if not b.num_rows or not idx.classes:
                 continue
-            texts = b.column(b.num_columns - 1)
-            codes, size = [], []
-            for t in texts:
+            hits, rows, codes, words = [], [], [], 0
+            for k, t in enumerate(b.column(b.num_columns - 1)):
                 w = words_of(t.as_py())
+                rows.append(k)
                 codes.append(np.fromiter((get(x, 0) for x in w), np.int32, len(w)))
-                size.append(len(w))
-            size = np.array(size, np.int64)
-            flat = np.concatenate(codes) if size.sum() else np.zeros(1, np.int32)
-            start = np.cumsum(size) - size
-            hits = idx.verify(flat, start, size, idx.candidates(flat, start, size))
+                words += len(w)
+                if words >= WORDS_AT_ONCE:
+                    hits += hits_of(rows, codes)
+                    rows, codes, words = [], [], 0
+            if rows:
+                hits += hits_of(rows, codes)
             if not hits:
                 continue
             of = pa.array([h[0] for h in hits])
             yield pa.RecordBatch.from_arrays(
-                [*[c.take(of) for c in b.columns[:-1]], pa.array([ids[h[1]] for h in hits]),
+                [*[c.take(of) for c in b.columns[:-1]], pa.array([h[1] for h in hits]),
                  *[pa.array([h[k] for h in hits], pa.int32()) for k in (2, 3, 4)]], names=names)
 
     return run
