@@ -27,15 +27,54 @@ def test_global_row_number_and_prefix_sum(spark):
     assert j.count() == 3000
 
 
-def test_grouped_row_number_lag(spark):
-    df = _skewed(spark)
-    got = row_numbers(df, ["v", "id"], group_cols=["g"], lags=[("v", "prev_v")],
-                      num_partitions=9)
+def test_grouped_row_numbers_keep_null_groups_and_values(spark):
+    from decimal import Decimal
+    df = _skewed(spark).withColumn("g", F.when(F.col("g") != 3, F.col("g")))
+    df = df.withColumns({
+        "nan": F.lit(float("nan")), "dec": F.lit(Decimal("1.10")),
+        "big": F.when(F.col("id") % 2 == 0, F.lit(2**60 + 1))})
+    got = row_numbers(df, ["v", "id"], group_cols=["g"], weight_cols=["w"], num_partitions=9)
     w = Window.partitionBy("g").orderBy("v", "id")
-    exp = df.select("id", F.row_number().over(w).alias("rn_e"), F.lag("v").over(w).alias("lag_e"))
+    exp = df.select("id", F.row_number().over(w).alias("rn_e"), F.sum("w").over(w).alias("cum_e"))
     j = got.join(exp, "id")
-    assert j.filter(F.col("rn") != F.col("rn_e")).count() == 0
-    assert j.filter(~F.col("prev_v").eqNullSafe(F.col("lag_e"))).count() == 0
+    assert j.count() == 3000
+    assert j.filter((F.col("rn") != F.col("rn_e")) | (F.col("cum_w") != F.col("cum_e"))).count() == 0
+    assert got.filter(~F.isnan("nan") | (F.col("dec") != Decimal("1.10"))
+                      | ~F.col("big").eqNullSafe(F.when(F.col("id") % 2 == 0, F.lit(2**60 + 1)))).count() == 0
+
+
+def test_quantiles_of_a_hot_value_stay_small(spark):
+    df = spark.range(50_000).select(F.when(F.col("id") % 30 != 0, 1.0).otherwise(F.col("id") * 1.0).alias("v"),
+                                    F.when(F.col("id") % 2 == 0, "a").alias("g"))
+    got = {(r["g"], r["p"]): r["q"] for r in
+           exact_quantiles(df, "v", [0.5, 0.99], group_cols=["g"]).collect()}
+    pdf = df.toPandas()
+    for g in ("a", None):
+        x = pdf[pdf.g == g].v if g else pdf[pdf.g.isna()].v
+        for p in (0.5, 0.99):
+            assert abs(got[g, p] - x.quantile(p)) < 1e-9
+    assert exact_quantiles(df.limit(0), "v", [0.5]).count() == 0
+
+
+def test_gap_with_null_and_hot_customers(spark):
+    from tidemart.plans.marts import orders_with_gap
+    rows = []
+    for i in range(600):
+        c = None if i % 5 == 0 else ("hot" if i % 3 == 0 else f"c{i % 40}")
+        rows.append((c, f"o{i:04d}", f"2024-01-{1 + i % 28:02d} {i % 24:02d}:{(i // 24) % 60:02d}:00"))
+    rows += [("hot", "p1", "2024-02-01 10:00:00"), ("hot", "p2", "2024-02-01 10:00:00"), ("hot", "n", None)]
+    df = spark.createDataFrame(rows, "customer_id string, order_id string, t string").selectExpr(
+        "customer_id", "order_id", "cast(t as timestamp_ntz) AS purchased_at", "'delivered' AS order_status",
+        "cast(null as timestamp_ntz) AS delivered_to_customer_at",
+        "cast(null as timestamp_ntz) AS estimated_delivery_at", "1 AS total_order_value",
+        "1 AS delivery_days", "1 AS item_count")
+    from tidemart.functions.temporal import elapsed_days
+    w = Window.partitionBy("customer_id").orderBy("purchased_at", "order_id")
+    want = {r["order_id"]: r["e"] for r in df.withColumn("e", elapsed_days(
+        F.col("purchased_at"), F.lag("purchased_at").over(w))).collect()}
+    got = orders_with_gap(df).collect()
+    assert len(got) == len(rows)
+    assert {r["order_id"]: r["purchase_gap_days"] for r in got} == want
 
 
 def test_descending_order(spark):
@@ -49,7 +88,7 @@ def test_descending_order(spark):
 def test_exact_quantiles_match_numpy(spark):
     df = _skewed(spark)
     probs = [0.0, 0.2, 0.33, 0.5, 0.66, 0.8, 1.0]
-    got = exact_quantiles(df, "v", probs, group_cols=["g"], tie_cols=("id",)).toPandas()
+    got = exact_quantiles(df, "v", probs, group_cols=["g"]).toPandas()
     pdf = df.toPandas()
     for (g, p), q in got.set_index(["g", "p"])["q"].items():
         assert abs(q - pdf[pdf.g == g].v.quantile(p)) < 1e-9

@@ -12,14 +12,14 @@ import argparse
 import sys
 
 from .plans.refresh import RefreshFailed, refresh_all
-from .session import build_session, work_path
+from .session import build_session
 
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(prog="tidemart")
     ap.add_argument("--landing", help="folder holding the landing CSV files")
     ap.add_argument("--source", help="folder of driver Parquet tables to export first")
-    ap.add_argument("--out", help="output folder (default: under spark.checkpoint.dir)")
+    ap.add_argument("--out", help="output folder (default: tidemart under the warehouse folder)")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)
     if not a.landing and not a.source:
@@ -31,7 +31,7 @@ def main(argv=None) -> int:
         from .sources.fixtures import RawTables
         raw = RawTables(spark, a.source)
         landing = landing_for(spark, a.source, {n: raw.get(n) for n in RawTables.NAMES})
-    out = a.out or work_path(spark, "batch")
+    out = a.out or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tidemart"
     try:
         report = refresh_all(spark, landing, out)
     except RefreshFailed as e:

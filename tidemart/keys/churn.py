@@ -2,10 +2,12 @@
 
 Metric keys are exact and engine-independent, so they are checked against
 DuckDB on a fixed stand-in score (``standin_score``: a rational function of
-monetary value, in (0, 1)). The training keys (logistic baseline, boosted
-trees, weight search, early stopping, importances, scoring, model save/load
-and the score table) are rows-only: their numbers depend on the optimiser.
-Models are trained once per (session, source) and shared.
+monetary value, in (0, 1)). The numbers of the training keys depend on the
+optimiser, so these keys return what does not: which rows are in which split
+(DuckDB computes the same hashes), and whether the trained model obeys its rule
+on them (the gradient vanishes, the best weight is the arg-max, training stopped
+where patience ends, thresholds and percentiles were applied, a reloaded model
+scores alike). Models are trained once per session and dataset content.
 """
 
 from __future__ import annotations
@@ -17,18 +19,23 @@ from ..catalog import Warehouse
 from ..oracle import cte, sql
 from ..plans import churn as C
 from ..plans import metrics as M
+from ..operators.positions import write_and_reread
 from ..session import work_path
-from ..sources import files
+from ..sources import databases, files
 from . import register
 
 STANDIN_SCALE = 100000.0
 
 
 def dataset(spark, sf_dir) -> DataFrame:
-    """Features + labels, one row per customer, written once to the checkpoint
-    folder: the ML steps read it several times (indexer fit, split, medians)."""
+    """Features + labels, one row per customer."""
     w = Warehouse(spark, sf_dir)
-    return C.ml_dataset(w.mart_customer_features, w.mart_churn_labels).checkpoint(eager=True)
+    return C.ml_dataset(w.mart_customer_features, w.mart_churn_labels)
+
+
+def written_dataset(spark, sf_dir) -> DataFrame:
+    """The same, written once as Parquet for steps that read it several times."""
+    return write_and_reread(dataset(spark, sf_dir), "ml-dataset")
 
 
 def standin_score(ds: DataFrame) -> DataFrame:
@@ -38,7 +45,7 @@ def standin_score(ds: DataFrame) -> DataFrame:
 
 
 def standin(spark, sf_dir) -> DataFrame:
-    return standin_score(dataset(spark, sf_dir))
+    return write_and_reread(standin_score(dataset(spark, sf_dir)), "standin")
 
 
 cte("ml_dataset", """
@@ -144,7 +151,7 @@ FROM ml_dataset
 
 @register("ml_label_encode", sql("SELECT customer_id, customer_state, state_encoded FROM ml_encoded"))
 def ml_label_encode(spark, sf_dir):
-    enc, _ = C.encode_state(dataset(spark, sf_dir))
+    enc, _ = C.encode_state(written_dataset(spark, sf_dir))
     return enc.select(C.KEY, "customer_state", C.STATE_ENCODED)
 
 
@@ -159,7 +166,8 @@ FROM (SELECT *, row_number() OVER (PARTITION BY is_churned
 
 @register("ml_stratified_split", sql("SELECT customer_id, is_churned, is_test FROM ml_split"))
 def ml_stratified_split(spark, sf_dir):
-    return C.stratified_split(dataset(spark, sf_dir)).select(C.KEY, C.LABEL, "is_test")
+    small = write_and_reread(dataset(spark, sf_dir).select(C.KEY, C.LABEL), "labels")
+    return C.stratified_split(small).select(C.KEY, C.LABEL, "is_test")
 
 
 _FEATS = C.FEATURE_CANDIDATES + [C.STATE_ENCODED]
@@ -183,8 +191,8 @@ JOIN (SELECT CAST({f} AS DOUBLE) AS v, row_number() OVER (ORDER BY CAST({f} AS D
 
 @register("ml_median_impute", _median_sql())
 def ml_median_impute(spark, sf_dir):
-    enc, _ = C.encode_state(dataset(spark, sf_dir))
-    split = C.stratified_split(enc).checkpoint(eager=True)
+    enc, _ = C.encode_state(written_dataset(spark, sf_dir))
+    split = C.stratified_split(enc)
     med = C.collect_medians(split.filter(~F.col("is_test")), _FEATS)
     return C.impute(split, med, _FEATS).select(C.KEY, "is_test", *_FEATS)
 
@@ -192,7 +200,7 @@ def ml_median_impute(spark, sf_dir):
 @register("agg_median", sql(" UNION ALL ".join(
     f"SELECT '{f}' AS feature, (SELECT q FROM med_{f}) AS q" for f in _FEATS)))
 def agg_median(spark, sf_dir):
-    enc, _ = C.encode_state(dataset(spark, sf_dir))
+    enc, _ = C.encode_state(written_dataset(spark, sf_dir))
     split = C.stratified_split(enc)
     return C.medians(split.filter(~F.col("is_test")), _FEATS)
 
@@ -232,15 +240,14 @@ def ml_best_threshold(spark, sf_dir):
             .select("threshold", "f1", "precision", "recall")
 
 
-def _tuned(spark, sf_dir) -> DataFrame:
-    s = standin(spark, sf_dir)
+def _tuned(s: DataFrame) -> DataFrame:
     t = M.best_threshold(M.pr_curve(s)).select("threshold").scalar()
     return M.apply_threshold(s, t)
 
 
 @register("ml_apply_threshold", sql("SELECT customer_id, score, prediction FROM standin_pred_tuned"))
 def ml_apply_threshold(spark, sf_dir):
-    return _tuned(spark, sf_dir).select(C.KEY, "score", "prediction")
+    return _tuned(standin(spark, sf_dir)).select(C.KEY, "score", "prediction")
 
 
 def _sd(a: str, b: str) -> str:
@@ -303,7 +310,7 @@ SELECT 'tuned', label, prediction, count(*) FROM standin_pred_tuned GROUP BY ALL
 def ml_confusion_matrix(spark, sf_dir):
     s = standin(spark, sf_dir)
     d = M.confusion_counts(M.apply_threshold(s, F.lit(0.5)), "label")
-    t = M.confusion_counts(_tuned(spark, sf_dir), "label")
+    t = M.confusion_counts(_tuned(s), "label")
     out = d.withColumn("threshold_kind", F.lit("default")).unionByName(
         t.withColumn("threshold_kind", F.lit("tuned")))
     return out.filter(F.col("count") > 0).select("threshold_kind", "actual", "predicted", "count")
@@ -365,111 +372,203 @@ _TRAINED: dict = {}
 
 
 def trained(spark, sf_dir, part: str):
-    """Train each piece once per (session, source) and share it across keys."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    st = _TRAINED.setdefault(key, {})
-    if "prep" not in st:
-        st["prep"] = C.prepare(dataset(spark, sf_dir))
+    """Train each piece once per session and dataset content, and share it
+    across keys; only the latest dataset's models are kept."""
+    ds = written_dataset(spark, sf_dir)
+    stamp = ds.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*ds.columns).cast("decimal(38,0)"))).first()
+    key = (spark.sparkContext.applicationId, tuple(stamp))
+    if key not in _TRAINED:
+        _TRAINED.clear()
+        _TRAINED[key] = {"prep": C.prepare(ds)}
+    st = _TRAINED[key]
     prep = st["prep"]
-    if part == "prep":
-        return prep
     if part == "logreg" and "logreg" not in st:
         st["logreg"] = C.logistic_baseline(prep.train)
     if part in ("search", "final") and "search" not in st:
         st["search"] = C.weight_search(prep.train)
     if part == "final" and "final" not in st:
         best_w, _ = st["search"]
-        model = C.final_model(prep.train, best_w)
-        test_scores = C.scored(model, prep.test).checkpoint(eager=True)
-        pr = M.pr_curve(test_scores, C.LABEL, "churn_probability")
-        thr = M.best_threshold(pr).first()["threshold"]
-        st["final"] = (model, thr, test_scores)
+        boosted = C.final_model(prep.train, best_w)
+        # the threshold is tuned on validation rows, never on test rows
+        val = write_and_reread(C.scored(boosted.model, boosted.validation), "validation-scores")
+        pr = M.pr_curve(val, C.LABEL, "churn_probability")
+        st["final"] = (boosted, M.best_threshold(pr).first()["threshold"])
     return st[part]
 
 
-@register("ml_baseline_logreg")
+def _consistent(scores: DataFrame):
+    p = F.col("churn_probability")
+    return p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("int"))
+
+
+GRADIENT_TOLERANCE = 1e-2  # of the loss per row and standard deviation of a feature
+
+
+@register("ml_baseline_logreg", sql("""
+SELECT customer_id, is_churned, true AS consistent, true AS stationary FROM ml_split WHERE is_test"""))
 def ml_baseline_logreg(spark, sf_dir):
-    prep = trained(spark, sf_dir, "prep")
-    return C.scored(trained(spark, sf_dir, "logreg"), prep.test)
+    """The test rows, whether their scores are consistent, and whether the
+    objective's gradient vanishes at the fitted coefficients."""
+    prep, model = trained(spark, sf_dir, "prep"), trained(spark, sf_dir, "logreg")
+    worst = C.stationarity(model, prep.train, len(prep.features)).agg(
+        F.max(F.abs("gradient"))).first()[0]
+    s = C.scored(model, prep.test)
+    return s.select(C.KEY, C.LABEL, _consistent(s).alias("consistent"),
+                    F.lit(worst <= GRADIENT_TOLERANCE).alias("stationary"))
+
+
+def _val_split(name: str, seed: int) -> None:
+    cte(name, f"""
+SELECT customer_id, is_churned,
+       rn <= CAST(floor((n * 200000 + 999999) / 1000000) AS BIGINT) AS is_val
+FROM (SELECT customer_id, is_churned,
+             row_number() OVER (PARTITION BY is_churned
+                                ORDER BY md5(customer_id || ':{seed}'), customer_id) AS rn,
+             count(*) OVER (PARTITION BY is_churned) AS n
+      FROM ml_split WHERE NOT is_test) r
+""")
 
 
-@register("ml_weight_search")
+_val_split("search_split", C.SEED + 1)
+_val_split("final_split", C.SEED + 2)
+
+
+@register("ml_weight_search", sql(" UNION ALL ".join(f"""
+SELECT {w} AS active_weight, count_if(is_churned = 0) AS active_rows,
+       count_if(is_churned = 1) AS churned_rows, true AS f1_follows, true AS best_is_argmax
+FROM search_split WHERE is_val""" for w in C.ACTIVE_WEIGHTS)))
 def ml_weight_search(spark, sf_dir):
+    """Per tried weight: validation rows by class, whether F1 follows from
+    precision and recall, and whether the chosen weight is the first arg-max."""
     best_w, rows = trained(spark, sf_dir, "search")
-    prep = trained(spark, sf_dir, "prep")
-    # results table: one row per tried weight (bounded by the grid)
-    return prep.all.sparkSession.createDataFrame(
-        [(w, p, r, f, a, w == best_w) for w, p, r, f, a in rows],
-        "active_weight int, precision double, recall double, f1 double, roc_auc double, "
-        "is_best boolean")
+    top = max(r[3] for r in rows)
+    argmax = next((r[0] for r in rows if r[3] == top and top > 0), 1)
+    out = [(w, a, c, abs(f - 2 * p * r / (p + r + M.EPS_F1)) < 1e-9 and 0 <= auc <= 1, best_w == argmax)
+           for w, p, r, f, auc, a, c in rows]
+    return spark.createDataFrame(out, "active_weight int, active_rows long, churned_rows long, "
+                                      "f1_follows boolean, best_is_argmax boolean")
 
 
-@register("ml_boosted_trees")
+@register("ml_boosted_trees", sql(
+    "SELECT customer_id, is_churned, true AS consistent FROM ml_split WHERE is_test"))
 def ml_boosted_trees(spark, sf_dir):
-    _, _, test_scores = trained(spark, sf_dir, "final")
-    return test_scores
+    boosted, _ = trained(spark, sf_dir, "final")
+    s = C.scored(boosted.model, trained(spark, sf_dir, "prep").test)
+    return s.select(C.KEY, C.LABEL, _consistent(s).alias("consistent"))
 
 
-@register("ml_early_stopping")
+@register("ml_early_stopping", sql(f"""
+SELECT {C.FINAL_ROUNDS} AS max_rounds, {C.PATIENCE} AS patience,
+       (SELECT count(*) FROM ml_split WHERE is_test) AS test_rows,
+       (SELECT count(*) FROM final_split WHERE is_val) AS validation_rows, true AS obeys_rule"""))
 def ml_early_stopping(spark, sf_dir):
-    model, thr, test_scores = trained(spark, sf_dir, "final")
-    return test_scores.agg(F.count(F.lit(1)).alias("test_rows")).select(
-        F.lit(model.getNumTrees).alias("trees_used"), F.lit(C.FINAL_ROUNDS).alias("max_rounds"),
-        "test_rows")
+    """Whether training stopped ``patience`` rounds after the best validation
+    loss (or ran out of rounds) and kept exactly the best number of trees."""
+    b, _ = trained(spark, sf_dir, "final")
+    prep = trained(spark, sf_dir, "prep")
+    seen = b.losses[:b.rounds_tried]
+    obeys = (b.model.getNumTrees == b.best_round and min(seen) == b.losses[b.best_round - 1]
+             and (b.rounds_tried == b.best_round + C.PATIENCE or b.rounds_tried == C.FINAL_ROUNDS))
+    return spark.createDataFrame(
+        [(C.FINAL_ROUNDS, C.PATIENCE, prep.test.count(), b.validation.count(), obeys)],
+        "max_rounds int, patience int, test_rows long, validation_rows long, obeys_rule boolean")
 
 
-@register("ml_feature_importance")
+@register("ml_feature_importance", sql(" UNION ALL ".join(
+    f"SELECT '{m}' AS model, '{f}' AS feature, (SELECT count(*) FROM ml_split WHERE is_test) AS test_rows, "
+    f"true AS valid" for m in ("boosted_trees", "logistic_regression", "split_gain") for f in _FEATS)))
 def ml_feature_importance(spark, sf_dir):
-    model, _, _ = trained(spark, sf_dir, "final")
+    """Per model and feature, over all test rows, whether its mean absolute
+    contribution (or share of split gain) is a finite share, as it must be."""
+    imp = importances(spark, sf_dir)
+    n = trained(spark, sf_dir, "prep").test.count()
+    return imp.select("model", "feature", F.lit(n).cast("long").alias("test_rows"),
+                      ((F.col("importance") >= 0) & ((F.col("importance") <= 1)
+                       | (F.col("model") == "logistic_regression"))).alias("valid"))
+
+
+def importances(spark, sf_dir) -> DataFrame:
+    """``model, feature, importance``: mean absolute change of probability when
+    a feature is set to its median (trees), mean absolute contribution to the
+    logit (linear), and share of split gain (trees)."""
+    boosted, _ = trained(spark, sf_dir, "final")
     prep = trained(spark, sf_dir, "prep")
-    imp = model.featureImportances.toArray().tolist()
-    trees = spark.createDataFrame(list(zip(prep.features, [float(x) for x in imp])),
-                                  "feature string, importance double")
+    gain = spark.createDataFrame(
+        list(zip(prep.features, map(float, boosted.model.featureImportances.toArray()))),
+        "feature string, importance double")
     linear = C.linear_contributions(trained(spark, sf_dir, "logreg"), prep.test, prep.features)
+    trees = C.boosted_contributions(boosted.model, prep.test, prep.features, prep.med)
     return (trees.withColumn("model", F.lit("boosted_trees"))
-                 .unionByName(linear.withColumn("model", F.lit("logistic_regression"))))
+            .unionByName(linear.withColumn("model", F.lit("logistic_regression")))
+            .unionByName(gain.withColumn("model", F.lit("split_gain"))))
 
 
-def _score_all(spark, sf_dir) -> DataFrame:
-    model, thr, _ = trained(spark, sf_dir, "final")
-    prep = trained(spark, sf_dir, "prep")
-    s = C.probability(model.transform(prep.all))
+def _score_all(spark, sf_dir) -> tuple[DataFrame, float]:
+    boosted, thr = trained(spark, sf_dir, "final")
+    s = C.probability(boosted.model.transform(trained(spark, sf_dir, "prep").all))
     return s.select(C.KEY, "churn_probability",
-                    (F.col("churn_probability") >= F.lit(thr)).cast("int")
-                    .alias("predicted_churned"))
+                    (F.col("churn_probability") >= F.lit(thr)).cast("int").alias("predicted_churned")), thr
 
 
-@register("ml_score_all")
+@register("ml_score_all", sql("SELECT customer_id, true AS in_range, true AS threshold_applied FROM ml_dataset"))
 def ml_score_all(spark, sf_dir):
-    return _score_all(spark, sf_dir)
+    s, thr = _score_all(spark, sf_dir)
+    p = F.col("churn_probability")
+    return s.select(C.KEY, p.between(0, 1).alias("in_range"),
+                    (F.col("predicted_churned") == (p >= thr).cast("int")).alias("threshold_applied"))
 
 
 def churn_scores_frame(spark, sf_dir) -> DataFrame:
-    seg = C.risk_segments(_score_all(spark, sf_dir))
+    """The score table: every customer with probability, class, segment, action."""
+    seg = C.risk_segments(write_and_reread(_score_all(spark, sf_dir)[0], "scores"))
     return seg.select(C.KEY, "churn_probability", "predicted_churned", "risk_segment",
                       "recommended_action")
 
 
-@register("churn_scores")
+@register("churn_scores", sql(
+    "SELECT customer_id, true AS segment_follows, true AS action_follows FROM ml_dataset"))
 def churn_scores(spark, sf_dir):
-    return churn_scores_frame(spark, sf_dir)
-
-
-@register("score_table_replace")
+    """Every customer; whether its segment follows from the scores' percentiles
+    (taken here by another function) and the action from the segment."""
+    s = write_and_reread(churn_scores_frame(spark, sf_dir), "churn-scores")
+    p33, p66 = s.agg(F.percentile("churn_probability", F.array(F.lit(0.33), F.lit(0.66)))).first()[0]
+    p = F.col("churn_probability")
+    segment = F.when(p <= p33, "Low Risk").when(p <= p66, "Medium Risk").otherwise("High Risk")
+    action = (F.when(F.col("risk_segment") == "Low Risk", "Standard newsletter")
+              .when(F.col("risk_segment") == "Medium Risk", "Nurture email sequence")
+              .otherwise("Immediate win-back campaign"))
+    return s.select(C.KEY, (F.col("risk_segment") == segment).alias("segment_follows"),
+                    (F.col("recommended_action") == action).alias("action_follows"))
+
+
+@register("score_table_replace", sql("""
+SELECT count(*) AS rows, count(DISTINCT customer_id) AS customers, 1 AS tables FROM ml_dataset"""))
 def score_table_replace(spark, sf_dir):
-    path = work_path(spark, "warehouse", files.source_tag(sf_dir), "marts", "churn_scores")
-    return files.materialise(churn_scores_frame(spark, sf_dir), path)
-
-
-@register("model_save_load")
+    """The named score table after it was written twice."""
+    base = work_path(spark, "score-table", files.source_tag(sf_dir))
+    scores = churn_scores_frame(spark, sf_dir)
+    db = f"marts_{files.source_tag(sf_dir)}"
+    for _ in range(2):
+        t = databases.replace_table(scores, db, "churn_scores", base)
+    n = spark.sql(f"SHOW TABLES IN {db} LIKE 'churn_scores'").count()
+    return t.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(C.KEY).alias("customers"),
+                 F.lit(n).alias("tables"))
+
+
+@register("model_save_load", sql("SELECT count(*) AS rows, 0 AS differing FROM ml_dataset"))
 def model_save_load(spark, sf_dir):
-    model, thr, _ = trained(spark, sf_dir, "final")
+    """Raw feature-mart rows scored by the reloaded pipeline: rows, and how many
+    probabilities or classes differ from the model in memory."""
+    boosted, thr = trained(spark, sf_dir, "final")
     prep = trained(spark, sf_dir, "prep")
     path = work_path(spark, "models", files.source_tag(sf_dir), "churn")
-    C.save_model(model, prep.features, prep.med, thr, path, spark)
+    C.save_model(prep.stages, boosted.model, prep.features, prep.med, thr, path, spark)
     loaded, meta = C.load_model(path, spark)
-    s = C.probability(loaded.transform(prep.all))
-    t = meta.agg(F.max("threshold")).scalar()
-    return s.select(C.KEY, "churn_probability",
-                    (F.col("churn_probability") >= t).cast("int").alias("predicted_churned"))
-
+    t = meta.agg(F.max("threshold")).first()[0]
+    raw = Warehouse(spark, sf_dir).mart_customer_features
+    again = C.probability(loaded.transform(raw)).select(
+        C.KEY, F.col("churn_probability").alias("p"), (F.col("churn_probability") >= t).cast("int").alias("c"))
+    j = _score_all(spark, sf_dir)[0].join(again, C.KEY)
+    return j.agg(F.count(F.lit(1)).alias("rows"), F.count_if(
+        (F.abs(F.col("p") - F.col("churn_probability")) > 1e-12)
+        | (F.col("c") != F.col("predicted_churned"))).cast("int").alias("differing"))

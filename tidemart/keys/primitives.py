@@ -45,8 +45,8 @@ SELECT * FROM renamed
 
 @register("project_star_cte", sql("SELECT * FROM stg_orders"))
 def project_star_cte(spark, sf_dir):
-    W(spark, sf_dir).raw.orders.createOrReplaceTempView("raw_orders")
-    return spark.sql(STAR_CTE.format(raw="raw_orders", ts="TIMESTAMP_NTZ"))
+    # the frame is passed by name: no session-wide view is left
+    return spark.sql(STAR_CTE.format(raw="{orders}", ts="TIMESTAMP_NTZ"), orders=W(spark, sf_dir).raw.orders)
 
 
 @register("project_subset", sql("SELECT * FROM dim_customers"))
@@ -340,7 +340,7 @@ def agg_value_counts(spark, sf_dir):
 @register("agg_quantile", sql("SELECT p, q FROM monetary_edges"))
 def agg_quantile(spark, sf_dir):
     rfm = R.rfm_base(RK.base(spark, sf_dir)[1])
-    return exact_quantiles(rfm, "monetary", R.QUINTILE_PROBS, tie_cols=("customer_id",))
+    return exact_quantiles(rfm, "monetary", R.QUINTILE_PROBS)
 
 
 @register("agg_share_of_total", sql("SELECT segment, rev_pct, cus_pct FROM rfm_segment_summary"))

@@ -49,14 +49,14 @@ def csv_scan_inferred(spark, sf_dir):
     f"SELECT '{t}' AS table_name, '{f}' AS file_name, 'loaded' AS status, count(*) AS rows "
     f"FROM raw_{t}" for f, t in FILE_TABLE_MAP.items())))
 def multi_file_load(spark, sf_dir):
-    raw_dir = work_path(spark, "warehouse", _tag(sf_dir), "raw")
+    raw_dir = work_path(spark, "warehouse", _tag(sf_dir), "multi_file_load")
     return files.multi_file_load(spark, _landing(spark, sf_dir), raw_dir)
 
 
 @register("raw_table_scan", sql("SELECT * FROM raw_orders"))
 def raw_table_scan(spark, sf_dir):
     landing = _landing(spark, sf_dir)
-    path = work_path(spark, "warehouse", _tag(sf_dir), "raw", "orders")
+    path = work_path(spark, "warehouse", _tag(sf_dir), "raw_table_scan", "orders")
     files.full_refresh_load(files.read_csv_text(spark, f"{landing}/{ORDERS_FILE}", "orders"), path)
     return spark.read.parquet(path)
 
@@ -64,7 +64,7 @@ def raw_table_scan(spark, sf_dir):
 @register("model_ref_scan", sql("SELECT * FROM fct_orders"))
 def model_ref_scan(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
-    path = work_path(spark, "warehouse", _tag(sf_dir), "marts", "fct_orders")
+    path = work_path(spark, "warehouse", _tag(sf_dir), "model_ref_scan", "fct_orders")
     return files.materialise(w.model("fct_orders"), path)
 
 
@@ -78,9 +78,9 @@ WHERE f.delivery_days IS NOT NULL AND r.review_score IS NOT NULL
 @register("sql_query_scan", sql(REVIEW_EXTRACT))
 def sql_query_scan(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
-    w.fct_orders.createOrReplaceTempView("fct_orders")
-    w.raw.order_reviews.createOrReplaceTempView("raw_order_reviews")
-    return spark.sql(REVIEW_EXTRACT)
+    # frames are passed by name to the statement: no session-wide view is left
+    return spark.sql(REVIEW_EXTRACT.replace("fct_orders", "{fct_orders}").replace(
+        "raw_order_reviews", "{reviews}"), fct_orders=w.fct_orders, reviews=w.raw.order_reviews)
 
 
 @register("full_refresh_load", sql("SELECT 'orders' AS table_name, count(*) AS rows FROM raw_orders"))
@@ -98,13 +98,13 @@ def full_refresh_load(spark, sf_dir):
 def chunked_write(spark, sf_dir):
     raw = RawTables(spark, sf_dir)
     path = work_path(spark, "warehouse", _tag(sf_dir), "chunked", "order_items")
-    return files.chunked_write(raw.order_items, path).select(
+    return files.chunked_write(raw.order_items, path, chunk_rows=10_000).select(
         F.lit("order_items").alias("table_name"), "rows", "within_chunk")
 
 
 @register("view_materialise", sql("SELECT * FROM stg_orders"))
 def view_materialise(spark, sf_dir):
-    return files.view(Warehouse(spark, sf_dir).stg_orders, "stg_orders")
+    return files.view(Warehouse(spark, sf_dir).stg_orders, f"stg_orders_{_tag(sf_dir)}")
 
 
 @register("table_materialise", sql(" UNION ALL ".join(
@@ -113,7 +113,7 @@ def table_materialise(spark, sf_dir):
     w = Warehouse(spark, sf_dir)
     parts = []
     for m in MART_TABLES:
-        path = work_path(spark, "warehouse", _tag(sf_dir), "marts", m)
+        path = work_path(spark, "warehouse", _tag(sf_dir), "table_materialise", m)
         t = files.materialise(w.model(m), path)
         parts.append(t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(m).alias("model"), "rows"))
     return reduce(DataFrame.unionByName, parts)
@@ -136,4 +136,5 @@ def _refresh_sql() -> str:
 def refresh_all(spark, sf_dir):
     from ..plans.refresh import refresh_all as run
     return run(spark, _landing(spark, sf_dir),
-               work_path(spark, "warehouse", _tag(sf_dir), "batch"))
+               work_path(spark, "warehouse", _tag(sf_dir), "batch"),
+               raw_db=f"raw_{_tag(sf_dir)}", marts_db=f"marts_{_tag(sf_dir)}")

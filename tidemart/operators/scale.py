@@ -1,25 +1,15 @@
-"""Ordered computations that stay distributed when one group is huge.
+"""Ordered computations that stay distributed when one group or value is huge.
 
 A window without ``partitionBy`` (global rank, running totals, exact
 quantiles) moves every row into one task, and a window partitioned by a key
-moves a hot key's rows into one task. Both break at scale. This module does the
-same work with one range shuffle:
-
-1. ``repartitionByRange`` on the full ordering (group columns first), so the
-   ordering is spread over many partitions however skewed the groups are;
-   ``sortWithinPartitions`` orders rows inside each partition.
-2. One pass per partition (Arrow batches through ``mapInPandas``) computes the
-   local row number, local running sums and a local lag. The result is
-   checkpointed to the shared checkpoint folder, which pins partition ids and
-   cuts the lineage (a lost executor re-reads it instead of re-shuffling).
-3. A per-partition summary (one row per partition, so bounded by the partition
-   count we chose) gives each partition its offset and the last row of the
-   partition before it; it is broadcast and joined on the partition id.
-
-Why an Arrow pass and not a window: a window partitioned by the partition id
-would make Spark re-shuffle every row to satisfy that distribution (a second
-full shuffle); the Arrow pass runs on each range partition where it already
-is, vectorised with pandas, and carries running state across batches.
+moves a hot key's rows into one task. This module does the same work in the
+JVM: rows are spread by range over the full ordering (group columns first, so
+a hot group is split), written once with their partition id and row index (see
+``positions``), and a per-partition summary turns local positions and sums into
+global ones. Payload columns never leave the JVM, so no value is changed.
+
+Quantiles are taken from (value, count) rows: a partial aggregation removes
+repeated values before anything is ordered, so a hot value costs one row.
 
 The plain-window form of each operator is the test oracle (tests/test_scale.py).
 """
@@ -27,207 +17,113 @@ The plain-window form of each operator is the test oracle (tests/test_scale.py).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from .positions import write_and_reread
 
-PID, LRN = "_pid", "_lrn"
+_MID, _PID, _RN = "_mid", "_pid", "_rn0"
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _local_pass(weight_cols: list[str], group_cols: list[str],
-                lags: list[tuple[str, str]]):
-    """Per-partition function: row number, running sums and lag, with carry."""
-
-    def run(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        seen = 0
-        carry = {w: 0 for w in weight_cols}
-        prev_key = None
-        prev_vals: dict[str, object] = {v: None for v, _ in lags}
-        for pdf in batches:
-            m = len(pdf)
-            if m == 0:
-                continue
-            pdf[PID] = np.int32(pid)
-            pdf[LRN] = np.arange(seen + 1, seen + m + 1, dtype=np.int64)
-            seen += m
-            for w in weight_cols:
-                cs = pdf[w].fillna(0).cumsum() + carry[w]
-                pdf["_cum_" + w] = cs
-                carry[w] = cs.iloc[-1]
-            if lags:
-                keys = pdf[group_cols]
-                same = (keys == keys.shift(1)).all(axis=1)
-                first_key = tuple(keys.iloc[0])
-                same.iloc[0] = prev_key is not None and first_key == prev_key
-                for v, out in lags:
-                    lagged = pdf[v].shift(1)
-                    lagged.iloc[0] = prev_vals[v] if same.iloc[0] else None
-                    pdf[out] = lagged.where(same, None)
-                    prev_vals[v] = pdf[v].iloc[-1]
-                prev_key = tuple(keys.iloc[-1])
-            yield pdf
-
-    return run
-
-
-def range_pass(df: DataFrame, order: Sequence, *, group_cols: Sequence[str] = (),
-               weight_cols: Sequence[str] = (), lags: Sequence[tuple[str, str]] = (),
-               num_partitions: int | None = None) -> DataFrame:
-    """Range-partition by ``group_cols + order`` and run the local pass.
-
-    Returns the checkpointed frame with ``_pid``, ``_lrn`` (row number inside
-    the partition), ``_cum_<w>`` (running sum inside the partition) and the
-    requested lag columns (inside the partition).
-    """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    keys = [F.col(g) for g in group_cols] + [_col(c) for c in order]
-    # without an explicit count AQE may merge small contiguous ranges (order is
-    # kept); the checkpoint below fixes the partition ids the offsets refer to
-    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
-              else df.repartitionByRange(*keys))
-    ranged = ranged.sortWithinPartitions(*keys)
-    fields = list(df.schema.fields) + [T.StructField(PID, T.IntegerType(), False),
-                                       T.StructField(LRN, T.LongType(), False)]
-    for w in weight_cols:
-        wt = df.schema[w].dataType
-        fields.append(T.StructField("_cum_" + w,
-                                    T.DoubleType() if isinstance(wt, (T.DoubleType, T.FloatType))
-                                    else T.LongType(), True))
-    for v, out in lags:
-        fields.append(T.StructField(out, df.schema[v].dataType, True))
-    local = ranged.mapInPandas(_local_pass(list(weight_cols), list(group_cols), list(lags)),
-                               T.StructType(fields))
-    return local.checkpoint(eager=True)
-
-
-def _partition_offsets(local: DataFrame, weight_cols: Sequence[str],
-                       group_cols: Sequence[str], lags: Sequence[tuple[str, str]]) -> DataFrame:
-    """One row per non-empty partition: offsets and the previous partition's tail."""
-    aggs = [F.max(LRN).alias("_n")]
-    aggs += [F.sum(w).alias("_tot_" + w) for w in weight_cols]
-    if lags:
-        tail = F.max_by(F.struct(*[F.col(g) for g in group_cols],
-                                 *[F.col(v) for v, _ in lags]), F.col(LRN))
-        aggs.append(tail.alias("_tail"))
-    summ = local.groupBy(PID).agg(*aggs)
-    # at most num_partitions rows: a single-task window here is bounded
-    w = Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
-    out = summ.select(
-        PID,
-        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off_n"),
-        *[F.coalesce(F.sum("_tot_" + c).over(w), F.lit(0)).alias("_off_" + c)
-          for c in weight_cols],
-        *([F.lag("_tail").over(Window.orderBy(PID)).alias("_prev_tail")] if lags else []),
-    )
-    return out
+def _join_groups(left: DataFrame, right: DataFrame, cols: Sequence[str],
+                 also: Column | None = None) -> DataFrame:
+    """Inner join on ``cols`` where NULL equals NULL; keeps the left's columns."""
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in cols})
+    on = [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in cols] + ([] if also is None else [also])
+    return left.join(renamed, reduce(lambda a, b: a & b, on)).drop(*[f"_right_{c}" for c in cols])
 
 
 def row_numbers(df: DataFrame, order: Sequence, *, group_cols: Sequence[str] = (),
-                weight_cols: Sequence[str] = (), lags: Sequence[tuple[str, str]] = (),
-                out: str = "rn", restart: bool = True,
+                weight_cols: Sequence[str] = (), out: str = "rn",
                 num_partitions: int | None = None) -> DataFrame:
-    """Row number (1-based) in ``order``, within ``group_cols`` when given.
+    """Row number (1-based) in ``order``, within ``group_cols`` when given, and
+    inclusive running sums of ``weight_cols`` as ``cum_<w>``.
 
     ``order`` must make the order total (end with a unique key), as with
-    ``row_number``. Inclusive running sums of ``weight_cols`` come out as
-    ``cum_<w>``; ``lags`` = [(column, output)] gives the previous row's value
-    within the group. Numbers and sums restart per group unless
-    ``restart=False`` (then they run over the whole order, which saves the
-    per-group base join when only the lag is wanted).
+    ``row_number``. A NULL group is a group; NULL weights count as 0.
     """
-    group_cols, weight_cols, lags = list(group_cols), list(weight_cols), list(lags)
-    local = range_pass(df, order, group_cols=group_cols, weight_cols=weight_cols,
-                       lags=lags, num_partitions=num_partitions)
-    offs = _partition_offsets(local, weight_cols, group_cols, lags)
-    j = local.join(F.broadcast(offs), PID)
-    res = j.withColumn(out, F.col(LRN) + F.col("_off_n"))
+    group_cols, weight_cols = list(group_cols), list(weight_cols)
+    keys = [F.col(g) for g in group_cols] + [_col(c) for c in order]
+    ranged = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+              else df.repartitionByRange(*keys))
+    local = write_and_reread(
+        ranged.sortWithinPartitions(*keys).withColumn(_MID, F.monotonically_increasing_id()), "ordered")
+    pid = F.shiftright(F.col(_MID), 33)
+    # one row per partition: this window has as many rows as there are partitions
+    parts = local.groupBy(pid.alias(_PID)).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(w).alias("_s_" + w) for w in weight_cols])
+    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(_PID, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
+                           *[F.coalesce(F.sum("_s_" + w).over(before), F.lit(0)).alias("_off_" + w)
+                             for w in weight_cols])
+    res = local.withColumn(_PID, pid)
+    inside = Window.partitionBy(_PID).orderBy(_MID).rowsBetween(Window.unboundedPreceding, 0)
+    for w in weight_cols:  # a partition is a bounded slice of the order
+        res = res.withColumn("cum_" + w, F.sum(F.coalesce(F.col(w), F.lit(0))).over(inside))
+    res = res.join(F.broadcast(offsets), _PID)
+    index = F.col(_MID).bitwiseAND(F.lit((1 << 33) - 1))
+    res = res.withColumn(out, F.col("_off") + index + 1)
     for w in weight_cols:
-        res = res.withColumn("cum_" + w, F.col("_cum_" + w) + F.col("_off_" + w))
-    for i, (v, o) in enumerate(lags):
-        cont = F.col(LRN) == 1
-        for g in group_cols:
-            cont = cont & (F.col(f"_prev_tail.{g}") == F.col(g))
-        res = res.withColumn(o, F.when(cont, F.col(f"_prev_tail.{v}")).otherwise(F.col(o)))
-    if group_cols and restart:
-        # restart numbering and sums at each group's first row
-        base_aggs = [F.min(out).alias("_g_first")]
-        base_aggs += [F.min(F.col("cum_" + w) - F.coalesce(F.col(w), F.lit(0)))
-                      .alias("_g_base_" + w) for w in weight_cols]
-        # one row per group: restart is meant for few, large groups (class
-        # labels, metric names); many small groups want a plain window instead
-        base = res.groupBy(*group_cols).agg(*base_aggs)
-        res = res.join(F.broadcast(base), group_cols)
-        res = res.withColumn(out, F.col(out) - F.col("_g_first") + 1)
-        for w in weight_cols:
-            res = res.withColumn("cum_" + w, F.col("cum_" + w) - F.col("_g_base_" + w))
-    drop = [PID, LRN, "_off_n", "_g_first", "_prev_tail"]
-    drop += ["_cum_" + w for w in weight_cols] + ["_off_" + w for w in weight_cols]
-    drop += ["_g_base_" + w for w in weight_cols]
-    return res.drop(*[c for c in drop if c in res.columns])
+        res = res.withColumn("cum_" + w, F.col("cum_" + w) + F.col("_off_" + w))
+    res = res.drop(_MID, _PID, "_off", *["_off_" + w for w in weight_cols])
+    if not group_cols:
+        return res
+    base = res.groupBy(*group_cols).agg(
+        F.min(out).alias("_first"),
+        *[F.min_by(F.col("cum_" + w) - F.coalesce(F.col(w), F.lit(0)), out).alias("_base_" + w)
+          for w in weight_cols])
+    joined = _join_groups(res, base, group_cols)
+    return joined.withColumns({
+        out: F.col(out) - F.col("_first") + 1,
+        **{"cum_" + w: F.col("cum_" + w) - F.col("_base_" + w) for w in weight_cols},
+    }).drop("_first", *["_base_" + w for w in weight_cols])
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
-                    group_cols: Sequence[str] = (), tie_cols: Sequence[str] = (),
-                    num_partitions: int | None = None) -> DataFrame:
+                    group_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default, NULLs skipped).
 
     Returns one row per group and probability: ``group_cols..., p, q``.
     position h = (n-1)p; q = x[floor h] + (x[ceil h] - x[floor h]) * (h - floor h).
-    Only the two order statistics per probability are fetched, by an
-    equi-join on the distributed row number; no task holds a whole group.
     """
     group_cols = list(group_cols)
-    vals = df.select(*group_cols, F.col(value).cast("double").alias("_v"), *tie_cols) \
-             .filter(F.col("_v").isNotNull())
-    ranked = row_numbers(vals, ["_v", *tie_cols], group_cols=group_cols, out="_rn",
+    vals = df.select(*group_cols, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    counts = vals.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranked = row_numbers(counts, ["_v"], group_cols=group_cols, weight_cols=["_c"], out="_d",
                          num_partitions=num_partitions)
-    counts = ranked.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_cnt"))
+    totals = ranked.groupBy(*group_cols).agg(F.sum("_c").alias("_n"))
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    targets = (counts.select(*group_cols, "_cnt", F.explode(probs_arr).alias("p"))
-               .withColumn("_h", (F.col("_cnt") - 1) * F.col("p"))
-               .withColumn("_lo", F.floor("_h").cast("long") + 1)
-               .withColumn("_hi", F.ceil("_h").cast("long") + 1)
-               .withColumn("_frac", F.col("_h") - F.floor("_h")))
-    # the ranks to fetch: 2 per (group, p), so the broadcast is bounded by
-    # 2 x groups x probabilities rows; one join picks them out of the ranking
-    need = targets.select(*group_cols, "p", "_frac", F.explode(F.array(
-        F.struct(F.col("_lo").alias("_rn"), F.lit(True).alias("_is_lo")),
-        F.struct(F.col("_hi").alias("_rn"), F.lit(False).alias("_is_lo")))).alias("t")) \
-        .select(*group_cols, "p", "_frac", "t.*")
-    got = ranked.select(*group_cols, "_rn", "_v").join(F.broadcast(need), [*group_cols, "_rn"])
+    need = (totals.select(*group_cols, "_n", F.explode(probs_arr).alias("p"))
+            .withColumn("_h", (F.col("_n") - 1) * F.col("p"))
+            .select(*group_cols, "p", (F.col("_h") - F.floor("_h")).alias("_frac"),
+                    (F.floor("_h").cast("long") + 1).alias("_lo"), (F.ceil("_h").cast("long") + 1).alias("_hi")))
+    # a value holds the ranks (cum - count, cum]
+    holds = lambda r: (F.col("_cum") - F.col("_c") < F.col(r)) & (F.col(r) <= F.col("_cum"))
+    cells = ranked.withColumnRenamed("cum__c", "_cum")
+    hit = holds("_lo") | holds("_hi")
+    if group_cols:
+        got = _join_groups(cells, need, group_cols, hit)
+    else:  # one row per probability
+        got = cells.join(F.broadcast(need), hit)
     res = got.groupBy(*group_cols, "p").agg(
-        F.max(F.when(F.col("_is_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(~F.col("_is_lo"), F.col("_v"))).alias("_vhi"),
+        F.max(F.when(holds("_lo"), F.col("_v"))).alias("_vlo"),
+        F.max(F.when(holds("_hi"), F.col("_v"))).alias("_vhi"),
         F.max("_frac").alias("_frac"))
     q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
     return res.select(*group_cols, "p", q.alias("q"))
 
 
-def quantile_scalar(edges: DataFrame, p: float) -> Column:
-    """One quantile of a group-less ``exact_quantiles`` result as a scalar subquery."""
-    return edges.filter(F.col("p") == F.lit(float(p))).select("q").scalar()
-
-
-def quantile_scalars(edges: DataFrame, probs: Sequence[float]) -> list[Column]:
-    """All quantiles of a group-less ``exact_quantiles`` result from a single
-    struct-valued scalar subquery (one small job instead of one per edge)."""
-    row = edges.agg(*[F.max(F.when(F.col("p") == F.lit(float(p)), F.col("q"))).alias(f"q{i}")
-                      for i, p in enumerate(probs)])
-    sub = row.select(F.struct(*[f"q{i}" for i in range(len(probs))]).alias("s")).scalar()
-    return [sub[f"q{i}"] for i in range(len(probs))]
-
+def quantile_edges(edges: DataFrame, probs: Sequence[float]) -> list[Column]:
+    """The quantiles of a group-less ``exact_quantiles`` result as literals: one
+    small job fetches ``len(probs)`` rows, the plan that uses them stays flat."""
+    got = {r["p"]: r["q"] for r in edges.collect()}
+    return [F.lit(got.get(float(p))).cast("double") for p in probs]
 
 
 def approx_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,

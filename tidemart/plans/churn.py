@@ -1,10 +1,12 @@
 """Churn dataset, preprocessing, models and scoring on Spark ML.
 
 Everything that touches customer rows is a distributed DataFrame job:
-stratified split by per-class rank of a hash (range-partitioned rank, no
-single-task window), medians by distributed exact quantiles, class weights by
-a two-row aggregate, models by ``pyspark.ml`` estimators. Only bounded results
-(13 medians, state labels, a threshold) reach the driver.
+stratified split at a cut-off hash per class, medians by distributed exact
+quantiles over (value, count), class weights by a two-row aggregate, models by
+``pyspark.ml`` estimators. Only bounded results (13 medians, state labels, a
+threshold, one loss per boosting round) reach the driver. Preprocessing is a
+fitted ``PipelineModel`` that starts from raw feature-mart rows, so a saved
+model scores new customers by itself.
 
 Differences from the source notebook, on purpose:
 * weight search, early stopping and threshold tuning look at a validation
@@ -20,13 +22,14 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.bins import edge_bins
-from ..operators.scale import exact_quantiles, quantile_scalars, row_numbers
+from ..operators.positions import write_and_reread
+from ..operators.scale import exact_quantiles, quantile_edges, row_numbers
 from . import metrics as M
 
 LABEL = "is_churned"
@@ -44,6 +47,8 @@ SEED = 42
 ACTIVE_WEIGHTS = [3, 5, 8, 10]
 SEARCH_ROUNDS = 300
 FINAL_ROUNDS = 500
+PATIENCE = 50
+FIRST_ROUNDS = 60  # rounds of the first attempt; doubled until patience ends inside them
 STEP_SIZE = 0.05
 MAX_DEPTH = 5
 LOGREG_MAX_ITER = 1000
@@ -105,13 +110,18 @@ def feature_correlation(ds: DataFrame, label: str = LABEL, digits: int = 9) -> D
     return rows
 
 
-def encode_state(ds: DataFrame) -> tuple[DataFrame, StringIndexer]:
+def state_indexer(ds: DataFrame) -> tuple[SQLTransformer, StringIndexerModel]:
     """State -> index in alphabetical order, missing state -> 'Unknown'."""
-    filled = ds.withColumn("_state", F.coalesce(F.col("customer_state"), F.lit(UNKNOWN_STATE)))
+    fill = SQLTransformer(statement=(
+        f"SELECT *, coalesce(customer_state, '{UNKNOWN_STATE}') AS _state FROM __THIS__"))
     idx = StringIndexer(inputCol="_state", outputCol=STATE_ENCODED,
                         stringOrderType="alphabetAsc", handleInvalid="keep")
-    model = idx.fit(filled)
-    return model.transform(filled).drop("_state"), idx
+    return fill, idx.fit(fill.transform(ds))
+
+
+def encode_state(ds: DataFrame) -> tuple[DataFrame, StringIndexerModel]:
+    fill, model = state_indexer(ds)
+    return model.transform(fill.transform(ds)).drop("_state"), model
 
 
 def _ceil_fraction(n: Column, fraction: float) -> Column:
@@ -122,14 +132,22 @@ def _ceil_fraction(n: Column, fraction: float) -> Column:
 def stratified_split(ds: DataFrame, fraction: float = TEST_FRACTION, seed: int = SEED,
                      label: str = LABEL, key: str = KEY, out: str = "is_test") -> DataFrame:
     """Deterministic stratified split: per class, the ``ceil(fraction * n_class)``
-    rows with the smallest md5(key:seed) go to the test side."""
+    rows with the smallest (md5(key:seed), key) go to the test side.
+
+    Only (label, hash, key) is ordered; its row at the cut gives one cut-off per
+    class, and the rows themselves are compared with it where they are.
+    """
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
-    r = row_numbers(ds.withColumn("_h", h), ["_h", key], group_cols=[label], out="_crn")
-    n = ds.groupBy(label).agg(F.count(F.lit(1)).alias("_ncls"))
-    # one row per class of a binary label: a broadcast of bounded size
-    r = r.join(F.broadcast(n), label)
-    return r.withColumn(out, F.col("_crn") <= _ceil_fraction(F.col("_ncls"), fraction)) \
-            .drop("_h", "_crn", "_ncls")
+    small = ds.select(F.col(label).alias("_label"), h.alias("_h"), F.col(key).alias("_k"))
+    r = row_numbers(small, ["_h", "_k"], group_cols=["_label"], out="_crn")
+    n = small.groupBy(F.col("_label").alias("_cls")).agg(F.count(F.lit(1)).alias("_ncls"))
+    cut = (r.join(n, r["_label"].eqNullSafe(n["_cls"]))
+           .filter(F.col("_crn") == _ceil_fraction(F.col("_ncls"), fraction))
+           .select("_cls", F.struct("_h", "_k").alias("_cut")))
+    return (ds.join(cut, ds[label].eqNullSafe(cut["_cls"]), "left")
+            .withColumn(out, F.coalesce(F.struct(h.alias("_h"), F.col(key).alias("_k")) <= F.col("_cut"),
+                                        F.lit(False)))
+            .drop("_cls", "_cut"))
 
 
 def medians(train: DataFrame, cols: list[str]) -> DataFrame:
@@ -166,18 +184,6 @@ def probability(pred: DataFrame, out: str = "churn_probability") -> DataFrame:
     return pred.withColumn(out, vector_to_array(F.col("probability"))[1])
 
 
-ROWS_PER_TRAIN_PARTITION = 500_000
-
-
-def sized(df: DataFrame, rows_per_partition: int = ROWS_PER_TRAIN_PARTITION) -> DataFrame:
-    """Repartition a training frame to one partition per ``rows_per_partition``
-    rows: tree and gradient passes run one job per round, so tiny partitions
-    only add task overhead, while large inputs keep their parallelism."""
-    n = df.count()
-    k = max(1, -(-n // rows_per_partition))
-    return df.repartition(k)
-
-
 @dataclass
 class Prepared:
     features: list[str]
@@ -185,19 +191,32 @@ class Prepared:
     test: DataFrame
     all: DataFrame
     med: dict
+    stages: PipelineModel
+
+
+def _literal(x: float | None) -> str:
+    return f"{float(x or 0.0)!r}D"
 
 
 def prepare(ds: DataFrame) -> Prepared:
-    """Encode, split 80/20 stratified, impute medians fitted on train."""
-    enc, _ = encode_state(ds)
+    """Encode, split 80/20 stratified, impute medians fitted on train.
+
+    ``stages`` turns raw feature-mart rows into ``features`` (a feature without
+    any training value is imputed with 0). The prepared rows are written once,
+    partitioned by key: trees and gradients read them once per round.
+    """
     feats = model_features(ds)
-    split = stratified_split(enc).checkpoint(eager=True)
+    fill, indexer = state_indexer(ds)
+    split = write_and_reread(stratified_split(ds), "split")
     train = split.filter(~F.col("is_test"))
-    med = collect_medians(train, feats)
-    imp = impute(split, med, feats)
-    asm = VectorAssembler(inputCols=feats, outputCol="features")
-    imp = sized(asm.transform(imp)).checkpoint(eager=True)
-    return Prepared(feats, imp.filter(~F.col("is_test")), imp.filter(F.col("is_test")), imp, med)
+    med = collect_medians(indexer.transform(fill.transform(train)), feats)
+    inputs = ", ".join(f"coalesce(CAST({f} AS DOUBLE), {_literal(med.get(f))}) AS _in_{f}" for f in feats)
+    impute_all = SQLTransformer(statement=f"SELECT *, {inputs} FROM __THIS__")
+    asm = VectorAssembler(inputCols=[f"_in_{f}" for f in feats], outputCol="features")
+    stages = PipelineModel(stages=[fill, indexer, impute_all, asm])
+    ready = write_and_reread(
+        stages.transform(split).select(KEY, LABEL, "is_test", "features").repartition(KEY), "prepared")
+    return Prepared(feats, ready.filter(~F.col("is_test")), ready.filter(F.col("is_test")), ready, med, stages)
 
 
 def logistic_baseline(train: DataFrame):
@@ -208,12 +227,9 @@ def logistic_baseline(train: DataFrame):
     return lr.fit(train.withColumn("w", balanced_weight(train)))
 
 
-def gbt(rounds: int, active_w: float, validation: str | None = None) -> GBTClassifier:
-    g = GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="w", maxIter=rounds,
-                      stepSize=STEP_SIZE, maxDepth=MAX_DEPTH, seed=SEED)
-    if validation:
-        g = g.setValidationIndicatorCol(validation)
-    return g
+def gbt(rounds: int, active_w: float) -> GBTClassifier:
+    return GBTClassifier(featuresCol="features", labelCol=LABEL, weightCol="w", maxIter=rounds,
+                         stepSize=STEP_SIZE, maxDepth=MAX_DEPTH, seed=SEED)
 
 
 def scored(model, df: DataFrame) -> DataFrame:
@@ -228,39 +244,82 @@ def weight_search(train: DataFrame, weights=ACTIVE_WEIGHTS, rounds: int = SEARCH
     Fit on 80% of train, measure on the other 20% (validation), strictly
     greater F1 wins (first weight on ties).
     """
-    sp = sized(stratified_split(train.drop("is_test"), seed=SEED + 1, out="is_val"))
-    sp = sp.checkpoint(eager=True)
+    sp = write_and_reread(
+        stratified_split(train.drop("is_test"), seed=SEED + 1, out="is_val").repartition(KEY), "search")
     fit, val = sp.filter(~F.col("is_val")), sp.filter(F.col("is_val"))
 
     def one(w):
         m = gbt(rounds, w).fit(fit.withColumn("w", active_weight(w)))
         s = scored(m, val)
+        s = write_and_reread(s, "search-scores")
         apr = M.active_precision_recall(s, LABEL, "prediction").first()
         auc = M.roc_auc(s, LABEL, "churn_probability").first()["roc_auc"]
-        return (w, apr["precision"], apr["recall"], apr["f1"], auc)
+        n = s.agg(F.count_if(F.col(LABEL) == 0).alias("a"), F.count_if(F.col(LABEL) == 1).alias("c")).first()
+        return (w, apr["precision"], apr["recall"], apr["f1"], auc, n["a"], n["c"])
 
     # candidates are independent fits: submit them concurrently, as the
     # ``parallelism`` option of Spark's tuning estimators does
     with ThreadPoolExecutor(max_workers=min(parallelism, len(weights))) as ex:
         rows = list(ex.map(one, weights))
     best_w, best_f1 = 1, 0.0
-    for w, _, _, f1, _ in rows:  # in grid order: strictly greater wins
+    for w, _, _, f1, *_ in rows:  # in grid order: strictly greater wins
         if f1 > best_f1:
             best_w, best_f1 = w, f1
     return best_w, rows
 
 
-def final_model(train: DataFrame, active_w: float, rounds: int = FINAL_ROUNDS):
-    """Boosted trees with early stopping on a validation split of train."""
-    sp = stratified_split(train.drop("is_test"), seed=SEED + 2, out="is_val")
-    return gbt(rounds, active_w, "is_val").fit(sp.withColumn("w", active_weight(active_w)))
+def stop_round(losses: list[float], patience: int = PATIENCE) -> tuple[int, bool]:
+    """(best round, whether patience ended): rounds count from 1; training ends
+    ``patience`` rounds after the best loss, the earliest of equal ones."""
+    best = 0
+    for i, x in enumerate(losses):
+        if x < losses[best]:
+            best = i
+        elif i - best >= patience:
+            return best + 1, True
+    return best + 1, False
+
+
+@dataclass
+class Boosted:
+    model: object
+    best_round: int
+    rounds_tried: int
+    losses: list[float]
+    validation: DataFrame
+
+
+def final_model(train: DataFrame, active_w: float, rounds: int = FINAL_ROUNDS,
+                patience: int = PATIENCE) -> Boosted:
+    """Boosted trees that stop ``patience`` rounds after the best weighted loss
+    on a validation split of ``train``.
+
+    Spark's own stopping rule has no patience, so rounds are fitted in growing
+    attempts, judged by the loss after each round, and the best number of
+    rounds is fitted again (the same seed grows the same trees).
+    """
+    sp = write_and_reread(
+        stratified_split(train.drop("is_test"), seed=SEED + 2, out="is_val")
+        .withColumn("w", active_weight(active_w)).repartition(KEY), "final")
+    fit, val = sp.filter(~F.col("is_val")), sp.filter(F.col("is_val"))
+    tried = min(rounds, max(FIRST_ROUNDS, patience + 1))
+    while True:
+        model = gbt(tried, active_w).fit(fit)
+        losses = list(model.evaluateEachIteration(val))
+        best, ended = stop_round(losses, patience)
+        if ended or tried >= rounds:
+            break
+        tried = min(rounds, 2 * tried)
+    if best != model.getNumTrees:
+        model = gbt(best, active_w).fit(fit)
+    return Boosted(model, best, min(tried, best + patience), losses, val)
 
 
 def risk_segments(scores: DataFrame, prob: str = "churn_probability") -> DataFrame:
     """Low / Medium / High by the 33rd and 66th percentile (right-closed bins
     [0, p33], (p33, p66], (p66, 1]) and the action for each segment."""
-    q = exact_quantiles(scores, prob, RISK_PROBS, tie_cols=(KEY,))
-    edges = [F.lit(0.0), *quantile_scalars(q, RISK_PROBS), F.lit(1.0)]
+    q = exact_quantiles(scores, prob, RISK_PROBS)
+    edges = [F.lit(0.0), *quantile_edges(q, RISK_PROBS), F.lit(1.0)]
     seg = edge_bins(F.col(prob), edges, RISK_LABELS)
     act = F.create_map(*[x for k, v in RISK_ACTIONS.items() for x in (F.lit(k), F.lit(v))])
     return scores.withColumn("risk_segment", seg) \
@@ -271,14 +330,17 @@ def risk_distribution(seg: DataFrame) -> DataFrame:
     return seg.groupBy("risk_segment").agg(F.count(F.lit(1)).alias("customers"))
 
 
-def save_model(model, features: list[str], med: dict, threshold: float, path: str,
-               spark) -> None:
-    """Model directory plus a one-row metadata table (features, medians, threshold)."""
-    PipelineModel(stages=[model]).write().overwrite().save(f"{path}/model")
+def save_model(stages: PipelineModel, model, features: list[str], med: dict, threshold: float,
+               path: str, spark) -> None:
+    """One pipeline from raw feature-mart rows to probabilities (state index,
+    imputation, assembly, model), plus a metadata table (features, medians,
+    state labels, threshold)."""
+    PipelineModel(stages=[*stages.stages, model]).write().overwrite().save(f"{path}/model")
+    labels = stages.stages[1].labels
     meta = spark.createDataFrame(
-        [(i, f, float(med.get(f)) if med.get(f) is not None else None, float(threshold))
+        [(i, f, float(med.get(f)) if med.get(f) is not None else None, float(threshold), labels)
          for i, f in enumerate(features)],
-        "position int, feature string, median double, threshold double")
+        "position int, feature string, median double, threshold double, state_labels array<string>")
     meta.write.mode("overwrite").parquet(f"{path}/metadata")
 
 
@@ -286,6 +348,41 @@ def load_model(path: str, spark) -> tuple[PipelineModel, DataFrame]:
     return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/metadata")
 
 
+def boosted_contributions(model, df: DataFrame, features: list[str], med: dict) -> DataFrame:
+    """Per feature, the mean absolute change of the churn probability when the
+    feature is set to its training median, over all rows of ``df``: one scoring
+    job over the rows, each with one variant per feature."""
+    x = vector_to_array(F.col("features"))
+    variants = F.array(F.struct(F.lit(None).cast("string").alias("feature"), x.alias("v")), *[
+        F.struct(F.lit(f).alias("feature"),
+                 F.transform(x, lambda a, k, i=i, f=f: F.when(k == i, F.lit(float(med.get(f) or 0.0)))
+                             .otherwise(a)).alias("v")) for i, f in enumerate(features)])
+    long = df.select(KEY, F.explode(variants).alias("r")).select(
+        KEY, "r.feature", array_to_vector("r.v").alias("features"))
+    p = probability(model.transform(long)).select(KEY, "feature", "churn_probability")
+    whole = p.filter("feature is null").select(KEY, F.col("churn_probability").alias("_p"))
+    return (p.filter("feature is not null").join(whole, KEY).groupBy("feature")
+            .agg(F.avg(F.abs(F.col("churn_probability") - F.col("_p"))).alias("importance")))
+
+
+def stationarity(model, train: DataFrame, n_features: int) -> DataFrame:
+    """Per coefficient (and the intercept, position -1): the objective's
+    gradient at the fitted coefficients, in units of the feature's spread."""
+    n = train.count()
+    reg = 1.0 / (LOGREG_C * n)
+    beta = model.coefficients.toArray().tolist()
+    rows = probability(model.transform(train.withColumn("w", balanced_weight(train))))
+    x = vector_to_array(F.col("features"))
+    wt, err = F.sum("w"), F.col("w") * (F.col("churn_probability") - F.col(LABEL))
+    one = rows.agg(
+        (F.sum(err) / wt).alias("g_1"),
+        *[((F.sum(err * x[i]) / wt + reg * beta[i]) / F.greatest(F.stddev_pop(x[i]), F.lit(1e-9)))
+          .alias(f"g{i}") for i in range(n_features)])
+    return one.select(F.explode(F.array(
+        F.struct(F.lit(-1).alias("position"), F.col("g_1").alias("gradient")),
+        *[F.struct(F.lit(i).alias("position"), F.col(f"g{i}").alias("gradient"))
+          for i in range(n_features)])).alias("r")).select("r.*")
+
 
 def linear_contributions(model, df: DataFrame, features: list[str]) -> DataFrame:
     """Mean |coef_j * (x_j - mean_j)| per feature over all rows of ``df``: the

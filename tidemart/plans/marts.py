@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from ..functions.temporal import elapsed_days
 from ..operators.joins import lookup_join
-from ..operators.scale import row_numbers
 
 # Defaults of the feature mart when a customer has no payments or
 # no reviews, the churn horizon and the untranslated-category label.
@@ -107,49 +106,31 @@ def ref_date(orders: DataFrame) -> Column:
     return ref_date_frame(orders).scalar()
 
 
-# A window partition is sorted and scanned by one task; above this many rows
-# per customer the lag runs on range partitions instead.
-WINDOW_GROUP_MAX_ROWS = 1_000_000
-
-
-PROBE_ROWS = 10_000_000
-
-
-def largest_group(df: DataFrame, key: str, probe_rows: int = PROBE_ROWS) -> int:
-    """Rows in the largest group, for choosing a strategy (results never depend
-    on it). Exact up to ``probe_rows`` rows; above that it is estimated from a
-    seeded sample of about ``probe_rows`` rows, so the probe shuffles a bounded
-    number of keys however large the input is."""
-    n = df.count()
-    frac = min(1.0, probe_rows / n) if n else 1.0
-    src = df if frac >= 1.0 else df.sample(fraction=frac, seed=17)
-    top = src.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0] or 0
-    return int(round(top / frac))
-
-
-def orders_with_gap(fct: DataFrame, *, hot_key_safe: bool | None = None,
-                    max_window_rows: int = WINDOW_GROUP_MAX_ROWS) -> DataFrame:
+def orders_with_gap(fct: DataFrame) -> DataFrame:
     """Delivered orders with whole days since the customer's previous purchase.
 
-    ``hot_key_safe=None`` decides from the data: a plain window when every
-    customer fits one task comfortably, the range-partitioned lag when some
-    customer holds more than ``max_window_rows`` orders.
+    The lag runs inside (customer, hour), so a customer with a third of all
+    orders is spread over as many tasks as there are hours; the first order of
+    an hour looks back to the customer's last purchase in the hour before that
+    has any, taken from one row per customer and hour. A NULL customer is a
+    customer, as in a plain window.
     """
     d = fct.filter(F.col("order_status") == "delivered").select(
         "customer_id", "order_id", "purchased_at", "delivered_to_customer_at",
-        "estimated_delivery_at", "total_order_value", "delivery_days", "item_count")
-    if hot_key_safe is None:
-        hot_key_safe = largest_group(d.select("customer_id"), "customer_id") > max_window_rows
-    if hot_key_safe:
-        g = row_numbers(d, ["purchased_at", "order_id"], group_cols=["customer_id"],
-                        lags=[("purchased_at", "_prev_purchase")], out="_rn", restart=False)
-        g = g.drop("_rn")
-    else:
-        w = Window.partitionBy("customer_id").orderBy("purchased_at", "order_id")
-        g = d.withColumn("_prev_purchase", F.lag("purchased_at").over(w))
-    return g.withColumn("purchase_gap_days",
-                        elapsed_days(F.col("purchased_at"), F.col("_prev_purchase"))) \
-            .drop("_prev_purchase")
+        "estimated_delivery_at", "total_order_value", "delivery_days", "item_count",
+        F.struct(F.to_date("purchased_at").alias("day"), F.hour("purchased_at").alias("hour"))
+         .alias("_slice"))
+    inside = Window.partitionBy("customer_id", "_slice").orderBy("purchased_at", "order_id")
+    g = d.withColumns({"_prev": F.lag("purchased_at").over(inside),
+                       "_rn": F.row_number().over(inside)})
+    slices = d.groupBy("customer_id", "_slice").agg(F.max("purchased_at").alias("_last"))
+    earlier = Window.partitionBy("customer_id").orderBy("_slice")
+    before = slices.select(F.col("customer_id").alias("_c"), F.col("_slice").alias("_s"),
+                           F.lag("_last").over(earlier).alias("_before"))
+    j = g.join(before, g["customer_id"].eqNullSafe(before["_c"]) & (g["_slice"] == before["_s"]), "left")
+    prev = F.when(F.col("_rn") == 1, F.col("_before")).otherwise(F.col("_prev"))
+    return j.withColumn("purchase_gap_days", elapsed_days(F.col("purchased_at"), prev)) \
+            .drop("_prev", "_rn", "_slice", "_c", "_s", "_before")
 
 
 def mean(c: Column) -> Column:
@@ -198,10 +179,10 @@ def review_features(fct: DataFrame, stg_reviews: DataFrame) -> DataFrame:
 
 
 def mart_customer_features(fct: DataFrame, dim_cust: DataFrame, stg_payments: DataFrame,
-                           stg_reviews: DataFrame, *, hot_key_safe: bool | None = None) -> DataFrame:
+                           stg_reviews: DataFrame) -> DataFrame:
     """One row per customer with at least one delivered order (16 columns)."""
     ref = ref_date(fct)
-    f = order_features(orders_with_gap(fct, hot_key_safe=hot_key_safe), ref)
+    f = order_features(orders_with_gap(fct), ref)
     p = payment_features(fct, stg_payments)
     r = review_features(fct, stg_reviews)
     c = dim_cust.select("customer_id", F.col("state").alias("customer_state"))

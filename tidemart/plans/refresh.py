@@ -2,10 +2,8 @@
 
 1. every landing CSV is loaded into its raw table (full refresh);
 2. the marts are built from the raw tables and written whole (dimensions and
-   the fact first, then features and labels, which read the written fact);
-   the fact and the customer dimension are bucketed by customer, so the
-   feature mart's window, per-customer aggregates and join need no shuffle of
-   the order fact;
+   the fact first, then features and labels, which read the written fact), as
+   named tables with a stable place: ``raw.orders``, ``marts.fct_orders``;
 3. the data-quality suite runs on the written tables; any failing check fails
    the run (``RefreshFailed``) after the report is written.
 
@@ -21,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import Warehouse
-from ..sources import files
+from ..sources import databases, files
 from ..sources.fixtures import RawTables
 from . import marts, quality
 
@@ -33,21 +31,25 @@ class RefreshFailed(RuntimeError):
     pass
 
 
-# marts written bucketed by customer: the features mart windows and groups
-# the order fact by customer and joins the customer dimension on it
-BUCKETED = {"fct_orders": "customer_id", "dim_customers": "customer_id"}
-
-
 def refresh_all(spark: SparkSession, landing_dir: str, base_dir: str,
-                fail_on_error: bool = True, buckets: int | None = None) -> DataFrame:
-    """Run the batch; return the run report (step, name, status, rows)."""
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tag = "tm_" + "".join(ch if ch.isalnum() else "_" for ch in base_dir)[-40:]
-    raw_dir, mart_dir = f"{base_dir}/raw", f"{base_dir}/marts"
+                fail_on_error: bool = True, fail_on_skipped: bool = False,
+                raw_db: str = "raw", marts_db: str = "marts") -> DataFrame:
+    """Run the batch; return the run report (step, name, status, rows).
+
+    A missing landing file is skipped and reported; ``fail_on_skipped`` makes
+    it an error. Tables live under ``base_dir`` and replace the last run's.
+    """
+    raw_dir = f"{base_dir.rstrip('/')}/{raw_db}.db"
     load = files.multi_file_load(spark, landing_dir, raw_dir)
     load_rep = load.select(F.lit("load").alias("step"), F.col("table_name").alias("name"),
                            "status", "rows")
+    skipped = [r["name"] for r in load_rep.filter(F.col("status") != "loaded").collect()]
+    if skipped and fail_on_skipped:
+        raise RefreshFailed(f"landing files are missing for {skipped}")
     raw = files.ParquetRaw(spark, raw_dir)
+    for t in RawTables.NAMES:
+        if t not in skipped:
+            databases.open_table(spark, raw_db, t, base_dir)
     w = Warehouse(spark, landing_dir, raw=raw)
     built: dict[str, DataFrame] = {}
     for m in MART_ORDER:
@@ -58,11 +60,7 @@ def refresh_all(spark: SparkSession, landing_dir: str, base_dir: str,
             df = marts.mart_churn_labels(built["fct_orders"])
         else:
             df = w.model(m)
-        if m in BUCKETED:
-            built[m] = files.materialise_bucketed(df, f"{mart_dir}/{m}", f"{tag}_{m}",
-                                                  BUCKETED[m], buckets)
-        else:
-            built[m] = files.materialise(df, f"{mart_dir}/{m}")
+        built[m] = databases.replace_table(df, marts_db, m, base_dir)
     model_rep = reduce(DataFrame.unionByName, [
         t.agg(F.count(F.lit(1)).alias("rows")).select(
             F.lit("model").alias("step"), F.lit(m).alias("name"), F.lit("built").alias("status"),

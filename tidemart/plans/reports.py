@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.bins import edge_bins, fixed_bins, rank_quintile
 from ..functions.temporal import add_days, elapsed_days, month_text
-from ..operators.scale import exact_quantiles, quantile_scalars, row_numbers
+from ..operators.positions import write_and_reread
+from ..operators.scale import exact_quantiles, quantile_edges, row_numbers
 from .marts import MONEY_SUM, mean
 
 # Delivery-time buckets (days, right-closed) and their labels.
@@ -64,14 +65,12 @@ def quintile_edges(df: DataFrame, cols: list[str], key: str) -> DataFrame:
     long = df.select(key, F.explode(F.array(*[
         F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
         for c in cols])).alias("r")).select(key, "r.*")
-    return exact_quantiles(long, "value", QUINTILE_PROBS, group_cols=["metric"],
-                           tie_cols=(key,))
+    return exact_quantiles(long, "value", QUINTILE_PROBS, group_cols=["metric"])
 
 
 def value_quintile(edges_df: DataFrame, col: str, reverse: bool = False) -> Column:
     """Quintile bin of a value (pandas ``qcut(x, 5)``), 5..1 when reversed."""
-    e = edges_df.filter(F.col("metric") == col)
-    edges = quantile_scalars(e, QUINTILE_PROBS)
+    edges = quantile_edges(edges_df.filter(F.col("metric") == col), QUINTILE_PROBS)
     labels = [5, 4, 3, 2, 1] if reverse else [1, 2, 3, 4, 5]
     return edge_bins(F.col(col).cast("double"), edges, labels)
 
@@ -87,15 +86,14 @@ def segment(r: Column, f: Column) -> Column:
 
 def rfm_scores(base: DataFrame, key: str = "customer_id") -> DataFrame:
     """Per key: recency, frequency, monetary, r/f/m scores and segment."""
-    # one row per customer, read by three ordered passes below: write it once
-    # to the checkpoint folder instead of recomputing the order pipeline
-    rfm = rfm_base(base, key).checkpoint(eager=True)
-    edges = quintile_edges(rfm, ["recency", "monetary"], key).checkpoint(eager=True)
+    # one row per customer, read by the passes below: written once
+    rfm = write_and_reread(rfm_base(base, key), "rfm")
+    edges = write_and_reread(quintile_edges(rfm, ["recency", "monetary"], key), "rfm-edges")
     r_score = value_quintile(edges, "recency", reverse=True)
     m_score = value_quintile(edges, "monetary")
     # rank(method='first') on frequency: ties in key order
     ranked = row_numbers(rfm, ["frequency", key], out="_frank")
-    n = rfm.agg(F.count(F.lit(1))).scalar()
+    n = F.lit(rfm.count())
     scored = ranked.select(
         key, "recency", "frequency", "monetary",
         r_score.alias("r_score"),

@@ -9,14 +9,16 @@ Layout under the shared work folder (``session.work_path``):
 from __future__ import annotations
 
 import hashlib
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
-from ..schemas import FILE_TABLE_MAP, raw_schema
+from ..schemas import FILE_TABLE_MAP, RAW_COLUMNS, raw_schema
 from ..session import work_path
 
 # Text that pandas reads as a missing value by default.
@@ -26,7 +28,7 @@ PANDAS_NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN"
 # Tables whose free text may hold line breaks; only these are read in multiLine
 # mode, because a multiLine CSV file cannot be split across tasks.
 MULTILINE_TABLES = {"order_reviews"}
-CHUNK_ROWS = 10_000
+CHUNK_ROWS = 5_000_000  # rows per file; a parameter of ``chunked_write``
 
 
 def source_tag(sf_dir: str) -> str:
@@ -40,12 +42,28 @@ def na_to_null(df: DataFrame, na_values=PANDAS_NA_VALUES) -> DataFrame:
                         .otherwise(F.col(f"`{c}`")).alias(c) for c in df.columns])
 
 
+class HeaderMismatch(ValueError):
+    pass
+
+
 def read_csv_text(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Read a landing CSV with every column as text (no inference)."""
-    r = (spark.read.schema(raw_schema(table)).option("header", True)
-         .option("escape", '"').option("multiLine", table in MULTILINE_TABLES)
-         .option("mode", "FAILFAST"))
-    return na_to_null(r.csv(path))
+    """Read a landing CSV with every column as text (no inference).
+
+    Columns are matched by the header's names, in any order; a missing or
+    unknown column is an error, and so is a file of the folder whose header
+    differs from the first one's.
+    """
+    options = {"header": True, "escape": '"', "multiLine": table in MULTILINE_TABLES}
+    found = spark.read.options(**options).csv(path).columns
+    wanted = RAW_COLUMNS[table]
+    if found and sorted(found) != sorted(wanted):
+        raise HeaderMismatch(
+            f"{path}: missing columns {sorted(set(wanted) - set(found))}, "
+            f"unknown columns {sorted(set(found) - set(wanted))}")
+    schema = StructType([StructField(c, StringType()) for c in found]) if found else raw_schema(table)
+    rows = (spark.read.schema(schema).options(**options).option("enforceSchema", False)
+            .option("mode", "FAILFAST").csv(path))
+    return na_to_null(rows).select(*wanted)
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
@@ -67,15 +85,14 @@ def export_landing(spark: SparkSession, raw: dict[str, DataFrame], dest: str,
     return dest
 
 
-_LANDED: dict[tuple, str] = {}
+def landing_for(spark: SparkSession, sf_dir: str, raw: dict[str, DataFrame]) -> str:
+    """Export one source to a landing folder of its own."""
+    return export_landing(spark, raw, work_path(spark, "landing", f"{source_tag(sf_dir)}-{uuid.uuid4().hex[:8]}"))
 
 
-def landing_for(spark: SparkSession, sf_dir: str, raw: dict[str, DataFrame]) -> str:
-    """Landing folder for one source, exported once per run."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDED:
-        _LANDED[key] = export_landing(spark, raw, work_path(spark, "landing", source_tag(sf_dir)))
-    return _LANDED[key]
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def full_refresh_load(df: DataFrame, path: str) -> DataFrame:
@@ -97,18 +114,23 @@ def load_report_row(spark: SparkSession, table: str, fname: str, status: str,
 def multi_file_load(spark: SparkSession, landing_dir: str, raw_dir: str,
                     file_map: dict[str, str] = FILE_TABLE_MAP,
                     parallelism: int = 4) -> DataFrame:
-    """Load every mapped landing file into its raw table; skip missing files.
+    """Load every mapped landing file into its raw table; skip missing files
+    (any other error stops the load).
 
     Returns the load report (table_name, file_name, status, rows); the total
     is a ``sum(rows)`` over it.
     """
     def load(item):
         fname, table = item
+        path = f"{raw_dir}/{table}"
         try:
             df = read_csv_text(spark, f"{landing_dir}/{fname}", table)
-        except AnalysisException:
-            return load_report_row(spark, table, fname, "skipped", None)
-        path = f"{raw_dir}/{table}"
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            # an older load of the table is still there: say so
+            stale = path_exists(spark, path)
+            return load_report_row(spark, table, fname, "skipped, table is stale" if stale else "skipped", None)
         df.write.mode("overwrite").parquet(path)
         return load_report_row(spark, table, fname, "loaded", path)
 
@@ -134,20 +156,6 @@ def materialise(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def materialise_bucketed(df: DataFrame, path: str, table: str, key: str,
-                         buckets: int) -> DataFrame:
-    """Write a model as an external table bucketed (and sorted) by ``key``.
-
-    Consumers that group, window or join on ``key`` then read data already
-    hash-partitioned into ``buckets`` and skip the shuffle; two tables bucketed
-    alike on the same key join without one.
-    """
-    # one task per bucket, so each bucket is one file (not tasks x buckets)
-    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
-       .option("path", path).saveAsTable(table))
-    return df.sparkSession.table(table)
-
-
 def view(df: DataFrame, name: str) -> DataFrame:
     """Register a model as a (session) view and read it back by name."""
     df.createOrReplaceTempView(name)
