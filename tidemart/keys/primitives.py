@@ -208,7 +208,8 @@ def join_anti(spark, sf_dir):
     return Q.orphan_order_items(w.raw.order_items, w.raw.orders)
 
 
-@register("join_fanout", sql("SELECT * FROM payment_features"))
+@register("join_fanout", sql(
+    "SELECT customer_id, per_payment AS avg_installments, card_share AS credit_card_rate FROM payers"))
 def join_fanout(spark, sf_dir):
     w = W(spark, sf_dir)
     return MT.payment_features(w.fct_orders, w.stg_order_payments)
@@ -222,12 +223,17 @@ def scalar_subquery(spark, sf_dir):
 
 
 # ------------------------------------------------------- aggregations
-@register("agg_group_sum_max", sql("SELECT * FROM payment_totals"))
+@register("agg_group_sum_max", sql("""
+SELECT order_id, CAST(list_sum(amounts) AS DECIMAL(38,2)) AS total_payment_value,
+       list_max(instalments) AS max_installments FROM paid"""))
 def agg_group_sum_max(spark, sf_dir):
     return MT.payment_totals(W(spark, sf_dir).stg_order_payments)
 
 
-@register("agg_group_expr", sql("SELECT * FROM item_totals"))
+@register("agg_group_expr", sql("""
+SELECT order_id, n_items AS item_count, CAST(goods AS DECIMAL(38,2)) AS total_price,
+       CAST(freight AS DECIMAL(38,2)) AS total_freight_value,
+       CAST(both_sums AS DECIMAL(38,2)) AS total_order_value FROM bought"""))
 def agg_group_expr(spark, sf_dir):
     return MT.item_totals(W(spark, sf_dir).stg_order_items)
 
@@ -240,7 +246,9 @@ def agg_count_distinct(spark, sf_dir):
     return f.groupBy("customer_id").agg(F.count_distinct("order_id").alias("total_orders"))
 
 
-@register("agg_avg_min", sql("SELECT * FROM review_features"))
+@register("agg_avg_min", sql("""
+SELECT customer_id, mean_score AS avg_review_score, worst AS min_review_score,
+       bad_share AS bad_review_rate FROM reviewers"""))
 def agg_avg_min(spark, sf_dir):
     w = W(spark, sf_dir)
     return MT.review_features(w.fct_orders, w.stg_order_reviews)
@@ -263,12 +271,12 @@ def agg_global_nulls(spark, sf_dir):
     return Q.orders_null_check(W(spark, sf_dir).raw.orders)
 
 
-@register("agg_global_max", sql("SELECT * FROM ref_date"))
+@register("agg_global_max", sql("SELECT last_at AS ref_date FROM latest"))
 def agg_global_max(spark, sf_dir):
     return MT.ref_date_frame(W(spark, sf_dir).fct_orders)
 
 
-@register("macro_ref_date", sql("SELECT * FROM ref_date"))
+@register("macro_ref_date", sql("SELECT last_at AS ref_date FROM latest"))
 def macro_ref_date(spark, sf_dir):
     return MT.ref_date_frame(W(spark, sf_dir).fct_orders)
 

@@ -353,10 +353,14 @@ def boosted_contributions(model, df: DataFrame, features: list[str], med: dict)
     feature is set to its training median, over all rows of ``df``: one scoring
     job over the rows, each with one variant per feature."""
     x = vector_to_array(F.col("features"))
-    variants = F.array(F.struct(F.lit(None).cast("string").alias("feature"), x.alias("v")), *[
-        F.struct(F.lit(f).alias("feature"),
-                 F.transform(x, lambda a, k, i=i, f=f: F.when(k == i, F.lit(float(med.get(f) or 0.0)))
-                             .otherwise(a)).alias("v")) for i, f in enumerate(features)])
+
+    def with_median(i: int) -> Column:
+        m = F.lit(float(med.get(features[i]) or 0.0))
+        return F.transform(x, lambda a, k: F.when(k == i, m).otherwise(a))
+
+    variants = F.array(
+        F.struct(F.lit(None).cast("string").alias("feature"), x.alias("v")),
+        *[F.struct(F.lit(f).alias("feature"), with_median(i).alias("v")) for i, f in enumerate(features)])
     long = df.select(KEY, F.explode(variants).alias("r")).select(
         KEY, "r.feature", array_to_vector("r.v").alias("features"))
     p = probability(model.transform(long)).select(KEY, "feature", "churn_probability")
