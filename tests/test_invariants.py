@@ -43,3 +43,23 @@ def test_rfm_scores_match_pandas_qcut(spark):
                        "f_score": fifths(rfm["frequency"].rank(method="first")),
                        "m_score": fifths(rfm["monetary"].astype(float))}.items():
         assert (got[name] == want).all(), name
+
+
+def test_rfm_by_real_buyer(spark):
+    w = Warehouse(spark, SF)
+    base = reports.order_customer_base(w.fct_orders, w.dim_customers, carry=("customer_unique_id",))
+    got = reports.rfm_scores(base, key="customer_unique_id")
+    assert got.columns[0] == "customer_unique_id"
+    assert got.count() == base.select("customer_unique_id").distinct().count()
+
+
+def test_mart_output_types(spark):
+    w = Warehouse(spark, SF)
+    fct, feats, labels = (dict(df.dtypes) for df in (
+        w.fct_orders, w.mart_customer_features, w.mart_churn_labels))
+    assert fct["purchased_at"] == fct["delivered_to_customer_at"] == "timestamp_ntz"
+    assert fct["total_order_value"] == feats["monetary"] == "decimal(38,2)"
+    assert fct["delivery_days"] == feats["recency_days"] == labels["days_since_last_order"] == "int"
+    assert feats["frequency"] == labels["total_orders"] == "bigint"
+    assert feats["avg_review_score"] == feats["late_delivery_rate"] == "double"
+    assert feats["min_review_score"] == labels["is_churned"] == "int"

@@ -126,10 +126,13 @@ def _profile_sql() -> str:
     parts = []
     for n in sorted(RawTables.NAMES):
         cols = RAW_COLUMNS[n]
+        order = ", ".join(f"{c} NULLS LAST" for c in cols)
         for i, c in enumerate(cols):
             parts.append(
                 f"SELECT '{n}' AS table_name, count(*) AS n_rows, {len(cols)} AS n_cols, "
-                f"{i + 1} AS ordinal, '{c}' AS column_name, count_if({c} IS NULL) AS null_count "
+                f"{i + 1} AS ordinal, '{c}' AS column_name, count_if({c} IS NULL) AS null_count, "
+                f"(SELECT coalesce(string_agg(v, '|' ORDER BY nth), '') FROM (SELECT coalesce({c}, '') AS v, "
+                f"row_number() OVER (ORDER BY {order}) AS nth FROM raw_{n}) s WHERE nth <= {Q.SAMPLE_ROWS}) AS sample "
                 f"FROM raw_{n}")
     return " UNION ALL ".join(parts)
 

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.temporal import elapsed_days
-from ..operators.joins import lookup_join
 
 # Defaults of the feature mart when a customer has no payments or
 # no reviews, the churn horizon and the untranslated-category label.
@@ -45,7 +44,7 @@ def dim_products(stg_products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products with the English category, 'uncategorized' when missing."""
     t = translation.select(F.col("product_category_name").alias("_cat"),
                            "product_category_name_english")
-    j = lookup_join(stg_products, t, F.col("category_name") == F.col("_cat"))
+    j = stg_products.join(t, F.col("category_name") == F.col("_cat"), "left")
     return j.select(
         "product_id",
         F.coalesce(F.col("product_category_name_english"), F.lit(UNCATEGORIZED))

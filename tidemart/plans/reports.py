@@ -29,13 +29,14 @@ MIN_STATE_ORDERS = 100
 TOP_K = 10
 
 
-def order_customer_base(fct: DataFrame, dim_cust: DataFrame) -> DataFrame:
-    """Orders with the customer's state (inner join, 9 columns)."""
-    c = dim_cust.select("customer_id", "state")
+def order_customer_base(fct: DataFrame, dim_cust: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Orders with the customer's state (inner join, 9 columns) and the customer
+    columns ``carry``, e.g. ``customer_unique_id`` to score real buyers by it."""
+    c = dim_cust.select("customer_id", "state", *carry)
     return fct.join(c, "customer_id").select(
         "order_id", "customer_id", "order_status", "purchased_at",
         "delivered_to_customer_at", "estimated_delivery_at", "total_order_value",
-        "delivery_days", "state")
+        "delivery_days", "state", *carry)
 
 
 def is_late(delivered: Column, estimated: Column) -> Column:

@@ -1,4 +1,4 @@
-"""Schemas of the raw tables (all text) and of the staged / mart models."""
+"""Schemas of the raw tables (all text) and the landing file map."""
 
 from __future__ import annotations
 
