@@ -40,14 +40,7 @@ def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each SimHash group stays (operator 10)."""
-    groups = simhash.simhash_groups(docs)
-    # of each component: the row key with the smallest id (NULL last), then the smallest key
-    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), F.col("k1"), F.col("k2"))
-    heads = groups.groupBy("group").agg(F.min(first).alias("head")).select("head.k1", "head.k2")
-    keyed = docs.select(F.struct("*").alias("row"), *row_key(F.col("doc_id"), F.col("text")))
-    kept = keyed.join(heads, ["k1", "k2"], "left_semi")
-    # repeated rows share the key: one of them stays
-    return kept.dropDuplicates(["k1", "k2"]).select("row.*").select(*docs.columns)
+    return simhash.keep_one_per_group(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

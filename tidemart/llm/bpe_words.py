@@ -33,7 +33,6 @@ from pyspark.sql import types as T
 
 from ..session import work_path
 from .bpe import load_tokenizer, pieces, split_words
-from .common import write_and_reread
 
 CHUNK_BYTES = 16 << 20
 WORD_BUCKETS = 1024

@@ -163,3 +163,30 @@ def simhash_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     return marked.join(of_fp, "fp").select(
         "doc_id", "k1", "k2", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "group", "component_id")
+
+
+#: Keys to drop are broadcast up to this many (16 bytes each); more of them meet
+#: the documents in a shuffled join with the same result.
+BROADCAST_MAX_KEYS = 500_000
+
+
+def keep_one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay: of each group the one with the smallest
+    non-NULL doc_id (then the smallest row key), one of repeated rows.
+
+    Only the keys of rows that go, or are repeated, meet the documents, so the
+    texts are not shuffled while there are few of them."""
+    groups = simhash_groups(docs, doc_id=doc_id, text=text, **options)
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("k1"), F.col("k2"))
+    heads = groups.groupBy("group").agg(F.min(rank).alias("_head"))
+    keys = groups.groupBy("group", "k1", "k2").agg(F.min(rank).alias("_rank"), F.count(F.lit(1)).alias("_n"))
+    special = write_and_reread(
+        keys.join(heads, "group").select("k1", "k2", (F.col("_rank") == F.col("_head")).alias("_stays"), "_n")
+        .filter("not _stays or _n > 1").select("k1", "k2", "_stays"), "dropped-keys")
+    if special.count() <= BROADCAST_MAX_KEYS:
+        special = F.broadcast(special)
+    keyed = docs.select(F.struct("*").alias("row"), *row_key(F.col(doc_id), F.col(text)))
+    marked = keyed.join(special, ["k1", "k2"], "left")
+    plain = marked.filter("_stays is null").select("row.*")
+    repeated = marked.filter("_stays").dropDuplicates(["k1", "k2"]).select("row.*")
+    return plain.unionByName(repeated).select(*docs.columns)
