@@ -6,7 +6,9 @@ others are revisit records that refer to it. The reader checks every record
 (member checksum, version line, length, block and payload digests). After a
 failed check it searches for the next gzip member or version line that begins a
 record passing all checks, goes on from there, and logs the skipped bytes as a
-gap with the reason. Compressed and plain records may be mixed.
+gap with the reason. Compressed and plain records may be mixed. The format has
+no check over a plain record's header fields, only over its block; a gzip
+member's checksum covers both.
 
 Defined results: NULL html is an empty payload; a NULL page_id is written as
 ``null`` and read back as NULL, and never chosen while another has an id;
@@ -17,6 +19,7 @@ characters in a url are percent-encoded; an empty table gives no files.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import io
 import re
@@ -36,6 +39,7 @@ PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 VERSION = b"WARC/1."
 GZIP = b"\x1f\x8b\x08"
 PLAIN_END = b"\r\n\r\n"
+MANDATORY = {"warc-record-id", "warc-date", "warc-type", "content-length"}  # fixed values
 
 
 def _id(page_id) -> str:
@@ -77,6 +81,18 @@ class Damaged(Exception):
     pass
 
 
+def check_digest(said: str | None, data: bytes, what: str) -> None:
+    """``said`` is ``algorithm:value`` in hex or base 32, or absent."""
+    if said is None:
+        return
+    algorithm, _, value = said.partition(":")
+    if algorithm not in hashlib.algorithms_available:
+        raise Damaged(f"{what} digest of an unknown kind")
+    h = hashlib.new(algorithm, data)
+    if value.lower() != h.hexdigest() and value != base64.b32encode(h.digest()).decode():
+        raise Damaged(f"{what} digest differs")
+
+
 def parse_record(f, pos: int):
     """The plain record at ``pos`` of the seekable ``f``: (headers, block, end)."""
     f.seek(pos)
@@ -97,8 +113,8 @@ def parse_record(f, pos: int):
             raise Damaged("broken header")
         fields[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
     size = fields.get("content-length", "")
-    if not size.isdigit() or "warc-type" not in fields:
-        raise Damaged("header without length or type")
+    if not size.isdigit() or not MANDATORY <= fields.keys():
+        raise Damaged("header without a mandatory field")
     begin = pos + len(head) + len(PLAIN_END)
     f.seek(begin)
     block = f.read(int(size))
@@ -106,9 +122,7 @@ def parse_record(f, pos: int):
         raise Damaged("record cut short")
     if f.read(len(PLAIN_END)) != PLAIN_END:
         raise Damaged("record does not end where it says")
-    said = fields.get("warc-block-digest", "")
-    if said.startswith("sha1:") and said[5:] != hashlib.sha1(block).hexdigest():
-        raise Damaged("block digest differs")
+    check_digest(fields.get("warc-block-digest"), block, "block")
     return fields, block, begin + int(size) + len(PLAIN_END)
 
 
@@ -232,9 +246,7 @@ def _payload(fields: dict, block: bytes):
     if fields["warc-type"] == "revisit":
         m = re.search(rb"(?im)^content-length:\s*(\d+)", head)
         return None, int(m[1]) if m else None
-    said = fields.get("warc-payload-digest", "")
-    if said.startswith("sha1:") and said[5:] != hashlib.sha1(payload).hexdigest():
-        raise Damaged("payload digest differs")
+    check_digest(fields.get("warc-payload-digest"), payload, "payload")
     return payload, len(payload)
 
 
