@@ -155,7 +155,7 @@ def js_distance(p: Column, q: Column) -> Column:
     parts = F.zip_with(share(p), share(q),
                        lambda x, y: part(x, (x + y) / 2) / 2 + part(y, (x + y) / 2) / 2)
     total = F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)
-    return F.sqrt(F.greatest(total, F.lit(0.0)))
+    return _let(total, lambda t: F.when(t < 0, F.lit(0.0)).otherwise(F.sqrt(t)))
 
 
 def language_references(profiled: DataFrame) -> DataFrame:
