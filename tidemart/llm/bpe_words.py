@@ -35,7 +35,7 @@ from ..session import work_path
 from .bpe import load_tokenizer, pieces, split_words
 
 CHUNK_BYTES = 16 << 20
-WORD_BUCKETS = 1024
+WORD_BUCKETS = 1024           # at least; else 4 for each shuffle partition
 CACHED_WORDS = 1_000_000      # of one bucket; beyond it a word may be encoded again
 WORDS_AT_ONCE = 100_000
 MAX_VOCABULARY = 2_000_000    # of the broadcast id-to-piece table
@@ -219,7 +219,7 @@ def _gather(table):
 
 def encode(docs: DataFrame, tokenizer: str, *, text: str = "text", keep: list[str],
            piece_rows: DataFrame | None = None, chunk_bytes: int = CHUNK_BYTES,
-           n_buckets: int = WORD_BUCKETS) -> DataFrame:
+           n_buckets: int | None = None) -> DataFrame:
     """The columns ``keep`` and ``ids`` (little-endian unsigned 32-bit integers)
     of every row of ``docs``, and with ``piece_rows`` also ``decoded``, as
     ``decode`` gives it. ``tokenizer``: a file all executors can read."""
@@ -237,6 +237,7 @@ def encode(docs: DataFrame, tokenizer: str, *, text: str = "text", keep: list[st
     # one pass over the text writes both kinds, bucketed by chunk
     name = f"bpe_chunks_{uuid.uuid4().hex}"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = n_buckets or max(WORD_BUCKETS, 4 * parts)
     (source.mapInArrow(_split(n_buckets, chunk_bytes, arrow_row), schema)
      .write.bucketBy(parts, "chunk").option("compression", "zstd")
      .option("path", work_path(spark, "tables", name)).saveAsTable(name))
