@@ -24,8 +24,9 @@ from pyspark.sql import functions as F
 from ..operators.positions import with_positions
 from .common import hash128, row_key, write_and_reread
 
-ROUNDS = 5
-SLACK = 0.02  # a shard may hold this share over its even part between rounds
+ROUNDS = 8
+SLACK = 0.05  # a shard may hold this share over its even part between rounds
+ASKED = 0.5  # of the nodes, by hash, in a round
 
 
 def _unit(*cols: Column) -> Column:
@@ -42,7 +43,7 @@ def balanced_label_propagation(nodes: DataFrame, links: DataFrame, n_shards: int
     commonest one where it beats the node's own, and accepts proposals of each
     shard pair up to its quota: what the opposite direction sends back, plus a
     share of the room the target has left. Acceptance is decided by a hash of
-    node and round, and only about half the nodes are asked in a round, so
+    node and round, and only a share ``ASKED`` of the nodes is asked in a round, so
     neighbours do not swap places for ever. Ends early when nothing is proposed.
     """
     both = write_and_reread(
@@ -69,7 +70,7 @@ def balanced_label_propagation(nodes: DataFrame, links: DataFrame, n_shards: int
         asked = write_and_reread(
             best.select(F.col("src").alias("node"), "own", (-F.col("top.minus")).alias("to"), "weight")
             .filter((F.col("top.n") > F.col("here"))
-                    & (_unit(F.col("src"), F.lit(1000 + k)) < 0.5)), "proposals")
+                    & (_unit(F.col("src"), F.lit(1000 + k)) < ASKED)), "proposals")
         demand = {(r["own"], r["to"]): r["w"] for r in
                   asked.groupBy("own", "to").agg(F.sum("weight").alias("w")).collect()}
         if not demand:
