@@ -148,21 +148,22 @@ def _meeting_links(crowded: DataFrame, parts, choices, max_bits: int) -> DataFra
 def simhash_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                    shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS,
                    blocks: int = BLOCKS) -> DataFrame:
-    """``doc_id, k1, k2, fp, fingerprint, group, component_id`` for every row;
-    ``group`` is the component's smallest fingerprint."""
+    """``doc_id, k1, k2, fp, fingerprint, group, component_id, head`` for every
+    row; ``group`` is the component's smallest fingerprint, ``head`` (k1, k2) the
+    row key of its smallest non-NULL doc_id (then the smallest key)."""
     keyed = docs.select(F.col(doc_id).alias("doc_id"), *row_key(F.col(doc_id), F.col(text)),
                         F.col(text).alias("text"))
     marked = write_and_reread(fingerprints(keyed, shingle_words=shingle_words), "fingerprints")
-    distinct = write_and_reread(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fp")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
+    distinct = write_and_reread(marked.groupBy("fp").agg(F.min(first).alias("first")), "distinct-fp")
     comp = connected_components(near_links(distinct.select("fp"), max_bits=max_bits, blocks=blocks))
     grouped = distinct.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("group"))
-    least = grouped.groupBy("group").agg(F.min("least").alias("component_id"))
-    of_fp = write_and_reread(grouped.join(least, "group").select("fp", "group", "component_id"),
-                             "fp-components")
+        "fp", "first", F.coalesce("component", "fp").alias("group"))
+    least = grouped.groupBy("group").agg(F.min("first").alias("head"))
+    of_fp = write_and_reread(grouped.join(least, "group").select("fp", "group", "head"), "fp-components")
     return marked.join(of_fp, "fp").select(
         "doc_id", "k1", "k2", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "group", "component_id")
+        "group", F.col("head.doc_id").alias("component_id"), F.struct("head.k1", "head.k2").alias("head"))
 
 
 #: Keys to drop are broadcast up to this many (16 bytes each); more of them meet
@@ -177,12 +178,10 @@ def keep_one_per_group(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
     Only the keys of rows that go, or are repeated, meet the documents, so the
     texts are not shuffled while there are few of them."""
     groups = simhash_groups(docs, doc_id=doc_id, text=text, **options)
-    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("k1"), F.col("k2"))
-    heads = groups.groupBy("group").agg(F.min(rank).alias("_head"))
-    keys = groups.groupBy("group", "k1", "k2").agg(F.min(rank).alias("_rank"), F.count(F.lit(1)).alias("_n"))
+    stays = (F.col("k1") == F.col("head.k1")) & (F.col("k2") == F.col("head.k2"))
     special = write_and_reread(
-        keys.join(heads, "group").select("k1", "k2", (F.col("_rank") == F.col("_head")).alias("_stays"), "_n")
-        .filter("not _stays or _n > 1").select("k1", "k2", "_stays"), "dropped-keys")
+        groups.select("k1", "k2", stays.alias("_stays")).groupBy("k1", "k2", "_stays")
+        .agg(F.count(F.lit(1)).alias("_n")).filter("not _stays or _n > 1").drop("_n"), "dropped-keys")
     if special.count() <= BROADCAST_MAX_KEYS:
         special = F.broadcast(special)
     keyed = docs.select(F.struct("*").alias("row"), *row_key(F.col(doc_id), F.col(text)))
