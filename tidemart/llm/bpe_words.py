@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 
 from ..session import work_path
 from .bpe import load_tokenizer, pieces, split_words
+from .common import release_memory
 
 CHUNK_BYTES = 16 << 20
 WORD_BUCKETS = 1024           # at least; else 4 for each shuffle partition
@@ -142,6 +143,8 @@ def _split(n_buckets: int, chunk_bytes: int, row_type: pa.DataType):
                 chunk.rows.append(row.slice(done))
         if chunk is not None:
             yield from close()
+        chunk = None
+        release_memory()
 
     return run
 
@@ -167,6 +170,10 @@ def _encode(path: str, cached_words: int):
                 out.append(pack(np.concatenate([[len(ids)], size, *ids])))
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(out, pa.binary())], names=["chunk", "bucket", "ids"])
+        # the next stage of this worker needs no tokenizer
+        tok, known = None, {}
+        load_tokenizer.cache_clear()
+        release_memory()
 
     return run
 
@@ -213,6 +220,8 @@ def _gather(table):
                                              zip(offsets.tolist(), offsets[1:].tolist())], pa.string()))
                     yield pa.RecordBatch.from_arrays(out, names=["row", "ids", "decoded"][:len(out)])
                     a = docs.stop
+                codes = of = rows = lists = got = length = ids = place = begin = None
+                release_memory()
 
     return run
 

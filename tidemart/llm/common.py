@@ -29,3 +29,19 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
 
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, ASCII_UPPER, ASCII_LOWER)
+
+
+def release_memory() -> None:
+    """Give freed memory back to the system: a reused Python worker keeps what
+    a task needed at its peak otherwise."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass

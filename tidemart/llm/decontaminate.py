@@ -35,6 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import release_memory
+
 MAX_EDIT_SHARE = 0.15  # edits per item word
 MIN_ITEM_WORDS = 8
 TARGET_RECALL = 0.95
@@ -284,5 +286,6 @@ def _search(index, names):
             yield pa.RecordBatch.from_arrays(
                 [*[c.take(of) for c in b.columns[:-1]], pa.array([h[1] for h in hits]),
                  *[pa.array([h[k] for h in hits], pa.int32()) for k in (2, 3, 4)]], names=names)
+        release_memory()
 
     return run

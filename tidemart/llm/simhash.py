@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import row_key, write_and_reread
+from .common import release_memory, row_key, write_and_reread
 from .components import connected_components
 
 SEED = 42
@@ -68,6 +68,7 @@ def fingerprints(docs: DataFrame, *, text: str = "text", shingle_words: int = SH
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(np.array(fps, np.uint64).view(np.int64))],
                 names=[*b.schema.names[:-1], "fp"])
+        release_memory()
 
     return docs.select(*rest, text).mapInArrow(run, schema)
 
