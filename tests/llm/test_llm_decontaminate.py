@@ -90,3 +90,19 @@ def test_awkward_and_empty(spark):
     assert [(r["doc_id"], r["item_id"], r["edits"]) for r in got] == [(None, 3, 0)]
     assert dc.contaminated_passages(empty_docs(spark), items).count() == 0
     assert dc.contaminated_passages(docs, items.limit(0)).count() == 0
+
+
+def test_copies_after_a_run_of_one_word():
+    rng = random.Random(5)
+    missed = 0
+    for seed in range(40):
+        run = (16, 20, 24, 30)[seed % 4]
+        words = ["0"] * run + [f"w{rng.randrange(400)}" for _ in range(40 - run)]
+        index = dc.ItemIndex([(1, " ".join(words))], max_edit_share=dc.MAX_EDIT_SHARE, min_item_words=8,
+                             target_recall=dc.TARGET_RECALL, samples=dc.SAMPLES, seed=seed)
+        text = ["x"] * 7 + ["0"] * 80 + words + ["y"] * 30
+        codes = np.array([index.vocab.get(w.encode(), 0) for w in text], np.int32)
+        at, size = np.array([0]), np.array([len(codes)])
+        found = index.verify(codes, at, size, index.candidates(codes, at, size))
+        missed += found != [(0, 0, 0, 87, 127)]
+    assert missed == 0

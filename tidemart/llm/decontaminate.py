@@ -169,12 +169,15 @@ class ItemIndex:
             pattern = self.items[item]
             most = int(self.max_edit_share * len(pattern))
             rows = cand[cand[:, 1] == item]
-            # starts a few words apart are one passage: look at the first of them
+            # neighbouring starts are looked at together, MAX_STRIDE words past the
+            # first of them at most: the margin holds the passage of each
             order = np.lexsort((rows[:, 2], rows[:, 0]))
             rows = rows[order]
             margin = most + MAX_STRIDE
             head = np.ones(len(rows), bool)
             head[1:] = (np.diff(rows[:, 0]) != 0) | (np.diff(rows[:, 2]) > 1)
+            chain = np.maximum.accumulate(np.where(head, np.arange(len(rows)), 0))
+            head |= (rows[:, 2] - rows[chain, 2]) % (MAX_STRIDE + 1) == 0
             rows = rows[head]
             width = len(pattern) + 2 * margin
             for a in range(0, len(rows), 4096):
