@@ -76,3 +76,25 @@ def test_awkward_and_empty(spark):
         assert r["row"].asDict().keys() == set(docs.columns)
         assert not (p["base_failed"] and r["kept"])
     assert q.quality_verdicts(empty_docs(spark)).count() == 0
+
+
+def test_word_bound_follows_the_reference(spark):
+    """References in which common words are about 0.23, as in the given tables."""
+    import random
+    rng = random.Random(6)
+
+    def word(letters):
+        return "".join(rng.choice(letters) for _ in range(rng.randrange(3, 9)))
+
+    def prose(lang, letters, share, n=300):
+        return " ".join(rng.choice(q.COMMON_WORDS[lang]) if rng.random() < share else word(letters)
+                        for _ in range(n))
+
+    en, de = "etaoinshrdlu", "enisratdhulc"
+    rows = [(i, prose("en", en, .23), "en") for i in range(80)]
+    rows += [(100 + i, prose("de", de, .23), "de") for i in range(80)]
+    rows += [(200, prose("en", en, 0), "en"), (201, prose("en", en, .02), "en"), (202, prose("de", de, .23), "en"),
+             (203, prose("de", de, 0), "de"), (204, prose("en", en, .23), "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["row"]["doc_id"]: r["kept"] for r in q.quality_verdicts(df).collect()}
+    assert {i for i, kept in got.items() if not kept} == {200, 201, 202, 203, 204}

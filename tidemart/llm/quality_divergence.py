@@ -6,6 +6,8 @@ Jensen-Shannon distance (base 2, 0 to 1). References are the summed histograms
 of all documents of that language that pass the base rules. A document is
 rejected when a distance exceeds its bound, but only where the guard allows a
 judgement: enough words, and a reference with enough documents and words.
+The word bound is a share of the distance that a text without any common word
+has from the same reference, so such a text is always beyond it.
 
 Per document everything is computed inside its row (no shuffle); only one small
 profile row per document is written and summed per language.
@@ -42,7 +44,8 @@ MAX_REPEAT_PERCENT = 50  # base rule: more than this share of words in repeated
 GUARD_WORDS = 100       # the method judges no shorter text
 GUARD_DOCS = 30         # nor against a reference of fewer documents
 MAX_CLASS_DISTANCE = 0.35
-MAX_WORD_DISTANCE = 0.55
+MAX_WORD_SHARE = 0.8    # of the distance of a text without common words
+MAX_WORD_DISTANCE = 0.55  # fixed bound of op7's SQL; most references cannot reach it
 # fixed values: the character classes, taken off one after the other (what is left is "other")
 CLASSES = [("lower", "[a-z]+"), ("upper", "[A-Z]+"), ("digit", "[0-9]+"),
            ("symbol", r"[#*$%&|<>]+"), ("letter", r"\p{L}+"), ("punct", "[!-~]+")]
@@ -159,8 +162,9 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def language_references(profiled: DataFrame) -> DataFrame:
-    """``lang, n_docs, ref_classes, ref_common``: histograms summed over all
-    documents that pass the base rules (``ref_common`` with its rest bin)."""
+    """``lang, n_docs, ref_classes, ref_common, no_common_distance``: histograms
+    summed over all documents that pass the base rules (``ref_common`` with its
+    rest bin), and how far a text without any common word is from the latter."""
     good = profiled.select("profile.*").filter("not base_failed")
     n_bins = max(map(len, COMMON_WORDS.values()))
     common = [F.coalesce(F.sum(F.get("common", F.lit(i))), F.lit(0)) for i in range(n_bins)]
@@ -168,24 +172,31 @@ def language_references(profiled: DataFrame) -> DataFrame:
     return good.groupBy("lang").agg(
         F.count(F.lit(1)).alias("n_docs"), F.array(*classes).alias("ref_classes"),
         F.array(*common).alias("_common"), F.sum("n_words").alias("_words")
-    ).select("lang", "n_docs", "ref_classes", _with_rest(F.col("_common"), F.col("_words")).alias("ref_common"))
+    ).select("lang", "n_docs", "ref_classes", _with_rest(F.col("_common"), F.col("_words")).alias("ref_common")
+    ).withColumn("no_common_distance", js_distance(
+        _with_rest(F.array_repeat(F.lit(0).cast("bigint"), n_bins), F.lit(1).cast("bigint")),
+        F.col("ref_common")))
 
 
 def judge(profiled: DataFrame, references: DataFrame, *, guard_words: int = GUARD_WORDS,
           guard_docs: int = GUARD_DOCS, max_class_distance: float = MAX_CLASS_DISTANCE,
-          max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
-    """``row``, ``profile``, the two distances and ``kept``."""
+          max_word_share: float = MAX_WORD_SHARE, max_word_distance: float | None = None) -> DataFrame:
+    """``row``, ``profile``, the two distances and ``kept``. A given
+    ``max_word_distance`` is the word bound in place of the share."""
     ref = references.withColumnRenamed("lang", "_ref_lang")
     j = profiled.join(ref, F.col("profile.lang").eqNullSafe(F.col("_ref_lang")), "left")
     by_class = js_distance(F.col("profile.classes"), F.col("ref_classes"))
     by_word = F.when(F.col("profile.common").isNotNull(), js_distance(
         _with_rest(F.col("profile.common"), F.col("profile.n_words")), F.col("ref_common")))
+    bound = F.col("no_common_distance") * max_word_share if max_word_distance is None else F.lit(max_word_distance)
     j = j.select("row", "profile", by_class.alias("class_distance"), by_word.alias("word_distance"),
+                 bound.alias("_word_bound"),
                  ((F.col("profile.n_words") >= guard_words)
                   & (F.coalesce("n_docs", F.lit(0)) >= guard_docs)).alias("_judged"))
     far = (F.coalesce(F.col("class_distance") > max_class_distance, F.lit(False))
-           | F.coalesce(F.col("word_distance") > max_word_distance, F.lit(False)))
-    return j.withColumn("kept", ~F.col("profile.base_failed") & ~(F.col("_judged") & far)).drop("_judged")
+           | F.coalesce(F.col("word_distance") > F.col("_word_bound"), F.lit(False)))
+    return j.withColumn("kept", ~F.col("profile.base_failed") & ~(F.col("_judged") & far)
+                        ).drop("_judged", "_word_bound")
 
 
 #: References are broadcast up to this many languages (about 1 KB each).
