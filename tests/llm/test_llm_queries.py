@@ -25,3 +25,16 @@ def test_every_operator_has_a_query():
     names = set(queries.queries())
     assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
     assert set(queries.oracle_sql()) <= names
+
+
+def test_url_filter_with_an_ampersand_in_the_path(spark, tmp_path):
+    from tidemart.llm import queries
+    urls = ["http://h/a/&b", "http://h/a/&b", "http://h/x&ref=1", "http://h/x&ref=1", "http://h/x",
+            "http://h/q?a=1&utm_x=2", "http://h/q/?a=1", "http://h/once"]
+    spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = queries.op9_url_filter(spark, str(tmp_path)).orderBy("page_id").select("page_id", "verdict").collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = con.execute(f"SELECT page_id, verdict FROM ({queries.OP9_SQL}) ORDER BY page_id").fetchall()
+    assert [tuple(r) for r in got] == want
+    assert [v for _, v in want] == ["block"] * 4 + ["allow", "block", "block", "allow"]

@@ -141,15 +141,15 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fetched_often(pages: DataFrame, at_least: int = LISTED_FROM_FETCHES) -> DataFrame:
-    """Canonical URLs that at least ``at_least`` rows of ``pages`` share."""
+    """``canonical``: canonical URLs that at least ``at_least`` rows of ``pages`` share."""
     seen = pages.select(url_bloom.canonical_url(F.col("url")).alias("c")).filter("c is not null")
     often = seen.groupBy("c").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= at_least)
-    return often.select(F.concat(F.lit("http://"), F.regexp_replace("c", "^([^&]*)&", "$1?")).alias("url"))
+    return often.select(F.col("c").alias("canonical"))
 
 
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    v = url_bloom.url_verdicts(pages, fetched_often(pages), URL_RULES)
+    v = url_bloom.url_verdicts(pages, fetched_often(pages), URL_RULES, listed_canonical="canonical")
     return v.select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -90,17 +90,19 @@ def bloom_blocks(listed: DataFrame, canon: str, n_blocks: int) -> DataFrame:
 
 
 def url_verdicts(pages: DataFrame, listed: DataFrame, rules: list[Rule], *, page_id: str = "page_id",
-                 url: str = "url", listed_url: str = "url",
+                 url: str = "url", listed_url: str = "url", listed_canonical: str | None = None,
                  bits_per_url: int = BITS_PER_URL) -> DataFrame:
     """``page_id, host, path, rule, verdict, listed`` for every row of ``pages``.
 
-    ``listed``: URLs (any form) to block. The rule's action wins; without a
+    ``listed``: URLs (any form) to block, or with ``listed_canonical`` a column
+    of canonical ones, which are taken as they are. The rule's action wins; without a
     rule a listed URL is blocked and any other allowed. The filter has
     ``bits_per_url`` bits per distinct listed URL; it is broadcast only while
     its blocks fit ``BROADCAST_MAX_BYTES``, else the same join shuffles.
     """
+    canon = F.col(listed_canonical) if listed_canonical else canonical_url(F.col(listed_url))
     canon_list = write_and_reread(
-        listed.select(canonical_url(F.col(listed_url)).alias("_canon"))
+        listed.select(canon.alias("_canon"))
         .filter("_canon is not null").distinct(), "listed-urls")
     n_blocks = max(1, -(-canon_list.count() * bits_per_url // (64 * WORDS)))
     blocks = bloom_blocks(canon_list, "_canon", n_blocks)
