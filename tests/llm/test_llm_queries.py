@@ -7,7 +7,7 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize("key", ["op1_chat_formatting", "op2_line_dedup", "op4_warc", "op7_quality_rules",
-                                 "op9_url_filter"])
+                                 "op9_url_filter", "op11_collocations"])
 def test_query_matches_sql(spark, key):
     from tidemart.llm import queries
     con = duckdb.connect()
@@ -23,7 +23,7 @@ def test_query_matches_sql(spark, key):
 def test_every_operator_has_a_query():
     from tidemart.llm import queries
     names = set(queries.queries())
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(queries.oracle_sql()) <= names
 
 

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_words, chat_trees, decontaminate, line_dedup, quality_divergence, sharding,
+from . import (bpe_words, chat_trees, collocations, decontaminate, line_dedup, quality_divergence, sharding,
                shared_files, simhash, token_pack, url_bloom, warc)
 from .bpe import default_tokenizer_path
 from .common import table
@@ -187,6 +187,48 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "fingerprint", "component_id")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = f"""
+WITH cut AS (
+  SELECT coalesce(lang, '{collocations.UNKNOWN_LANG}') AS lang,
+    unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+pieces AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda x: x <> '') AS w FROM cut),
+words AS (SELECT lang, x AS part, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM pieces) GROUP BY ALL),
+pairs AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f
+  FROM (SELECT lang, w, unnest(generate_series(1, len(w) - 1)) AS i FROM pieces) GROUP BY ALL
+  HAVING count(*) >= {collocations.MIN_COUNT}),
+triples AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f
+  FROM (SELECT lang, w, unnest(generate_series(1, len(w) - 2)) AS i FROM pieces) GROUP BY ALL
+  HAVING count(*) >= {collocations.MIN_COUNT}),
+parts AS (SELECT * FROM words UNION ALL SELECT lang, w1 || ' ' || w2, f FROM pairs),
+inside AS (
+  SELECT lang, a, b, max(f) AS most FROM (
+    SELECT lang, w1 AS a, w2 AS b, f FROM triples UNION ALL SELECT lang, w2, w3, f FROM triples) GROUP BY ALL),
+cuts AS (
+  SELECT lang, w1 || ' ' || w2 AS phrase, f AS a, 1 AS k, w1 AS head, w2 AS tail
+  FROM pairs LEFT JOIN (SELECT lang, a AS w1, b AS w2, most FROM inside) USING (lang, w1, w2)
+  WHERE most IS NULL OR 100 * most < {collocations.KEEP_INSIDE_PERCENT} * f
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, f, 1, w1, w2 || ' ' || w3 FROM triples
+  UNION ALL SELECT lang, w1 || ' ' || w2 || ' ' || w3, f, 2, w1 || ' ' || w2, w3 FROM triples),
+scored AS (
+  SELECT c.lang, phrase, a, k, h.f AS l, t.f AS r,
+    CAST((1000000::HUGEINT * a * a) // (h.f::HUGEINT * t.f) AS BIGINT) AS score
+  FROM cuts c JOIN parts h ON h.lang = c.lang AND h.part = head JOIN parts t ON t.lang = c.lang AND t.part = tail),
+weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM weakest)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM ranked JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM words GROUP BY lang) USING (lang)
+WHERE rank <= {collocations.TOP}"""
+
+
 def _op7_sql() -> str:
     q = quality_divergence
     space = r"[\x20\x09-\x0D]"
@@ -267,10 +309,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     named = [op1_chat_formatting, op2_line_dedup, op3_bpe_words, op4_warc, op5_decontamination,
-             op6_token_files, op7_quality_rules, op8_sharding, op9_url_filter, op10_simhash]
+             op6_token_files, op7_quality_rules, op8_sharding, op9_url_filter, op10_simhash,
+             op11_collocations]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_chat_formatting": OP1_SQL, "op2_line_dedup": OP2_SQL, "op4_warc": OP4_SQL,
-            "op7_quality_rules": _op7_sql(), "op9_url_filter": OP9_SQL}
+            "op7_quality_rules": _op7_sql(), "op9_url_filter": OP9_SQL,
+            "op11_collocations": OP11_SQL}
