@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_words, chat_trees, collocations, decontaminate, line_dedup, quality_divergence, sharding,
+from . import (bpe_words, chat_trees, collocations, decontaminate, importance, line_dedup, quality_divergence, sharding,
                shared_files, simhash, token_pack, url_bloom, warc)
 from .bpe import default_tokenizer_path
 from .common import table
@@ -229,6 +229,12 @@ FROM ranked JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM words GROUP BY l
 WHERE rank <= {collocations.TOP}"""
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = importance.importance_resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return done.select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
 def _op7_sql() -> str:
     q = quality_divergence
     space = r"[\x20\x09-\x0D]"
@@ -310,7 +316,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     named = [op1_chat_formatting, op2_line_dedup, op3_bpe_words, op4_warc, op5_decontamination,
              op6_token_files, op7_quality_rules, op8_sharding, op9_url_filter, op10_simhash,
-             op11_collocations]
+             op11_collocations, op12_resampling]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
