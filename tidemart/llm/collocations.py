@@ -41,7 +41,7 @@ LONGEST = 3
 KEEP_INSIDE_PERCENT = 50
 TOP = 2000
 #: Phrases of one trie: its size bounds what is collected and broadcast.
-BLOCK_PHRASES = 1 << 20
+BLOCK_PHRASES = 1 << 19
 _SEED = 42  # of Spark's xxhash64
 
 
@@ -163,13 +163,16 @@ def candidates(texts: DataFrame, words: DataFrame, min_count: int = MIN_COUNT) -
 
 
 def _trie_of(block: DataFrame) -> phrase_trie.Trie:
-    """The trie of a block: ``place`` (from 0) and ``path`` (16 bytes a word)."""
-    got = block.select("place", "path").toArrow().combine_chunks().sort_by("place")
-    paths = got.column("path").cast(pa.large_binary()).combine_chunks()
-    paths = paths.chunk(0) if isinstance(paths, pa.ChunkedArray) else paths
-    words = np.asarray(pa.compute.binary_length(paths)).astype(np.int64) // 16
-    rows = b"".join(p.ljust(16 * LONGEST, b"\0") for p in paths.to_pylist())
-    return phrase_trie.build(np.frombuffer(rows, "S16").reshape(-1, LONGEST), words)
+    """The trie of a block: ``place`` (from 0), ``words`` and ``path`` (16 bytes
+    a word, filled up to ``LONGEST`` words)."""
+    got = block.select("place", "words", "path").toArrow().combine_chunks()
+    order = np.argsort(got.column("place").to_numpy())
+    path = got.column("path").chunk(0)
+    keys = np.frombuffer(path.buffers()[2], "S16", len(path) * LONGEST).reshape(-1, LONGEST)
+    words = got.column("words").to_numpy()[order]
+    keys = keys[order]
+    del got, path
+    return phrase_trie.build(keys, words)
 
 
 def phrase_counts(texts: DataFrame, phrases: DataFrame, block_phrases: int = BLOCK_PHRASES) -> DataFrame:
@@ -177,8 +180,11 @@ def phrase_counts(texts: DataFrame, phrases: DataFrame, block_phrases: int = BLO
     ``texts``; phrases that do not occur are left out. All blocks are run, one
     after the other."""
     spark = texts.sparkSession
-    key = F.concat(*[F.coalesce(_key_column("lang", f"w{k}"), F.lit(b"")) for k in range(1, LONGEST + 1)])
-    placed = write_and_reread(with_positions(phrases, ["lang", "w1", "w2", "w3"]).withColumn("path", key), "phrases")
+    spelt = [f"w{k}" for k in range(1, LONGEST + 1)]
+    key = F.concat(*[F.coalesce(_key_column("lang", w), F.lit(bytes(16))) for w in spelt])
+    words = sum(F.col(w).isNotNull().cast("int") for w in spelt)
+    placed = write_and_reread(with_positions(phrases, ["lang", *spelt]).withColumns(
+        {"path": key, "words": words}), "phrases")
     total = placed.count()
     sums = None
     for start in range(0, total, block_phrases):
@@ -189,7 +195,7 @@ def phrase_counts(texts: DataFrame, phrases: DataFrame, block_phrases: int = BLO
         sums = part if sums is None else sums.unionByName(part)
     if sums is None:
         return phrases.withColumn("f", F.lit(None).cast("long")).limit(0)
-    return placed.join(sums, "position").drop("position", "path")
+    return placed.join(sums, "position").drop("position", "path", "words")
 
 
 def _counted(texts: DataFrame, shared, start: int) -> DataFrame:

@@ -109,7 +109,7 @@ def build(phrases: np.ndarray, words: np.ndarray) -> Trie:
     used = np.arange(longest) < words[:, None]
     symbols = np.unique(phrases[used])
     span = len(symbols)
-    syms = np.where(used, np.searchsorted(symbols, phrases), -1) if span else np.zeros((n, longest), np.int64)
+    syms = np.searchsorted(symbols, phrases) if span else np.zeros((n, longest), np.int64)
     slots = _Slots(4 * span + 1)
     state = syms[:, 0].copy() if n else np.zeros(0, np.int64)
     slots.take(np.unique(state), _ROOT)
