@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe_words, chat_trees, collocations, decontaminate, importance, line_dedup, quality_divergence, sharding,
-               shared_files, simhash, token_pack, url_bloom, warc)
+from . import (bpe_words, chat_trees, collocations, decontaminate, importance, language_crf, line_dedup,
+               quality_divergence, sharding, shared_files, simhash, token_pack, url_bloom, warc)
 from .bpe import default_tokenizer_path
 from .common import table
 
@@ -235,6 +235,11 @@ def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_features", "weight", "score", "rank")
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = language_crf.identify(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return done.select("row.doc_id", language_crf.held_out(F.col("row.doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def _op7_sql() -> str:
     q = quality_divergence
     space = r"[\x20\x09-\x0D]"
@@ -316,7 +321,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     named = [op1_chat_formatting, op2_line_dedup, op3_bpe_words, op4_warc, op5_decontamination,
              op6_token_files, op7_quality_rules, op8_sharding, op9_url_filter, op10_simhash,
-             op11_collocations, op12_resampling]
+             op11_collocations, op12_resampling, op13_language_id]
     return {f.__name__: f for f in named} | {"pipeline": corpus_pipeline.run}
 
 
