@@ -98,3 +98,33 @@ def test_word_bound_follows_the_reference(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     got = {r["row"]["doc_id"]: r["kept"] for r in q.quality_verdicts(df).collect()}
     assert {i for i, kept in got.items() if not kept} == {200, 201, 202, 203, 204}
+
+
+def test_rare_languages_are_judged_alike(spark):
+    """The same junk goes whether its language has a few documents or many."""
+    import random
+    rng = random.Random(8)
+
+    def word(n=8):
+        return "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(3, n)))
+
+    def prose(lang, share=.3, n=300):
+        return " ".join(rng.choice(q.COMMON_WORDS[lang]) if rng.random() < share else word() for _ in range(n))
+
+    rows = [(i, prose("en"), "en") for i in range(60)] + [(100 + i, prose("fr"), "fr") for i in range(3)]
+    rows += [(200, prose("fr", 0), "fr"), (201, "# % 7 Q " + " ".join("#%" * 3 + str(i) for i in range(300)), "fr"),
+             (202, prose("en", 0), "en"), (203, "Q7# " + " ".join("#%" * 3 + str(i) for i in range(300)), None),
+             (204, prose("en"), None),
+             (205, " ".join("".join(rng.choice("的一是不了人我在有他") for _ in range(4)) for _ in range(200)), "zh")]
+    got = {r["row"]["doc_id"]: r["kept"] for r in q.quality_verdicts(
+        spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert {i for i, kept in got.items() if not kept} == {200, 201, 202, 203}
+
+
+def test_query_and_pipeline_keep_the_same_documents(spark):
+    import corpus_pipeline
+    from tidemart.llm import queries
+    sf = "/root/testdata/sf0.001"
+    kept = {r.doc_id for r in queries.op7_quality_rules(spark, sf).filter("kept").collect()}
+    staged = corpus_pipeline.quality_stage(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+    assert kept == {r.doc_id for r in staged.select("doc_id").collect()}

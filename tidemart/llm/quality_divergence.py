@@ -3,9 +3,11 @@
 Every document gets two histograms, over character classes and over the common
 words of its language, and each is compared with the language's reference by
 Jensen-Shannon distance (base 2, 0 to 1). References are the summed histograms
-of all documents of that language that pass the base rules. A document is
-rejected when a distance exceeds its bound, but only where the guard allows a
-judgement: enough words, and a reference with enough documents and words.
+of all documents of that language that pass the base rules, plus a fixed number
+of words and characters dealt out as in all languages together; these weigh
+nothing in a large language and stand in for the missing text in a rare one, so
+documents are judged alike at every size. A document is rejected when a distance
+exceeds its bound, if it has enough words to be judged.
 The word bound is a share of the distance that a text without any common word
 has from the same reference, so such a text is always beyond it.
 
@@ -42,13 +44,14 @@ COMMON_WORDS = {
 MIN_WORDS = 50          # base rule: fewer words fail
 MAX_REPEAT_PERCENT = 50  # base rule: more than this share of words in repeated windows fails
 GUARD_WORDS = 100       # the method judges no shorter text
-GUARD_DOCS = 30         # nor against a reference of fewer documents
+PRIOR_WORDS = 10_000     # added to each reference, as in all languages together
+PRIOR_CHARS = 50_000     # its letters are of the language's own kinds, so no script is odd for being rare
 MAX_CLASS_DISTANCE = 0.35
 MAX_WORD_SHARE = 0.8    # of the distance of a text without common words
-MAX_WORD_DISTANCE = 0.55  # fixed bound of op7's SQL; most references cannot reach it
 # fixed values: the character classes, taken off one after the other (what is left is "other")
 CLASSES = [("lower", "[a-z]+"), ("upper", "[A-Z]+"), ("digit", "[0-9]+"),
            ("symbol", r"[#*$%&|<>]+"), ("letter", r"\p{L}+"), ("punct", "[!-~]+")]
+LETTER_BINS = [i for i, (name, _) in enumerate(CLASSES) if name in ("lower", "upper", "letter")]
 
 
 def _let(value: Column, use) -> Column:
@@ -147,10 +150,11 @@ def _with_rest(counts: Column, total: Column) -> Column:
 
 def js_distance(p: Column, q: Column) -> Column:
     """Jensen-Shannon distance (square root of the divergence, base 2) of two
-    histograms given as arrays of counts; NULL where either is empty."""
+    histograms given as arrays of counts or weights; NULL where either is empty."""
     def share(a: Column) -> Column:
-        return _let(F.aggregate(a, F.lit(0).cast("bigint"), lambda s, x: s + x),
-                    lambda n: F.when(n > 0, F.transform(a, lambda x: x.cast("double") / n)))
+        a = a.cast("array<double>")  # counts below 2^53 stay exact
+        return _let(F.aggregate(a, F.lit(0.0), lambda s, x: s + x),
+                    lambda n: F.when(n > 0, F.transform(a, lambda x: x / n)))
 
     def part(x: Column, m: Column) -> Column:
         return F.when(x > 0, x * F.log2(x / m)).otherwise(F.lit(0.0))
@@ -161,42 +165,61 @@ def js_distance(p: Column, q: Column) -> Column:
     return _let(total, lambda t: F.when(t < 0, F.lit(0.0)).otherwise(F.sqrt(t)))
 
 
-def language_references(profiled: DataFrame) -> DataFrame:
-    """``lang, n_docs, ref_classes, ref_common, no_common_distance``: histograms
-    summed over all documents that pass the base rules (``ref_common`` with its
-    rest bin), and how far a text without any common word is from the latter."""
+def language_references(profiled: DataFrame, *, prior_words: int = PRIOR_WORDS,
+                        prior_chars: int = PRIOR_CHARS) -> DataFrame:
+    """``lang, ref_classes, ref_common, no_common_distance``: histograms summed
+    over all documents that pass the base rules, with the prior (``ref_common``
+    with its rest bin), and how far a text without any common word is from the
+    latter."""
     good = profiled.select("profile.*").filter("not base_failed")
     n_bins = max(map(len, COMMON_WORDS.values()))
-    common = [F.coalesce(F.sum(F.get("common", F.lit(i))), F.lit(0)) for i in range(n_bins)]
+    zero = F.lit(0).cast("bigint")
+    common = [F.coalesce(F.sum(F.get("common", F.lit(i))), zero) for i in range(n_bins)]
     classes = [F.sum(F.get("classes", F.lit(i))) for i in range(len(CLASSES) + 1)]
-    return good.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.array(*classes).alias("ref_classes"),
-        F.array(*common).alias("_common"), F.sum("n_words").alias("_words")
-    ).select("lang", "n_docs", "ref_classes", _with_rest(F.col("_common"), F.col("_words")).alias("ref_common")
-    ).withColumn("no_common_distance", js_distance(
-        _with_rest(F.array_repeat(F.lit(0).cast("bigint"), n_bins), F.lit(1).cast("bigint")),
-        F.col("ref_common")))
+    own = write_and_reread(good.groupBy("lang").agg(  # one row a language
+        F.array(*classes).alias("classes"), F.array(*common).alias("common"), F.sum("n_words").alias("words")),
+        "language-sums")
+    listed = F.col("lang").isin(*COMMON_WORDS)
+    total = own.agg(  # one row
+        *[F.sum(F.get("classes", F.lit(i))).alias(f"c{i}") for i in range(len(CLASSES) + 1)],
+        F.sum(F.when(listed, F.aggregate("common", zero, lambda s, x: s + x))).alias("common"),
+        F.sum(F.when(listed, F.col("words"))).alias("words")).first()
+    chars = [total[f"c{i}"] or 0 for i in range(len(CLASSES) + 1)]
+    class_prior = [prior_chars * c / sum(chars) if sum(chars) else 0.0 for c in chars]
+    letter_prior = sum(class_prior[i] for i in LETTER_BINS)
+    letters = sum(F.get("classes", F.lit(i)) for i in LETTER_BINS)
+    common_share = (total["common"] or 0) / total["words"] if total["words"] else 0.0
+    sizes = F.coalesce(F.create_map(*[F.lit(x) for code, ws in COMMON_WORDS.items() for x in (code, len(ws))])[F.col("lang")],
+                       F.lit(n_bins))
+
+    def with_prior(counts: Column) -> Column:
+        return F.transform(counts, lambda x, i: x + F.when(
+            i < sizes, F.lit(prior_words * common_share) / sizes).otherwise(0.0))
+
+    rest = F.col("words") - F.aggregate("common", zero, lambda s, x: s + x) + F.lit(prior_words * (1 - common_share))
+    mixed = [F.get("classes", F.lit(i)) + (
+        F.when(letters > 0, F.lit(letter_prior) * F.get("classes", F.lit(i)) / letters).otherwise(F.lit(x))
+        if i in LETTER_BINS else F.lit(x)) for i, x in enumerate(class_prior)]
+    ref = own.select("lang", F.array(*mixed).alias("ref_classes"),
+                     F.concat(with_prior(F.col("common")), F.array(rest)).alias("ref_common"))
+    none = F.concat(F.array_repeat(F.lit(0.0), n_bins), F.array(F.lit(1.0)))
+    return ref.withColumn("no_common_distance", js_distance(none, F.col("ref_common")))
 
 
 def judge(profiled: DataFrame, references: DataFrame, *, guard_words: int = GUARD_WORDS,
-          guard_docs: int = GUARD_DOCS, max_class_distance: float = MAX_CLASS_DISTANCE,
-          max_word_share: float = MAX_WORD_SHARE, max_word_distance: float | None = None) -> DataFrame:
-    """``row``, ``profile``, the two distances and ``kept``. A given
-    ``max_word_distance`` is the word bound in place of the share."""
+          max_class_distance: float = MAX_CLASS_DISTANCE, max_word_share: float = MAX_WORD_SHARE) -> DataFrame:
+    """``row``, ``profile``, the two distances and ``kept``."""
     ref = references.withColumnRenamed("lang", "_ref_lang")
     j = profiled.join(ref, F.col("profile.lang").eqNullSafe(F.col("_ref_lang")), "left")
     by_class = js_distance(F.col("profile.classes"), F.col("ref_classes"))
     by_word = F.when(F.col("profile.common").isNotNull(), js_distance(
         _with_rest(F.col("profile.common"), F.col("profile.n_words")), F.col("ref_common")))
-    bound = F.col("no_common_distance") * max_word_share if max_word_distance is None else F.lit(max_word_distance)
     j = j.select("row", "profile", by_class.alias("class_distance"), by_word.alias("word_distance"),
-                 bound.alias("_word_bound"),
-                 ((F.col("profile.n_words") >= guard_words)
-                  & (F.coalesce("n_docs", F.lit(0)) >= guard_docs)).alias("_judged"))
+                 (F.col("no_common_distance") * max_word_share).alias("_word_bound"))
     far = (F.coalesce(F.col("class_distance") > max_class_distance, F.lit(False))
            | F.coalesce(F.col("word_distance") > F.col("_word_bound"), F.lit(False)))
-    return j.withColumn("kept", ~F.col("profile.base_failed") & ~(F.col("_judged") & far)
-                        ).drop("_judged", "_word_bound")
+    judged = F.col("profile.n_words") >= guard_words
+    return j.withColumn("kept", ~F.col("profile.base_failed") & ~(judged & far)).drop("_word_bound")
 
 
 #: References are broadcast up to this many languages (about 1 KB each).

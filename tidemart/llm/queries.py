@@ -129,9 +129,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    # the SQL states the fixed word bound; the pipeline judges by the share of the reference
-    v = quality_divergence.quality_verdicts(
-        docs, keep=["doc_id"], max_word_distance=quality_divergence.MAX_WORD_DISTANCE)
+    v = quality_divergence.quality_verdicts(docs, keep=["doc_id"])
     return v.select("row.doc_id", "profile.n_words", "profile.word_chars", "profile.n_symbols",
                     "profile.n_dup_lines", "profile.n_repeat_words", "profile.base_failed", "kept")
 
@@ -244,6 +242,7 @@ def _op7_sql() -> str:
     q = quality_divergence
     space = r"[\x20\x09-\x0D]"
     listed = ", ".join(f"('{code}', {i}, '{w}')" for code, ws in q.COMMON_WORDS.items() for i, w in enumerate(ws))
+    letter_bins = ", ".join(str(i + 1) for i in q.LETTER_BINS)
     classes, left = [], "t"
     for _, pattern in q.CLASSES:
         rest = f"regexp_replace({left}, '{pattern}', '', 'g')"
@@ -295,25 +294,39 @@ bins AS (
   UNION ALL SELECT 'word', doc_id, lang, base_failed, bin, n FROM word_bins),
 shares AS (
   SELECT *, n / nullif(sum(n) OVER (PARTITION BY kind, doc_id), 0) AS p FROM bins),
+sums AS (SELECT kind, lang, bin, sum(n) AS n FROM bins WHERE NOT base_failed GROUP BY kind, lang, bin),
+class_prior AS (SELECT bin, {q.PRIOR_CHARS} * sum(n) / nullif(sum(sum(n)) OVER (), 0) AS extra
+  FROM sums WHERE kind = 'class' GROUP BY bin),
+common_share AS (SELECT coalesce(sum(n) FILTER (WHERE bin >= 0) / nullif(sum(n), 0), 0) AS c FROM sums WHERE kind = 'word'),
+list_sizes AS (SELECT lang, count(*) AS size FROM listed GROUP BY lang),
+weights AS (
+  SELECT kind, lang, bin, n + coalesce(CASE WHEN bin IN ({letter_bins}) AND letters > 0
+    THEN (SELECT sum(extra) FROM class_prior WHERE bin IN ({letter_bins})) * n / letters ELSE extra END, 0) AS n
+  FROM (SELECT *, sum(n) FILTER (WHERE bin IN ({letter_bins})) OVER (PARTITION BY lang) AS letters
+        FROM sums WHERE kind = 'class') JOIN class_prior USING (bin)
+  UNION ALL SELECT kind, lang, bin, n + {q.PRIOR_WORDS} * CASE WHEN bin >= 0 THEN c / size ELSE 1 - c END
+  FROM sums JOIN list_sizes USING (lang), common_share WHERE kind = 'word'),
 refs AS (
-  SELECT kind, lang, bin, sum(n) / nullif(sum(sum(n)) OVER (PARTITION BY kind, lang), 0) AS q
-  FROM bins WHERE NOT base_failed GROUP BY kind, lang, bin),
+  SELECT kind, lang, bin, n / nullif(sum(n) OVER (PARTITION BY kind, lang), 0) AS q FROM weights),
+word_bounds AS (
+  SELECT lang, {q.MAX_WORD_SHARE} * sqrt(greatest(sum(
+      CASE WHEN bin = -1 THEN log2(1 / ((1 + q) / 2)) / 2 ELSE 0 END
+    + CASE WHEN q > 0 THEN q * log2(q / ((CASE WHEN bin = -1 THEN 1 ELSE 0 END + q) / 2)) / 2 ELSE 0 END), 0)) AS bound
+  FROM refs WHERE kind = 'word' GROUP BY lang),
 distances AS (
-  SELECT shares.kind, doc_id, sqrt(greatest(sum(
+  SELECT shares.kind, doc_id, shares.lang, sqrt(greatest(sum(
       CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) / 2 ELSE 0 END
     + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) / 2 ELSE 0 END), 0)) AS js
   FROM shares JOIN refs ON shares.kind = refs.kind AND shares.bin = refs.bin
     AND shares.lang IS NOT DISTINCT FROM refs.lang
   WHERE p IS NOT NULL AND q IS NOT NULL GROUP BY ALL),
-sizes AS (SELECT lang, count(*) AS n_docs FROM based WHERE NOT base_failed GROUP BY lang),
 far AS (
   SELECT doc_id, max(kind = 'class' AND js > {q.MAX_CLASS_DISTANCE}
-                  OR kind = 'word' AND js > {q.MAX_WORD_DISTANCE}) AS is_far FROM distances GROUP BY doc_id)
+                  OR kind = 'word' AND coalesce(js > bound, false)) AS is_far
+  FROM distances LEFT JOIN word_bounds USING (lang) GROUP BY doc_id)
 SELECT doc_id, n_words, length(t) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT (n_words >= {q.GUARD_WORDS} AND coalesce(n_docs, 0) >= {q.GUARD_DOCS}
-                           AND coalesce(is_far, false)) AS kept
-FROM based LEFT JOIN far USING (doc_id)
-  LEFT JOIN sizes ON based.lang IS NOT DISTINCT FROM sizes.lang"""
+  NOT base_failed AND NOT (n_words >= {q.GUARD_WORDS} AND coalesce(is_far, false)) AS kept
+FROM based LEFT JOIN far USING (doc_id)"""
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
