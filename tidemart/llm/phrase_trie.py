@@ -1,6 +1,8 @@
 """A double-array trie over word keys, advanced for all text positions at once.
 
-Symbols are places in a sorted array of 16-byte word keys. The child of state
+Words are found in a sorted array of 16-byte keys; their symbols are numbered
+by how often they continue a phrase, so that large sets of children lie close
+together. The child of state
 ``s`` under symbol ``c`` is ``base[s] + c`` if ``parent`` of that slot is ``s``;
 the root's base is 0, so the state after one word is the word's symbol.
 """
@@ -12,21 +14,23 @@ from typing import NamedTuple
 import numpy as np
 
 _ROOT, _FREE = -2, -1
-_WINDOW, _WINDOWS = 256, 16
+#: Room per edge, which keeps the random bases few, and tries before there is more.
+_SLOTS_PER_EDGE, _TRIES = 4, 50
 
 
 class Trie(NamedTuple):
-    symbols: np.ndarray  # sorted word keys, 'S16'
+    keys: np.ndarray  # sorted word keys, 'S16'
+    symbols: np.ndarray  # of each key
     base: np.ndarray
     parent: np.ndarray
     entry: np.ndarray  # of a slot: the place of the phrase that ends there, or -1
 
     def symbols_of(self, keys: np.ndarray) -> np.ndarray:
         """Symbol of each word key, -1 for words that begin or continue nothing."""
-        if not len(self.symbols):
+        if not len(self.keys):
             return np.full(len(keys), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.symbols, keys), len(self.symbols) - 1)
-        return np.where(self.symbols[at] == keys, at, -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, self.symbols[at], -1)
 
     def first(self, symbols: np.ndarray) -> np.ndarray:
         """States after one word (-1: dead)."""
@@ -58,87 +62,80 @@ class Trie(NamedTuple):
         return counts
 
 
-class _Slots:
-    """``base`` and ``parent`` while they grow."""
-
-    def __init__(self, n: int):
-        self.base = np.zeros(n, np.int64)
-        self.parent = np.full(n, _FREE, np.int64)
-        self.end = 0  # beyond it all slots are free
-        self.tried: dict[int, int] = {}  # by size class: where the last fit was found
-
-    def reach(self, size: int) -> None:
-        if size > len(self.parent):
-            more = max(size - len(self.parent), len(self.parent) // 2)
-            self.base = np.concatenate([self.base, np.zeros(more, np.int64)])
-            self.parent = np.concatenate([self.parent, np.full(more, _FREE, np.int64)])
-
-    def take(self, slots: np.ndarray, state) -> None:
-        if len(slots):
-            self.end = max(self.end, int(slots.max()) + 1)
-            self.reach(self.end)
-            self.parent[slots] = state
-
-    def fit(self, children: np.ndarray) -> int:
-        """A base at which all children find free slots; one that starts at
-        ``end`` always does."""
-        first, rest = int(children[0]), children - children[0]
-        kind = len(children).bit_length()
-        at = max(first, self.tried.get(kind, 0))
-        for _ in range(_WINDOWS):
-            if at + rest[-1] >= self.end:
-                break
-            free = np.flatnonzero(self.parent[at:at + _WINDOW] == _FREE) + at
-            free = free[free + rest[-1] < self.end]
-            for r in rest[1:]:  # a few columns leave nothing where slots are dense
-                free = free[self.parent[free + r] == _FREE]
-                if not len(free):
-                    break
-            if len(free):
-                self.tried[kind] = int(free[0])
-                return int(free[0]) - first
-            at += _WINDOW
-        self.tried[kind] = max(at, first)
-        return max(self.end - first, 0)
+def _place(parent: np.ndarray, base: np.ndarray, heads: np.ndarray, owner: np.ndarray, sym: np.ndarray,
+           rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Find a base for every state of ``heads`` (edge i leaves ``heads[owner[i]]``
+    under ``sym[i]``) at which all its children fall on free slots. All states
+    try a random base at once; those that meet nothing stay, the rest try again.
+    Returns the arrays, grown where they were too full."""
+    span = int(sym.max()) + 1
+    left = np.arange(len(heads))
+    tries = 0
+    while len(left):
+        tries += 1
+        if tries % _TRIES == 0:
+            more = len(parent) // 2
+            parent = np.concatenate([parent, np.full(more, _FREE, np.int32)])
+            base = np.concatenate([base, np.zeros(more, np.int32)])
+        at = np.zeros(len(heads), np.int64)
+        at[left] = rng.integers(0, len(parent) - span, len(left))
+        slot = at[owner] + sym
+        order = np.argsort(slot, kind="stable")
+        same = np.zeros(len(slot), bool)
+        same[order[1:]] = slot[order[1:]] == slot[order[:-1]]
+        met = np.zeros(len(heads), bool)
+        met[owner[same | (parent[slot] != _FREE)]] = True
+        done = left[~met[left]]
+        base[heads[done]] = at[done]
+        stays = ~met[owner]
+        parent[slot[stays]] = heads[owner[stays]]
+        left = left[met[left]]
+        # go on with the edges of the states that are left
+        rename = np.full(len(heads), -1)
+        rename[left] = np.arange(len(left))
+        heads, owner, sym = heads[left], rename[owner[~stays]], sym[~stays]
+        left = np.arange(len(heads))
+    return parent, base
 
 
 def build(phrases: np.ndarray, words: np.ndarray) -> Trie:
     """Trie of phrases: row i of ``phrases`` ('S16') holds the keys of its
     words, its first ``words[i]`` columns count; rows are distinct."""
     n, longest = phrases.shape
-    used = np.arange(longest) < words[:, None]
-    symbols = np.unique(phrases[used])
-    span = len(symbols)
-    syms = np.searchsorted(symbols, phrases) if span else np.zeros((n, longest), np.int64)
-    slots = _Slots(4 * span + 1)
-    state = syms[:, 0].copy() if n else np.zeros(0, np.int64)
-    slots.take(np.unique(state), _ROOT)
-    slots.end = max(slots.end, span)  # the root's children are at their symbols
-    entry_slot = np.full(n, -1, np.int64)
+    keys = np.unique(phrases[np.arange(longest) < words[:, None]])
+    span = len(keys)
+    syms = np.searchsorted(keys, phrases)
+    later = np.bincount(syms[:, 1:][np.arange(1, longest) < words[:, None]], minlength=span)
+    number = np.empty(span, np.int64)
+    number[np.argsort(-later, kind="stable")] = np.arange(span)
+    syms = np.append(number, 0)[np.minimum(syms, span)]  # what stands in unused columns does not matter
+    size = 2 * span + _SLOTS_PER_EDGE * int((words - 1).sum()) + 64
+    base, parent = np.zeros(size, np.int32), np.full(size, _FREE, np.int32)
+    state = syms[:, 0].copy()
+    parent[state] = _ROOT
+    rng = np.random.default_rng(0)
+    ends = np.full(n, -1, np.int64)
     for level in range(1, longest):
         rows = np.flatnonzero(words > level)
         if not len(rows):
             break
         edge = np.unique(state[rows] * span + syms[rows, level])
-        frm, sym = edge // span, edge % span
-        heads, begin, sizes = np.unique(frm, return_index=True, return_counts=True)
-        for k in np.argsort(-sizes, kind="stable"):
-            if sizes[k] == 1:
-                break
-            children = sym[begin[k]:begin[k] + sizes[k]]
-            base = slots.fit(children)
-            slots.take(base + children, heads[k])
-            slots.base[heads[k]] = base
-        # a state with one child takes any free slot not below its symbol: the next ones at the end
-        lone = heads[sizes == 1]
-        to = slots.end + np.arange(len(lone))
-        slots.take(to, lone)
-        slots.base[lone] = to - sym[begin[sizes == 1]]
-        state[rows] = slots.base[state[rows]] + syms[rows, level]
+        heads, begin, sizes = np.unique(edge // span, return_index=True, return_counts=True)
+        # the states with the most children choose first
+        kinds = np.floor(np.log2(sizes)).astype(int)
+        for kind in range(kinds.max(), -1, -1):
+            some = np.flatnonzero(kinds == kind)
+            if len(some):
+                owner = np.repeat(np.arange(len(some)), sizes[some])
+                at = np.repeat(begin[some] - np.cumsum(sizes[some]) + sizes[some], sizes[some]) + np.arange(len(owner))
+                parent, base = _place(parent, base, heads[some], owner, edge[at] % span, rng)
+        state[rows] = base[state[rows]] + syms[rows, level]
         done = rows[words[rows] == level + 1]
-        entry_slot[done] = state[done]
-    size = int(slots.base.max()) + span + 1
-    slots.reach(size)
+        ends[done] = state[done]
+    size = int(base.max()) + span + 1
+    if size > len(parent):
+        parent = np.concatenate([parent, np.full(size - len(parent), _FREE, np.int32)])
+        base = np.concatenate([base, np.zeros(size - len(base), np.int32)])
     entry = np.full(size, -1, np.int32)
-    entry[entry_slot[entry_slot >= 0]] = np.flatnonzero(entry_slot >= 0)
-    return Trie(symbols, slots.base[:size].astype(np.int32), slots.parent[:size].astype(np.int32), entry)
+    entry[ends[ends >= 0]] = np.flatnonzero(ends >= 0)
+    return Trie(keys, number, base[:size], parent[:size], entry)
