@@ -1,11 +1,12 @@
 """The batch end to end on the smallest tables: load -> marts -> checks."""
 
 from tidemart.__main__ import main
+from tidemart.sources import versions
 
 
 def test_batch_runs_clean(spark, tmp_path):
     assert main(["--source", "/root/testdata/sf0.001", "--out", str(tmp_path / "batch")]) == 0
-    fct = spark.read.parquet(str(tmp_path / "batch" / "marts.db" / "fct_orders"))
+    fct = versions.read(spark, str(tmp_path / "batch" / "marts.db" / "fct_orders"))
     assert fct.count() == 1500 == spark.table("marts.fct_orders").count()
     assert spark.table("raw.orders").count() == 1500
     checks = spark.read.parquet(str(tmp_path / "batch" / "checks"))
@@ -24,7 +25,7 @@ def test_missing_landing_file_is_skipped(spark, tmp_path):
     assert rep["orders"]["status"] == "skipped" and rep["orders"]["rows"] == 0
     assert rep["sellers"]["status"] == "loaded" and rep["sellers"]["rows"] == 1
     # pandas-style NA marker became NULL on load
-    assert spark.read.parquet(str(tmp_path / "raw" / "sellers")).first()["seller_state"] is None
+    assert versions.read(spark, str(tmp_path / "raw" / "sellers")).first()["seller_state"] is None
 
 
 def _csv(folder, name, *files):

@@ -33,7 +33,7 @@ def main(argv=None) -> int:
         landing = landing_for(spark, a.source, {n: raw.get(n) for n in RawTables.NAMES})
     out = a.out or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tidemart"
     try:
-        report = refresh_all(spark, landing, out)
+        report = refresh_all(spark, landing, out, retries=1, retry_seconds=300.0)
     except RefreshFailed as e:
         print(f"refresh failed: {e}", file=sys.stderr)
         return 1

@@ -11,7 +11,7 @@ from ..catalog import Warehouse
 from ..oracle import sql
 from ..schemas import FILE_TABLE_MAP
 from ..session import work_path
-from ..sources import files
+from ..sources import files, versions
 from ..sources.fixtures import RawTables
 from . import register
 
@@ -36,9 +36,9 @@ def csv_scan_text(spark, sf_dir):
 
 
 @register("csv_scan_inferred", sql("""
-SELECT CAST(order_id AS INTEGER) AS order_id,
-       CAST(payment_sequential AS INTEGER) AS payment_sequential, payment_type,
-       CAST(payment_installments AS INTEGER) AS payment_installments,
+SELECT CAST(order_id AS BIGINT) AS order_id,
+       CAST(payment_sequential AS BIGINT) AS payment_sequential, payment_type,
+       CAST(payment_installments AS BIGINT) AS payment_installments,
        CAST(payment_value AS DOUBLE) AS payment_value
 FROM raw_order_payments"""))
 def csv_scan_inferred(spark, sf_dir):
@@ -58,7 +58,7 @@ def raw_table_scan(spark, sf_dir):
     landing = _landing(spark, sf_dir)
     path = work_path(spark, "warehouse", _tag(sf_dir), "raw_table_scan", "orders")
     files.full_refresh_load(files.read_csv_text(spark, f"{landing}/{ORDERS_FILE}", "orders"), path)
-    return spark.read.parquet(path)
+    return versions.read(spark, path)
 
 
 @register("model_ref_scan", sql("SELECT * FROM fct_orders"))

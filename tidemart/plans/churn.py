@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.bins import edge_bins
 from ..operators.positions import write_and_reread
 from ..operators.scale import exact_quantiles, quantile_edges, row_numbers
+from ..sources import versions
 from . import metrics as M
 
 LABEL = "is_churned"
@@ -334,18 +335,25 @@ def save_model(stages: PipelineModel, model, features: list[str], med: dict, thr
                path: str, spark) -> None:
     """One pipeline from raw feature-mart rows to probabilities (state index,
     imputation, assembly, model), plus a metadata table (features, medians,
-    state labels, threshold)."""
-    PipelineModel(stages=[*stages.stages, model]).write().overwrite().save(f"{path}/model")
+    state labels, threshold). Both become one version: a reader never finds the
+    threshold of another model."""
+    version = versions.new_version(path)
+    PipelineModel(stages=[*stages.stages, model]).write().save(f"{version}/model")
     labels = stages.stages[1].labels
     meta = spark.createDataFrame(
         [(i, f, float(med.get(f)) if med.get(f) is not None else None, float(threshold), labels)
          for i, f in enumerate(features)],
         "position int, feature string, median double, threshold double, state_labels array<string>")
-    meta.write.mode("overwrite").parquet(f"{path}/metadata")
+    meta.write.parquet(f"{version}/metadata")
+    versions.commit(spark, version)
 
 
 def load_model(path: str, spark) -> tuple[PipelineModel, DataFrame]:
-    return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/metadata")
+    """The newest model that was saved whole."""
+    version = versions.current(spark, path)
+    if version is None:
+        raise versions.NoVersion(path)
+    return PipelineModel.load(f"{version}/model"), spark.read.parquet(f"{version}/metadata")
 
 
 def boosted_contributions(model, df: DataFrame, features: list[str], med: dict) -> DataFrame:

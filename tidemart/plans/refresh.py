@@ -7,24 +7,37 @@
 3. the data-quality suite runs on the written tables; any failing check fails
    the run (``RefreshFailed``) after the report is written.
 
-Each step writes its output to the shared folder, so a lost executor costs a
-re-read of the last written table, not a recomputation of the whole chain.
+Each step writes a new version of its table and is entered in a ledger, so a
+lost executor costs a re-read of the last written table, a failed write leaves
+the last run's rows in place, and a run that stopped goes on at the step that
+failed (``retries`` times by itself, or when the batch is started again).
 """
 
 from __future__ import annotations
 
-from functools import reduce
+import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..catalog import Warehouse
-from ..sources import databases, files
+from ..schemas import FILE_TABLE_MAP
+from ..sources import databases, files, versions
 from ..sources.fixtures import RawTables
 from . import marts, quality
+from .ledger import Ledger, chain, files_fingerprint
 
 MART_ORDER = ("dim_customers", "dim_products", "dim_sellers", "fct_orders",
               "mart_customer_features", "mart_churn_labels")
+#: What each model reads: raw tables and models built before it.
+READS = {
+    "dim_customers": ("customers",), "dim_products": ("products", "product_category_translation"),
+    "dim_sellers": ("sellers",), "fct_orders": ("orders", "order_items", "order_payments"),
+    "mart_customer_features": ("fct_orders", "dim_customers", "order_payments", "order_reviews"),
+    "mart_churn_labels": ("fct_orders",),
+}
 
 
 class RefreshFailed(RuntimeError):
@@ -32,49 +45,90 @@ class RefreshFailed(RuntimeError):
 
 
 def refresh_all(spark: SparkSession, landing_dir: str, base_dir: str,
-                fail_on_error: bool = True, fail_on_skipped: bool = False,
-                raw_db: str = "raw", marts_db: str = "marts") -> DataFrame:
+                fail_on_error: bool = True, fail_on_skipped: bool | None = None,
+                raw_db: str = "raw", marts_db: str = "marts", retries: int = 0,
+                retry_seconds: float = 0.0, parallelism: int = 4) -> DataFrame:
     """Run the batch; return the run report (step, name, status, rows).
 
-    A missing landing file is skipped and reported; ``fail_on_skipped`` makes
-    it an error. Tables live under ``base_dir`` and replace the last run's.
+    A missing landing file is an error if an older load of its table exists,
+    which would be used stale; else it is skipped and reported.
+    ``fail_on_skipped`` makes it an error (True) or a report (False) in both
+    cases. Tables live under ``base_dir`` and replace the last run's. A step
+    that an unfinished run has done is "reused".
     """
-    raw_dir = f"{base_dir.rstrip('/')}/{raw_db}.db"
-    load = files.multi_file_load(spark, landing_dir, raw_dir)
-    load_rep = load.select(F.lit("load").alias("step"), F.col("table_name").alias("name"),
-                           "status", "rows")
-    skipped = [r["name"] for r in load_rep.filter(F.col("status") != "loaded").collect()]
-    if skipped and fail_on_skipped:
-        raise RefreshFailed(f"landing files are missing for {skipped}")
-    raw = files.ParquetRaw(spark, raw_dir)
+    for left in range(retries, -1, -1):
+        try:
+            return _run(spark, landing_dir, base_dir.rstrip("/"), fail_on_error, fail_on_skipped,
+                        raw_db, marts_db, parallelism)
+        except RefreshFailed:  # the data is at fault: another try gives the same
+            raise
+        except Exception:
+            if not left:
+                raise
+            time.sleep(retry_seconds)
+    raise AssertionError
+
+
+def _rows(df: DataFrame) -> int:
+    return df.agg(F.count(F.lit(1))).first()[0]
+
+
+def _load(spark, ledger: Ledger, landing_dir: str, base: str, raw_db: str,
+          parallelism: int) -> dict[str, tuple[str, int, str]]:
+    """Per raw table: status, rows and fingerprint."""
+    def one(item):
+        fname, table = item
+        path = databases.table_path(base, raw_db, table)
+        found = files_fingerprint(spark, f"{landing_dir}/{fname}")
+        if found is None:
+            return table, ("skipped, table is stale" if versions.exists(spark, path) else "skipped", 0, "none")
+        state, rows = ledger.step("load", table, found, path, lambda: _rows(
+            versions.publish(files.read_csv_text(spark, f"{landing_dir}/{fname}", table), path)))
+        return table, ("loaded" if state == "done" else "reused", rows, found)
+
+    # independent write jobs: small tables do not wait behind a large one
+    with ThreadPoolExecutor(max_workers=parallelism) as ex:
+        return dict(ex.map(one, FILE_TABLE_MAP.items()))
+
+
+def _run(spark, landing_dir, base, fail_on_error, fail_on_skipped, raw_db, marts_db, parallelism) -> DataFrame:
+    ledger = Ledger(spark, f"{base}/ledger")
+    loaded = _load(spark, ledger, landing_dir, base, raw_db, parallelism)
+    skipped = [t for t, (status, _, _) in loaded.items() if status.startswith("skipped")]
+    wrong = [t for t in skipped if fail_on_skipped or (fail_on_skipped is None and "stale" in loaded[t][0])]
+    if wrong:
+        raise RefreshFailed(f"landing files are missing for {wrong}")
+    raw = files.ParquetRaw(spark, f"{base}/{raw_db}.db")
     for t in RawTables.NAMES:
         if t not in skipped:
-            databases.open_table(spark, raw_db, t, base_dir)
+            databases.open_table(spark, raw_db, t, base)
     w = Warehouse(spark, landing_dir, raw=raw)
     built: dict[str, DataFrame] = {}
-    for m in MART_ORDER:
+
+    def model(m: str) -> DataFrame:
         if m == "mart_customer_features":
-            df = marts.mart_customer_features(built["fct_orders"], built["dim_customers"],
-                                              w.stg_order_payments, w.stg_order_reviews)
-        elif m == "mart_churn_labels":
-            df = marts.mart_churn_labels(built["fct_orders"])
-        else:
-            df = w.model(m)
-        built[m] = databases.replace_table(df, marts_db, m, base_dir)
-    model_rep = reduce(DataFrame.unionByName, [
-        t.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit("model").alias("step"), F.lit(m).alias("name"), F.lit("built").alias("status"),
-            "rows") for m, t in built.items()])
+            return marts.mart_customer_features(built["fct_orders"], built["dim_customers"],
+                                                w.stg_order_payments, w.stg_order_reviews)
+        return marts.mart_churn_labels(built["fct_orders"]) if m == "mart_churn_labels" else w.model(m)
+
+    prints = {t: fingerprint for t, (_, _, fingerprint) in loaded.items()}
+    report = [("load", t, status, rows) for t, (status, rows, _) in loaded.items()]
+    for m in MART_ORDER:
+        prints[m] = chain(m, [prints[r] for r in READS[m]])
+        work: Callable[[], int] = lambda m=m: _rows(databases.replace_table(model(m), marts_db, m, base))
+        state, rows = ledger.step("model", m, prints[m], databases.table_path(base, marts_db, m), work)
+        built[m] = databases.open_table(spark, marts_db, m, base)
+        report.append(("model", m, "built" if state == "done" else "reused", rows))
+
     models = {m: built.get(m, w.model(m) if m.startswith("stg_") else None)
               for m, _ in quality.NOT_NULL_TESTS + quality.UNIQUE_TESTS}
-    suite = quality.suite(models, {n: raw.get(n) for n in RawTables.NAMES})
-    suite_path = f"{base_dir}/checks"
-    suite.write.mode("overwrite").parquet(suite_path)
+    suite_path = f"{base}/checks"
+    quality.suite(models, {n: raw.get(n) for n in RawTables.NAMES}).write.mode("overwrite").parquet(suite_path)
     checks = spark.read.parquet(suite_path)
     check_rep = checks.select(F.lit("check").alias("step"),
                               F.concat_ws(".", "test", "model", "column_name").alias("name"),
                               "status", F.col("failures").alias("rows"))
-    report = load_rep.unionByName(model_rep).unionByName(check_rep)
+    ledger.finish()  # what the checks find needs new data, not another try
     if fail_on_error and checks.filter(F.col("status") == "fail").limit(1).count() > 0:
         raise RefreshFailed("data-quality checks failed; see " + suite_path)
-    return report
+    return spark.createDataFrame(report, "step string, name string, status string, rows long").unionByName(check_rep)

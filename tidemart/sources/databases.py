@@ -1,29 +1,45 @@
-"""Named databases with a stable location: ``raw`` and ``marts`` tables that
-users query as ``marts.fct_orders`` and that a later run finds and replaces."""
+"""Named databases with a stable place: ``raw`` and ``marts`` tables that users
+query as ``marts.fct_orders`` and that a later run finds and replaces. A table
+is a folder of versions; its name points to the newest whole one."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import versions
+
 
 def table_path(base: str, database: str, table: str) -> str:
     return f"{base.rstrip('/')}/{database}.db/{table}"
 
 
-def _register(spark: SparkSession, database: str, table: str, path: str) -> DataFrame:
+def _point(spark: SparkSession, database: str, table: str, location: str) -> DataFrame:
+    """Let the name stand for ``location``: one change of the catalog entry."""
+    name = f"`{database}`.`{table}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    spark.sql(f"DROP TABLE IF EXISTS `{database}`.`{table}`")  # external: its files stay
-    spark.sql(f"CREATE TABLE `{database}`.`{table}` USING parquet LOCATION '{path}'")
+    schema = spark.read.parquet(location).schema
+    known = spark.catalog.tableExists(f"{database}.{table}")
+    if known and spark.table(f"{database}.{table}").schema == schema:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{location}'")
+    else:  # new, or of another shape: the entry is replaced, the files stay
+        if known:
+            spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{location}'")
+    spark.catalog.refreshTable(f"{database}.{table}")
     return spark.table(f"{database}.{table}")
 
 
 def replace_table(df: DataFrame, database: str, table: str, base: str) -> DataFrame:
-    """Write ``df`` over the table's files under ``base`` and name it."""
+    """Write ``df`` as the table's next version under ``base`` and name it."""
     path = table_path(base, database, table)
-    df.write.mode("overwrite").parquet(path)
-    return _register(df.sparkSession, database, table, path)
+    versions.publish(df, path)
+    return open_table(df.sparkSession, database, table, base)
 
 
 def open_table(spark: SparkSession, database: str, table: str, base: str) -> DataFrame:
-    """Name a table that an earlier run wrote under ``base``."""
-    return _register(spark, database, table, table_path(base, database, table))
+    """Name a table that this or an earlier run wrote under ``base``."""
+    path = table_path(base, database, table)
+    location = versions.current(spark, path)
+    if location is None:
+        raise versions.NoVersion(path)
+    return _point(spark, database, table, location)

@@ -2,14 +2,15 @@
 
 Layout under the shared work folder (``session.work_path``):
     landing/<source>/<file name>.csv/   CSV files as they arrive (one folder each)
-    warehouse/raw/<table>/              raw tables, all text, Parquet
-    warehouse/marts/<model>/            materialised marts, Parquet
+    warehouse/raw/<table>/<version>/    raw tables, all text, Parquet
+    warehouse/marts/<model>/<version>/  materialised marts, Parquet
 """
 
 from __future__ import annotations
 
 import hashlib
 import uuid
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -18,15 +19,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.utils import AnalysisException
 
+from ..operators.positions import write_and_reread
 from ..schemas import FILE_TABLE_MAP, RAW_COLUMNS, raw_schema
 from ..session import work_path
+from . import inference, quoted_csv, versions
 
 # Text that pandas reads as a missing value by default.
 PANDAS_NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
                     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
                     "nan", "null"]
-# Tables whose free text may hold line breaks; only these are read in multiLine
-# mode, because a multiLine CSV file cannot be split across tasks.
+# Tables whose free text may hold line breaks: their records are cut by
+# ``quoted_csv``, the others' lines are records.
 MULTILINE_TABLES = {"order_reviews"}
 CHUNK_ROWS = 5_000_000  # rows per file; a parameter of ``chunked_write``
 
@@ -53,23 +56,29 @@ def read_csv_text(spark: SparkSession, path: str, table: str) -> DataFrame:
     unknown column is an error, and so is a file of the folder whose header
     differs from the first one's.
     """
-    options = {"header": True, "escape": '"', "multiLine": table in MULTILINE_TABLES}
-    found = spark.read.options(**options).csv(path).columns
+    options = {"header": True, "escape": '"'}
+    split = table in MULTILINE_TABLES
+    text = quoted_csv.read_records(spark, path) if split else None
+    found = text.columns if split else spark.read.options(**options).csv(path).columns
     wanted = RAW_COLUMNS[table]
     if found and sorted(found) != sorted(wanted):
         raise HeaderMismatch(
             f"{path}: missing columns {sorted(set(wanted) - set(found))}, "
             f"unknown columns {sorted(set(found) - set(wanted))}")
+    if split:
+        return na_to_null(text).select(*wanted) if found else spark.createDataFrame([], raw_schema(table))
     schema = StructType([StructField(c, StringType()) for c in found]) if found else raw_schema(table)
     rows = (spark.read.schema(schema).options(**options).option("enforceSchema", False)
             .option("mode", "FAILFAST").csv(path))
     return na_to_null(rows).select(*wanted)
 
 
-def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
-    """Read a CSV with inferred column types (exploration only: two passes)."""
-    return (spark.read.option("header", True).option("escape", '"')
-            .option("inferSchema", True).csv(path))
+def read_csv_inferred(spark: SparkSession, path: str, parse_dates: Sequence[str] = ()) -> DataFrame:
+    """Read a CSV with the column types that pandas would give it: missing-value
+    marks are NULL, line breaks may stand inside quotes. The files are parsed
+    once; the types come from one aggregate over the parsed text."""
+    text = write_and_reread(na_to_null(quoted_csv.read_records(spark, path)), "csv-text")
+    return inference.typed(text, inference.profiles(text), parse_dates)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -90,15 +99,9 @@ def landing_for(spark: SparkSession, sf_dir: str, raw: dict[str, DataFrame]) ->
     return export_landing(spark, raw, work_path(spark, "landing", f"{source_tag(sf_dir)}-{uuid.uuid4().hex[:8]}"))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def full_refresh_load(df: DataFrame, path: str) -> DataFrame:
     """Replace a table whole (idempotent); return its row count from a re-read."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+    return versions.publish(df, path).agg(F.count(F.lit(1)).alias("rows"))
 
 
 def load_report_row(spark: SparkSession, table: str, fname: str, status: str,
@@ -106,7 +109,7 @@ def load_report_row(spark: SparkSession, table: str, fname: str, status: str,
     if path is None:
         base = spark.range(1).select(F.lit(0).cast("long").alias("rows"))
     else:
-        base = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows"))
+        base = versions.read(spark, path).agg(F.count(F.lit(1)).alias("rows"))
     return base.select(F.lit(table).alias("table_name"), F.lit(fname).alias("file_name"),
                        F.lit(status).alias("status"), "rows")
 
@@ -129,9 +132,9 @@ def multi_file_load(spark: SparkSession, landing_dir: str, raw_dir: str,
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             # an older load of the table is still there: say so
-            stale = path_exists(spark, path)
+            stale = versions.exists(spark, path)
             return load_report_row(spark, table, fname, "skipped, table is stale" if stale else "skipped", None)
-        df.write.mode("overwrite").parquet(path)
+        versions.publish(df, path)
         return load_report_row(spark, table, fname, "loaded", path)
 
     # the loads are independent write jobs: submit them concurrently so small
@@ -152,8 +155,7 @@ def chunked_write(df: DataFrame, path: str, chunk_rows: int = CHUNK_ROWS) -> Dat
 
 def materialise(df: DataFrame, path: str) -> DataFrame:
     """Write a model as a table and return the re-read table."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return versions.publish(df, path)
 
 
 def view(df: DataFrame, name: str) -> DataFrame:
@@ -169,7 +171,7 @@ class ParquetRaw:
         self.spark, self.raw_dir = spark, raw_dir.rstrip("/")
 
     def get(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.raw_dir}/{name}")
+        return versions.read(self.spark, f"{self.raw_dir}/{name}")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in FILE_TABLE_MAP.values():
