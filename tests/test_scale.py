@@ -124,3 +124,39 @@ def test_positions_with_hot_leading_value_nulls_and_big_ints(spark):
     assert [(r["a"], r["b"], r["c"]) for r in got] == [w[:3] for w in want]
     assert all(r["d"] != r["d"] for r in got)
     assert with_positions(df.limit(0), ["a"]).count() == 0
+
+
+def test_selection_equals_a_sort(spark):
+    """Ranks in hot, tiny, NULL and odd-valued groups, in one group and none."""
+    import math
+    import random
+    from tidemart.operators import selection
+    r = random.Random(9)
+    odd = [0.0, -0.0, 1e-320, -1e300, 1e300, math.inf, -math.inf, 5e-324, 1.0, 1.0 + 2**-52, -1.5, math.nan]
+    rows = [("hot", 7.25)] * 900 + [("hot", r.gauss(0, 1e3)) for _ in range(300)]
+    rows += [(None, r.choice(odd)) for _ in range(200)] + [("one", 3.0)] + [("near", 1.0 + k * 2**-52) for k in range(50)]
+    vals = spark.createDataFrame(rows, "g string, _value double").repartition(5)
+    vals = vals.withColumn("_image", selection.double_image(F.col("_value")))
+    key = lambda v: (math.isnan(v), 0.0 if v == 0 or math.isnan(v) else v)
+    groups = {}
+    for g, v in rows:
+        groups.setdefault(g, []).append(v)
+    need = [(g, k) for g, vs in groups.items() for k in {1, len(vs), (len(vs) + 1) // 2, max(1, len(vs) // 3)}]
+    got = selection.at_ranks(vals, spark.createDataFrame(need + [("one", 2)], "g string, _rank long").withColumn(
+        "k", F.col("_rank")), ["g"]).collect()
+    assert len(got) == len(need)
+    for x in got:
+        vs = sorted(groups[x.g], key=key)
+        assert key(x["_value"]) == key(vs[x.k - 1])
+        assert x["_rank"] == x.k - sum(key(v) < key(vs[x.k - 1]) for v in vs)
+    every = sorted((v for _, v in rows), key=key)
+    (x,) = selection.at_ranks(vals, spark.createDataFrame([(1000,)], "_rank long")).collect()
+    assert key(x["_value"]) == key(every[999])
+    assert selection.at_ranks(vals.limit(0), spark.createDataFrame([(1,)], "_rank long")).count() == 0
+
+
+def test_hex_images_keep_the_order(spark):
+    from tidemart.operators import selection
+    df = spark.range(300).select(F.md5(F.col("id").cast("string")).alias("h"))
+    rows = df.select("h", selection.hex_image(F.col("h")).alias("i")).collect()
+    assert [x.h for x in sorted(rows, key=lambda x: x.h)] == [x.h for x in sorted(rows, key=lambda x: x.i)]

@@ -8,8 +8,8 @@ a hot group is split), written once with their partition id and row index (see
 ``positions``), and a per-partition summary turns local positions and sums into
 global ones. Payload columns never leave the JVM, so no value is changed.
 
-Quantiles are taken from (value, count) rows: a partial aggregation removes
-repeated values before anything is ordered, so a hot value costs one row.
+Quantiles order nothing at all: ``selection`` finds the values at their ranks by
+counting.
 
 The plain-window form of each operator is the test oracle (tests/test_scale.py).
 """
@@ -22,6 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import selection
 from .positions import write_and_reread
 
 _MID, _PID, _RN = "_mid", "_pid", "_rn0"
@@ -86,34 +87,31 @@ def row_numbers(df: DataFrame, order: Sequence, *, group_cols: Sequence[str] = (
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], *,
-                    group_cols: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
+                    group_cols: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas default, NULLs skipped).
 
     Returns one row per group and probability: ``group_cols..., p, q``.
     position h = (n-1)p; q = x[floor h] + (x[ceil h] - x[floor h]) * (h - floor h).
+    The values at the two ranks are selected (see ``selection``): ``df`` is
+    scanned for the counts and up to three times more, nothing is ordered. The
+    passes run here; give a frame that is cheap to scan.
     """
     group_cols = list(group_cols)
-    vals = df.select(*group_cols, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    counts = vals.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranked = row_numbers(counts, ["_v"], group_cols=group_cols, weight_cols=["_c"], out="_d",
-                         num_partitions=num_partitions)
-    totals = ranked.groupBy(*group_cols).agg(F.sum("_c").alias("_n"))
+    v = F.col(value).cast("double")
+    vals = df.select(*group_cols, v.alias("_value")).filter(F.col("_value").isNotNull())
+    vals = vals.withColumn("_image", selection.double_image(F.col("_value")))
     probs_arr = F.array(*[F.lit(float(p)) for p in probs])
-    need = (totals.select(*group_cols, "_n", F.explode(probs_arr).alias("p"))
-            .withColumn("_h", (F.col("_n") - 1) * F.col("p"))
-            .select(*group_cols, "p", (F.col("_h") - F.floor("_h")).alias("_frac"),
-                    (F.floor("_h").cast("long") + 1).alias("_lo"), (F.ceil("_h").cast("long") + 1).alias("_hi")))
-    # a value holds the ranks (cum - count, cum]
-    holds = lambda r: (F.col("_cum") - F.col("_c") < F.col(r)) & (F.col(r) <= F.col("_cum"))
-    cells = ranked.withColumnRenamed("cum__c", "_cum")
-    hit = holds("_lo") | holds("_hi")
-    if group_cols:
-        got = _join_groups(cells, need, group_cols, hit)
-    else:  # one row per probability
-        got = cells.join(F.broadcast(need), hit)
+    h = (F.col("_n") - 1) * F.col("p")
+    ranks = F.array(F.struct(F.lit(0).alias("_side"), (F.floor(h).cast("long") + 1).alias("_rank")),
+                    F.struct(F.lit(1).alias("_side"), (F.ceil(h).cast("long") + 1).alias("_rank")))
+    need = (vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0")
+            .select(*group_cols, "_n", F.explode(probs_arr).alias("p"))
+            .select(*group_cols, "p", (h - F.floor(h)).alias("_frac"), F.explode(ranks).alias("_need"))
+            .select(*group_cols, "p", "_frac", "_need.*"))
+    got = selection.at_ranks(vals, need, group_cols)
     res = got.groupBy(*group_cols, "p").agg(
-        F.max(F.when(holds("_lo"), F.col("_v"))).alias("_vlo"),
-        F.max(F.when(holds("_hi"), F.col("_v"))).alias("_vhi"),
+        F.max(F.when(F.col("_side") == 0, F.col("_value"))).alias("_vlo"),
+        F.max(F.when(F.col("_side") == 1, F.col("_value"))).alias("_vhi"),
         F.max("_frac").alias("_frac"))
     q = F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")
     return res.select(*group_cols, "p", q.alias("q"))

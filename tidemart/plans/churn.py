@@ -1,8 +1,8 @@
 """Churn dataset, preprocessing, models and scoring on Spark ML.
 
 Everything that touches customer rows is a distributed DataFrame job:
-stratified split at a cut-off hash per class, medians by distributed exact
-quantiles over (value, count), class weights by a two-row aggregate, models by
+stratified split at a cut-off hash per class, medians by counting selection of
+ranks, class weights by a two-row aggregate, models by
 ``pyspark.ml`` estimators. Only bounded results (13 medians, state labels, a
 threshold, one loss per boosting round) reach the driver. Preprocessing is a
 fitted ``PipelineModel`` that starts from raw feature-mart rows, so a saved
@@ -24,12 +24,13 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.bins import edge_bins
 from ..operators.positions import write_and_reread
-from ..operators.scale import exact_quantiles, quantile_edges, row_numbers
+from ..operators import selection
+from ..operators.scale import exact_quantiles, quantile_edges
 from ..sources import versions
 from . import metrics as M
 
@@ -135,20 +136,27 @@ def stratified_split(ds: DataFrame, fraction: float = TEST_FRACTION, seed: int =
     """Deterministic stratified split: per class, the ``ceil(fraction * n_class)``
     rows with the smallest (md5(key:seed), key) go to the test side.
 
-    Only (label, hash, key) is ordered; its row at the cut gives one cut-off per
-    class, and the rows themselves are compared with it where they are.
+    Nothing is ordered: the hash at each class's cut is selected by counting,
+    and the keys are compared only among rows of that very hash.
     """
     h = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
-    small = ds.select(F.col(label).alias("_label"), h.alias("_h"), F.col(key).alias("_k"))
-    r = row_numbers(small, ["_h", "_k"], group_cols=["_label"], out="_crn")
-    n = small.groupBy(F.col("_label").alias("_cls")).agg(F.count(F.lit(1)).alias("_ncls"))
-    cut = (r.join(n, r["_label"].eqNullSafe(n["_cls"]))
-           .filter(F.col("_crn") == _ceil_fraction(F.col("_ncls"), fraction))
-           .select("_cls", F.struct("_h", "_k").alias("_cut")))
+    image = selection.hex_image(h)
+    small = ds.select(F.col(label).alias("_label"), image.alias("_image"), image.alias("_value"))
+    need = small.groupBy("_label").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_label", _ceil_fraction(F.col("_n"), fraction).alias("_rank"))
+    at = selection.at_ranks(small, need, ["_label"]).select(
+        F.col("_label").alias("_cls"), F.col("_value").alias("_cut_image"), F.col("_rank").alias("_nth"))
+    on = lambda left: left[label].eqNullSafe(at["_cls"])
+    # the rows of the cut's image, one a class unless two hashes begin alike
+    place = F.row_number().over(Window.partitionBy("_cls").orderBy("_h", "_k"))
+    ties = (ds.withColumns({"_h": h, "_k": F.col(key)}).join(at, on(ds) & (image == F.col("_cut_image")))
+            .select("_cls", "_cut_image", "_nth", "_h", "_k").withColumn("_place", place)
+            .filter("_place = _nth").select(F.col("_cls"), "_cut_image", F.struct("_h", "_k").alias("_cut")))
+    cut = write_and_reread(ties, "split-cuts")  # one row a class
+    below = F.struct(h.alias("_h"), F.col(key).alias("_k")) <= F.col("_cut")
     return (ds.join(cut, ds[label].eqNullSafe(cut["_cls"]), "left")
-            .withColumn(out, F.coalesce(F.struct(h.alias("_h"), F.col(key).alias("_k")) <= F.col("_cut"),
-                                        F.lit(False)))
-            .drop("_cls", "_cut"))
+            .withColumn(out, F.coalesce(below, F.lit(False)))
+            .drop("_cls", "_cut", "_cut_image"))
 
 
 def medians(train: DataFrame, cols: list[str]) -> DataFrame:
