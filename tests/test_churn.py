@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemart.plans import churn as C
+from tidemart.plans import shapley
 
 
 @pytest.fixture(scope="module")
@@ -42,14 +43,16 @@ def test_split_is_stratified_and_null_safe(spark):
     assert all(r["t"] == -(-r["n"] // 5) for r in got)
 
 
-def test_patience_keeps_more_than_one_tree(prep):
+def test_patience_keeps_more_than_one_tree(prep, tmp_path):
     b = C.final_model(prep.train, 3.0, rounds=40, patience=5)
     assert b.best_round > 1 and b.model.getNumTrees == b.best_round
     seen = b.losses[:b.rounds_tried]
     assert min(seen) == b.losses[b.best_round - 1]
     assert b.rounds_tried == b.best_round + 5 or b.rounds_tried == 40
-    names = {r["feature"]: r["importance"] for r in
-             C.boosted_contributions(b.model, prep.test, prep.features, prep.med).collect()}
+    given = C.boosted_contributions(b.model, prep.test, str(tmp_path / "nodes"))
+    assert given.filter(F.abs(F.aggregate("contributions", F.col("base"), lambda s, x: s + x)
+                              - F.col("margin")) > 1e-9).count() == 0
+    names = {r["feature"]: r["importance"] for r in shapley.importance(given, prep.features).collect()}
     assert set(names) == set(prep.features) and names["frequency"] > names["monetary"] >= 0
 
 
@@ -72,3 +75,69 @@ def test_saved_pipeline_scores_raw_rows(spark, ds, prep, tmp_path):
     assert j.count() == 601
     assert j.filter(F.abs(F.col("p") - F.col("churn_probability")) > 1e-12).count() == 0
     assert j.filter("p is null").count() == 0
+
+
+def test_shapley_values_equal_enumeration_of_all_subsets(spark, tmp_path):
+    """Conditional expectations by walking the trees, all subsets of features."""
+    from itertools import combinations
+    from math import factorial
+
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    rng = random.Random(3)
+    rows = [(f"k{i}", *[rng.randrange(5) * 1.0 for _ in range(4)]) for i in range(150)]
+    rows = [(*r, int(r[1] + r[2] * r[3] + rng.random() * 3 > 7), rng.choice([1.0, 3.0])) for r in rows]
+    df = spark.createDataFrame(rows, "customer_id string, a double, b double, c double, d double, y int, w double")
+    df = VectorAssembler(inputCols=list("abcd"), outputCol="features").transform(df)
+    model = GBTClassifier(labelCol="y", weightCol="w", maxIter=4, maxDepth=4, seed=1).fit(df)
+    got = {r.customer_id: r for r in C.boosted_contributions(model, df, str(tmp_path / "n")).collect()}
+    trees = {}
+    for n in shapley.node_table(spark, model, str(tmp_path / "again")).collect():
+        trees.setdefault(n.tree, {})[n.id] = n
+
+    def expect(nodes, i, x, known):
+        n = nodes[i]
+        if n.left < 0:
+            return n.value
+        if n.feature in known:
+            return expect(nodes, n.left if x[n.feature] <= n.threshold else n.right, x, known)
+        return sum(nodes[c].weight / n.weight * expect(nodes, c, x, known) for c in (n.left, n.right))
+
+    def value(x, known):
+        return sum(w * expect(trees[t], 0, x, known) for t, w in enumerate(model.treeWeights))
+
+    for r in rows[:12]:
+        x, have = r[1:5], got[r[0]]
+        assert abs(have.base - value(x, ())) < 1e-9
+        for i in range(4):
+            others = [j for j in range(4) if j != i]
+            want = sum(factorial(k) * factorial(3 - k) / 24 * (value(x, (*s, i)) - value(x, s))
+                       for k in range(4) for s in combinations(others, k))
+            assert abs(want - have.contributions[i]) < 1e-9
+        assert abs(have.base + sum(have.contributions) - have.margin) < 1e-9
+
+
+def test_a_constant_model_fails_its_keys(spark, prep, monkeypatch, tmp_path):
+    """Four training keys turn red for a model that ignores its features."""
+    from dataclasses import replace
+
+    from tidemart.keys import churn as K
+    flat = prep.train.withColumn("features", F.transform(C.vector_to_array("features"), lambda x: F.lit(0.0)))
+    from pyspark.ml.functions import array_to_vector
+    flat = flat.withColumn("features", array_to_vector("features")).withColumn("w", F.lit(1.0))
+    trees, line = C.gbt(2, 1.0).fit(flat), C.logistic_baseline(flat.drop("w"))
+    boosted = C.Boosted(trees, 2, 2, [1.0, 0.9], replace(prep).test)
+    parts = {"prep": prep, "final": (boosted, 0.5), "search": (1, []), "logreg": line}
+    monkeypatch.setattr(K, "trained", lambda spark, sf, part: parts[part])
+    no = lambda df, c: set(r[c] for r in df.collect()) == {False}
+    assert no(K.ml_boosted_trees(spark, ""), "beats_constant")
+    assert no(K.ml_score_all(spark, ""), "varies")
+    assert no(K.ml_feature_importance(spark, "").filter("model != 'split_gain'"), "adds_up")
+    with pytest.raises(Exception, match="edges must be unique"):
+        K.churn_scores(spark, "").collect()
+    good = C.gbt(5, 1.0).fit(prep.train.withColumn("w", F.lit(1.0)))
+    parts["final"] = (C.Boosted(good, 5, 5, [1.0] * 5, prep.test), 0.5)
+    parts["logreg"] = C.logistic_baseline(prep.train)
+    assert {r.beats_constant for r in K.ml_boosted_trees(spark, "").collect()} == {True}
+    assert {tuple(r)[1:] for r in K.ml_score_all(spark, "").collect()} == {(True, True, True)}
+    assert {r.adds_up for r in K.ml_feature_importance(spark, "").collect()} == {True}

@@ -7,17 +7,22 @@ optimiser, so these keys return what does not: which rows are in which split
 (DuckDB computes the same hashes), and whether the trained model obeys its rule
 on them (the gradient vanishes, the best weight is the arg-max, training stopped
 where patience ends, thresholds and percentiles were applied, a reloaded model
-scores alike). Models are trained once per session and dataset content.
+scores alike, Shapley values add up to the margin). A constant model fails
+them. Models are trained once per session and source content.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..catalog import Warehouse
 from ..oracle import cte, sql
 from ..plans import churn as C
+from ..plans import ledger, shapley
 from ..plans import metrics as M
 from ..operators.positions import write_and_reread
 from ..session import work_path
@@ -371,15 +376,20 @@ def ml_risk_distribution(spark, sf_dir):
 _TRAINED: dict = {}
 
 
+def _stamp(spark, sf_dir) -> tuple:
+    """Names, sizes and times of the source's files: whether the dataset changed
+    is known without building it."""
+    return spark.sparkContext.applicationId, files.source_tag(sf_dir), ledger.files_fingerprint(spark, sf_dir)
+
+
 def trained(spark, sf_dir, part: str):
-    """Train each piece once per session and dataset content, and share it
-    across keys; only the latest dataset's models are kept."""
-    ds = written_dataset(spark, sf_dir)
-    stamp = ds.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*ds.columns).cast("decimal(38,0)"))).first()
-    key = (spark.sparkContext.applicationId, tuple(stamp))
+    """Train each piece once per session and source content, and share it
+    across keys; only the latest source's models are kept. The dataset is built
+    and written when its first piece is trained."""
+    key = _stamp(spark, sf_dir)
     if key not in _TRAINED:
         _TRAINED.clear()
-        _TRAINED[key] = {"prep": C.prepare(ds)}
+        _TRAINED[key] = {"prep": C.prepare(written_dataset(spark, sf_dir))}
     st = _TRAINED[key]
     prep = st["prep"]
     if part == "logreg" and "logreg" not in st:
@@ -401,6 +411,20 @@ def _consistent(scores: DataFrame):
     return p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("int"))
 
 
+def beats_constant(scores: DataFrame, weight) -> bool:
+    """Whether the weighted log loss of ``churn_probability`` is below that of
+    the best constant (the weighted share of churned rows). False for a model
+    that gives every row the same probability."""
+    y, p = F.col(C.LABEL), F.least(F.greatest(F.col("churn_probability"), F.lit(1e-15)), F.lit(1 - 1e-15))
+    loss = -(y * F.ln(p) + (1 - y) * F.ln(1 - p))
+    r = scores.select(weight.alias("w"), y, loss.alias("loss")).agg(
+        (F.sum(F.col("w") * F.col("loss")) / F.sum("w")).alias("loss"),
+        (F.sum(F.col("w") * F.col(C.LABEL)) / F.sum("w")).alias("share")).first()
+    q = r["share"]
+    constant = -(q * math.log(q) + (1 - q) * math.log(1 - q)) if q and 0 < q < 1 else 0.0
+    return r["loss"] is not None and r["loss"] < constant
+
+
 GRADIENT_TOLERANCE = 1e-2  # of the loss per row and standard deviation of a feature
 
 
@@ -449,12 +473,16 @@ def ml_weight_search(spark, sf_dir):
                                       "f1_follows boolean, best_is_argmax boolean")
 
 
-@register("ml_boosted_trees", sql(
-    "SELECT customer_id, is_churned, true AS consistent FROM ml_split WHERE is_test"))
+@register("ml_boosted_trees", sql("""
+SELECT customer_id, is_churned, true AS consistent, true AS beats_constant FROM ml_split WHERE is_test"""))
 def ml_boosted_trees(spark, sf_dir):
+    """The test rows, whether their scores are consistent, and whether the model
+    is better than a constant on the validation rows it was not fitted on."""
     boosted, _ = trained(spark, sf_dir, "final")
     s = C.scored(boosted.model, trained(spark, sf_dir, "prep").test)
-    return s.select(C.KEY, C.LABEL, _consistent(s).alias("consistent"))
+    best_w, _ = trained(spark, sf_dir, "search")
+    better = beats_constant(C.scored(boosted.model, boosted.validation), C.active_weight(best_w))
+    return s.select(C.KEY, C.LABEL, _consistent(s).alias("consistent"), F.lit(better).alias("beats_constant"))
 
 
 @register("ml_early_stopping", sql(f"""
@@ -476,31 +504,41 @@ def ml_early_stopping(spark, sf_dir):
 
 @register("ml_feature_importance", sql(" UNION ALL ".join(
     f"SELECT '{m}' AS model, '{f}' AS feature, (SELECT count(*) FROM ml_split WHERE is_test) AS test_rows, "
-    f"true AS valid" for m in ("boosted_trees", "logistic_regression", "split_gain") for f in _FEATS)))
+    f"true AS adds_up" for m in ("boosted_trees", "logistic_regression", "split_gain") for f in _FEATS)))
 def ml_feature_importance(spark, sf_dir):
-    """Per model and feature, over all test rows, whether its mean absolute
-    contribution (or share of split gain) is a finite share, as it must be."""
-    imp = importances(spark, sf_dir)
+    """Per model and feature, the test rows it was measured on and whether the
+    model's attributions add up: Shapley values and their base to the margin of
+    every row (trees), contributions to the logit of every row (linear), shares
+    of split gain to one. A constant model's do not."""
+    imp, adds = attributions(spark, sf_dir)
     n = trained(spark, sf_dir, "prep").test.count()
+    sums = F.create_map(*[x for m, ok in adds.items() for x in (F.lit(m), F.lit(ok))])
     return imp.select("model", "feature", F.lit(n).cast("long").alias("test_rows"),
-                      ((F.col("importance") >= 0) & ((F.col("importance") <= 1)
-                       | (F.col("model") == "logistic_regression"))).alias("valid"))
+                      (sums[F.col("model")] & (F.col("importance") >= 0)).alias("adds_up"))
 
 
-def importances(spark, sf_dir) -> DataFrame:
-    """``model, feature, importance``: mean absolute change of probability when
-    a feature is set to its median (trees), mean absolute contribution to the
-    logit (linear), and share of split gain (trees)."""
+def attributions(spark, sf_dir) -> tuple[DataFrame, dict[str, bool]]:
+    """``model, feature, importance``: mean absolute Shapley value (trees), mean
+    absolute contribution to the logit (linear) and share of split gain (trees),
+    over all test rows; and per model whether its attributions add up."""
     boosted, _ = trained(spark, sf_dir, "final")
     prep = trained(spark, sf_dir, "prep")
-    gain = spark.createDataFrame(
-        list(zip(prep.features, map(float, boosted.model.featureImportances.toArray()))),
-        "feature string, importance double")
-    linear = C.linear_contributions(trained(spark, sf_dir, "logreg"), prep.test, prep.features)
-    trees = C.boosted_contributions(boosted.model, prep.test, prep.features, prep.med)
-    return (trees.withColumn("model", F.lit("boosted_trees"))
-            .unionByName(linear.withColumn("model", F.lit("logistic_regression")))
-            .unionByName(gain.withColumn("model", F.lit("split_gain"))))
+    gains = list(map(float, boosted.model.featureImportances.toArray()))
+    gain = spark.createDataFrame(list(zip(prep.features, gains)), "feature string, importance double")
+    logreg = trained(spark, sf_dir, "logreg")
+    linear = C.linear_contributions(logreg, prep.test, prep.features)
+    given = write_and_reread(C.boosted_contributions(
+        boosted.model, prep.test, work_path(spark, "nodes", uuid.uuid4().hex)), "contributions")
+    trees = shapley.importance(given, prep.features)
+    total = F.aggregate("contributions", F.col("base"), lambda s, x: s + x)
+    r = given.agg(F.max(F.abs(total - F.col("margin"))).alias("off"), F.count_distinct("margin").alias("margins")).first()
+    adds = {"boosted_trees": r["off"] is not None and r["off"] < 1e-6 and r["margins"] > 1,
+            "logistic_regression": C.linear_gap(logreg, prep.test) < 1e-6,
+            "split_gain": abs(sum(gains) - 1) < 1e-6}
+    imp = (trees.withColumn("model", F.lit("boosted_trees"))
+           .unionByName(linear.withColumn("model", F.lit("logistic_regression")))
+           .unionByName(gain.withColumn("model", F.lit("split_gain"))))
+    return imp, adds
 
 
 def _score_all(spark, sf_dir) -> tuple[DataFrame, float]:
@@ -510,12 +548,24 @@ def _score_all(spark, sf_dir) -> tuple[DataFrame, float]:
                     (F.col("churn_probability") >= F.lit(thr)).cast("int").alias("predicted_churned")), thr
 
 
-@register("ml_score_all", sql("SELECT customer_id, true AS in_range, true AS threshold_applied FROM ml_dataset"))
+@register("ml_score_all", sql("""
+SELECT customer_id, true AS follows_margin, true AS threshold_applied, true AS varies FROM ml_dataset"""))
 def ml_score_all(spark, sf_dir):
+    """Every customer; whether its probability is the logistic function of twice
+    the sum of its trees' Shapley values (not of the model's own output), whether
+    the class follows from that by the threshold, and whether probabilities
+    differ at all."""
     s, thr = _score_all(spark, sf_dir)
-    p = F.col("churn_probability")
-    return s.select(C.KEY, p.between(0, 1).alias("in_range"),
-                    (F.col("predicted_churned") == (p >= thr).cast("int")).alias("threshold_applied"))
+    boosted, _ = trained(spark, sf_dir, "final")
+    given = shapley.tree_contributions(trained(spark, sf_dir, "prep").all, boosted.model,
+                                       work_path(spark, "nodes", uuid.uuid4().hex), key=C.KEY)
+    margin = F.aggregate("contributions", F.col("base"), lambda a, x: a + x)
+    j = write_and_reread(s.join(given.select(C.KEY, (1 / (1 + F.exp(-2 * margin))).alias("p")), C.KEY), "scores-again")
+    p, near = F.col("churn_probability"), F.abs(F.col("p") - F.lit(thr)) < 1e-9
+    varies = j.agg(F.max("p") - F.min("p")).first()[0]
+    return j.select(C.KEY, (F.abs(p - F.col("p")) < 1e-9).alias("follows_margin"),
+                    (near | (F.col("predicted_churned") == (F.col("p") >= thr).cast("int"))).alias("threshold_applied"),
+                    F.lit(bool(varies and varies > 1e-9)).alias("varies"))
 
 
 def churn_scores_frame(spark, sf_dir) -> DataFrame:
@@ -526,10 +576,11 @@ def churn_scores_frame(spark, sf_dir) -> DataFrame:
 
 
 @register("churn_scores", sql(
-    "SELECT customer_id, true AS segment_follows, true AS action_follows FROM ml_dataset"))
+    "SELECT customer_id, true AS segment_follows, true AS action_follows, 3 AS segments FROM ml_dataset"))
 def churn_scores(spark, sf_dir):
     """Every customer; whether its segment follows from the scores' percentiles
-    (taken here by another function) and the action from the segment."""
+    (taken here by another function) and the action from the segment; and how
+    many segments there are, which is one for a model that gives one score."""
     s = write_and_reread(churn_scores_frame(spark, sf_dir), "churn-scores")
     p33, p66 = s.agg(F.percentile("churn_probability", F.array(F.lit(0.33), F.lit(0.66)))).first()[0]
     p = F.col("churn_probability")
@@ -537,8 +588,9 @@ def churn_scores(spark, sf_dir):
     action = (F.when(F.col("risk_segment") == "Low Risk", "Standard newsletter")
               .when(F.col("risk_segment") == "Medium Risk", "Nurture email sequence")
               .otherwise("Immediate win-back campaign"))
+    n = s.select("risk_segment").distinct().count()
     return s.select(C.KEY, (F.col("risk_segment") == segment).alias("segment_follows"),
-                    (F.col("recommended_action") == action).alias("action_follows"))
+                    (F.col("recommended_action") == action).alias("action_follows"), F.lit(n).alias("segments"))
 
 
 @register("score_table_replace", sql("""

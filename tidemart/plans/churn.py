@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +33,7 @@ from ..operators import selection
 from ..operators.scale import exact_quantiles, quantile_edges
 from ..sources import versions
 from . import metrics as M
+from . import shapley
 
 LABEL = "is_churned"
 KEY = "customer_id"
@@ -364,25 +365,13 @@ def load_model(path: str, spark) -> tuple[PipelineModel, DataFrame]:
     return PipelineModel.load(f"{version}/model"), spark.read.parquet(f"{version}/metadata")
 
 
-def boosted_contributions(model, df: DataFrame, features: list[str], med: dict) -> DataFrame:
-    """Per feature, the mean absolute change of the churn probability when the
-    feature is set to its training median, over all rows of ``df``: one scoring
-    job over the rows, each with one variant per feature."""
-    x = vector_to_array(F.col("features"))
-
-    def with_median(i: int) -> Column:
-        m = F.lit(float(med.get(features[i]) or 0.0))
-        return F.transform(x, lambda a, k: F.when(k == i, m).otherwise(a))
-
-    variants = F.array(
-        F.struct(F.lit(None).cast("string").alias("feature"), x.alias("v")),
-        *[F.struct(F.lit(f).alias("feature"), with_median(i).alias("v")) for i, f in enumerate(features)])
-    long = df.select(KEY, F.explode(variants).alias("r")).select(
-        KEY, "r.feature", array_to_vector("r.v").alias("features"))
-    p = probability(model.transform(long)).select(KEY, "feature", "churn_probability")
-    whole = p.filter("feature is null").select(KEY, F.col("churn_probability").alias("_p"))
-    return (p.filter("feature is not null").join(whole, KEY).groupBy("feature")
-            .agg(F.avg(F.abs(F.col("churn_probability") - F.col("_p"))).alias("importance")))
+def boosted_contributions(model, df: DataFrame, path: str) -> DataFrame:
+    """Per row of ``df``: ``base`` and each feature's Shapley ``contributions``
+    to the margin (``path``: a folder for the model's node table), and the
+    ``margin`` itself as the model gives it."""
+    given = shapley.tree_contributions(df, model, path, key=KEY)
+    margin = model.transform(df).select(KEY, vector_to_array(F.col("rawPrediction"))[1].alias("margin"))
+    return given.join(margin, KEY)
 
 
 def stationarity(model, train: DataFrame, n_features: int) -> DataFrame:
@@ -404,6 +393,19 @@ def stationarity(model, train: DataFrame, n_features: int) -> DataFrame:
           for i in range(n_features)])).alias("r")).select("r.*")
 
 
+def linear_gap(model, df: DataFrame) -> float:
+    """The largest difference, over the rows of ``df``, between the intercept
+    plus the features' contributions and the model's margin; infinite for a
+    model that gives all rows one margin."""
+    coefs = F.array(*map(F.lit, model.coefficients.toArray().tolist()))
+    parts = F.zip_with(coefs, vector_to_array(F.col("features")), lambda c, x: c * x)
+    total = F.aggregate(parts, F.lit(float(model.intercept)), lambda s, x: s + x)
+    margin = vector_to_array(F.col("rawPrediction"))[1]
+    r = model.transform(df).agg(F.max(F.abs(total - margin)).alias("off"),
+                                (F.max(margin) - F.min(margin)).alias("spread")).first()
+    return r["off"] if r["spread"] else float("inf")
+
+
 def linear_contributions(model, df: DataFrame, features: list[str]) -> DataFrame:
     """Mean |coef_j * (x_j - mean_j)| per feature over all rows of ``df``: the
     exact per-feature contribution to the logit of a linear model. Two
