@@ -16,6 +16,10 @@ from .sources.fixtures import RawTables
 
 
 class Warehouse:
+    MODELS = ("stg_orders", "stg_order_items", "stg_order_payments", "stg_order_reviews", "stg_customers",
+              "stg_products", "stg_sellers", "dim_customers", "dim_sellers", "dim_products", "fct_orders",
+              "mart_customer_features", "mart_churn_labels")
+
     def __init__(self, spark: SparkSession, sf_dir: str, raw: RawTables | None = None):
         self.spark = spark
         self.sf_dir = sf_dir

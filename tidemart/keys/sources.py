@@ -11,7 +11,7 @@ from ..catalog import Warehouse
 from ..oracle import sql
 from ..schemas import FILE_TABLE_MAP
 from ..session import work_path
-from ..sources import files, versions
+from ..sources import files, statements, versions
 from ..sources.fixtures import RawTables
 from . import register
 
@@ -69,18 +69,20 @@ def model_ref_scan(spark, sf_dir):
 
 
 REVIEW_EXTRACT = """
-SELECT f.order_id, f.delivery_days, CAST(r.review_score AS INT) AS review_score
-FROM fct_orders f JOIN raw_order_reviews r ON f.order_id = r.order_id
-WHERE f.delivery_days IS NOT NULL AND r.review_score IS NOT NULL
+SELECT o.order_id, CAST(o.purchased_at AS {text}) AS purchased_at, o.delivery_days,
+       CAST(r.review_score AS INT) AS review_score
+FROM {marts}fct_orders o
+JOIN {raw}order_reviews AS r ON r.order_id = o.order_id
+WHERE r.review_score IS NOT NULL AND o.delivery_days IS NOT NULL
 """
 
 
-@register("sql_query_scan", sql(REVIEW_EXTRACT))
+@register("sql_query_scan", sql("SELECT order_id, CAST(purchased_at AS TIMESTAMP) AS purchased_at, delivery_days, "
+                                "review_score FROM (" + REVIEW_EXTRACT.format(marts="", raw="raw_", text="VARCHAR") + ")"))
 def sql_query_scan(spark, sf_dir):
-    w = Warehouse(spark, sf_dir)
-    # frames are passed by name to the statement: no session-wide view is left
-    return spark.sql(REVIEW_EXTRACT.replace("fct_orders", "{fct_orders}").replace(
-        "raw_order_reviews", "{reviews}"), fct_orders=w.fct_orders, reviews=w.raw.order_reviews)
+    """A statement over the named models, its text dates parsed."""
+    return statements.read_sql(spark, REVIEW_EXTRACT.format(marts="marts.", raw="raw.", text="STRING"),
+                               Warehouse(spark, sf_dir), parse_dates=["purchased_at"])
 
 
 @register("full_refresh_load", sql("SELECT 'orders' AS table_name, count(*) AS rows FROM raw_orders"))
