@@ -6,6 +6,8 @@ project uses it (a staging cast, a fact join, a report aggregate, ...).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..catalog import Warehouse
@@ -15,7 +17,10 @@ from ..oracle import sql
 from ..plans import marts as MT
 from ..plans import quality as Q
 from ..plans import reports as R
+from ..plans import sketches as S
+from ..operators.positions import write_and_reread
 from ..operators.scale import exact_quantiles, row_numbers
+from ..session import work_path
 from . import churn as _churn  # noqa: F401  (registers the ML CTEs)
 from . import register
 from . import reports as RK
@@ -246,6 +251,23 @@ def agg_count_distinct(spark, sf_dir):
     return f.groupBy("customer_id").agg(F.count_distinct("order_id").alias("total_orders"))
 
 
+@register("agg_approx_distinct", sql("""
+SELECT CAST(year(purchased_at) AS INTEGER) AS year, count(*) AS orders,
+       count(DISTINCT customer_id) AS customers, true AS within_bound
+FROM fct_orders WHERE purchased_at IS NOT NULL GROUP BY 1"""))
+def agg_approx_distinct(spark, sf_dir):
+    """Customers per year, exactly, and whether the sketches of the year's
+    months, stored and merged, give that number within their error bound."""
+    f = W(spark, sf_dir).fct_orders.filter("purchased_at is not null").select("purchased_at", "customer_id")
+    months = S.store(S.distinct_sketches(f, [F.trunc("purchased_at", "month").alias("month")], ["customer_id"]),
+                     work_path(spark, "sketches", uuid.uuid4().hex))
+    years = S.estimates(S.merge(months, [F.year("month").alias("year")]))
+    exact = f.groupBy(F.year("purchased_at").alias("year")).agg(F.count_distinct("customer_id").alias("customers"))
+    off = F.abs(F.col("approx_customer_id") - F.col("customers")) / F.col("customers")
+    return years.join(exact, "year").select("year", F.col("rows").alias("orders"), "customers",
+                                            (off <= S.error_bound()).alias("within_bound"))
+
+
 @register("agg_avg_min", sql("""
 SELECT customer_id, mean_score AS avg_review_score, worst AS min_review_score,
        bad_share AS bad_review_rate FROM reviewers"""))
@@ -347,8 +369,8 @@ def agg_value_counts(spark, sf_dir):
 
 @register("agg_quantile", sql("SELECT p, q FROM monetary_edges"))
 def agg_quantile(spark, sf_dir):
-    rfm = R.rfm_base(RK.base(spark, sf_dir)[1])
-    return exact_quantiles(rfm, "monetary", R.QUINTILE_PROBS)
+    rfm = R.rfm_base(RK.base(spark, sf_dir)[1]).select("monetary")
+    return exact_quantiles(write_and_reread(rfm, "monetary"), "monetary", R.QUINTILE_PROBS)
 
 
 @register("agg_share_of_total", sql("SELECT segment, rev_pct, cus_pct FROM rfm_segment_summary"))

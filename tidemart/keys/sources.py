@@ -139,4 +139,4 @@ def refresh_all(spark, sf_dir):
     from ..plans.refresh import refresh_all as run
     return run(spark, _landing(spark, sf_dir),
                work_path(spark, "warehouse", _tag(sf_dir), "batch"),
-               raw_db=f"raw_{_tag(sf_dir)}", marts_db=f"marts_{_tag(sf_dir)}")
+               raw_db=f"raw_{_tag(sf_dir)}", marts_db=f"marts_{_tag(sf_dir)}", order_buckets=4)

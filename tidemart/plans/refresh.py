@@ -27,7 +27,7 @@ from ..schemas import FILE_TABLE_MAP
 from ..sources import databases, files, versions
 from ..sources.fixtures import RawTables
 from . import marts, quality
-from .ledger import Ledger, chain, files_fingerprint
+from .ledger import Ledger, chain, digest, files_fingerprint
 
 MART_ORDER = ("dim_customers", "dim_products", "dim_sellers", "fct_orders",
               "mart_customer_features", "mart_churn_labels")
@@ -40,6 +40,12 @@ READS = {
 }
 
 
+#: Tables that are joined and grouped by order: dealt out and sorted by it when
+#: written, so that no model of the batch shuffles them by order again.
+BY_ORDER = ("orders", "order_items", "order_payments", "order_reviews", "fct_orders")
+ORDER_BUCKETS = 64
+
+
 class RefreshFailed(RuntimeError):
     pass
 
@@ -47,19 +53,21 @@ class RefreshFailed(RuntimeError):
 def refresh_all(spark: SparkSession, landing_dir: str, base_dir: str,
                 fail_on_error: bool = True, fail_on_skipped: bool | None = None,
                 raw_db: str = "raw", marts_db: str = "marts", retries: int = 0,
-                retry_seconds: float = 0.0, parallelism: int = 4) -> DataFrame:
+                retry_seconds: float = 0.0, parallelism: int = 4,
+                order_buckets: int = ORDER_BUCKETS) -> DataFrame:
     """Run the batch; return the run report (step, name, status, rows).
 
     A missing landing file is an error if an older load of its table exists,
     which would be used stale; else it is skipped and reported.
     ``fail_on_skipped`` makes it an error (True) or a report (False) in both
     cases. Tables live under ``base_dir`` and replace the last run's. A step
-    that an unfinished run has done is "reused".
+    that an unfinished run has done is "reused". ``order_buckets``: files of the
+    tables in ``BY_ORDER``; choose it so that one fits a task (about 1 GB).
     """
     for left in range(retries, -1, -1):
         try:
             return _run(spark, landing_dir, base_dir.rstrip("/"), fail_on_error, fail_on_skipped,
-                        raw_db, marts_db, parallelism)
+                        raw_db, marts_db, parallelism, order_buckets)
         except RefreshFailed:  # the data is at fault: another try gives the same
             raise
         except Exception:
@@ -73,17 +81,23 @@ def _rows(df: DataFrame) -> int:
     return df.agg(F.count(F.lit(1))).first()[0]
 
 
+def _buckets(table: str, count: int) -> databases.Buckets | None:
+    return databases.Buckets("order_id", count) if table in BY_ORDER else None
+
+
 def _load(spark, ledger: Ledger, landing_dir: str, base: str, raw_db: str,
-          parallelism: int) -> dict[str, tuple[str, int, str]]:
+          parallelism: int, order_buckets: int) -> dict[str, tuple[str, int, str]]:
     """Per raw table: status, rows and fingerprint."""
     def one(item):
         fname, table = item
         path = databases.table_path(base, raw_db, table)
         found = files_fingerprint(spark, f"{landing_dir}/{fname}")
+        buckets = _buckets(table, order_buckets)
         if found is None:
             return table, ("skipped, table is stale" if versions.exists(spark, path) else "skipped", 0, "none")
-        state, rows = ledger.step("load", table, found, path, lambda: _rows(
-            versions.publish(files.read_csv_text(spark, f"{landing_dir}/{fname}", table), path)))
+        found = digest(found, str(buckets))
+        state, rows = ledger.step("load", table, found, path, lambda: _rows(databases.replace_table(
+            files.read_csv_text(spark, f"{landing_dir}/{fname}", table), raw_db, table, base, buckets)))
         return table, ("loaded" if state == "done" else "reused", rows, found)
 
     # independent write jobs: small tables do not wait behind a large one
@@ -91,17 +105,18 @@ def _load(spark, ledger: Ledger, landing_dir: str, base: str, raw_db: str,
         return dict(ex.map(one, FILE_TABLE_MAP.items()))
 
 
-def _run(spark, landing_dir, base, fail_on_error, fail_on_skipped, raw_db, marts_db, parallelism) -> DataFrame:
+def _run(spark, landing_dir, base, fail_on_error, fail_on_skipped, raw_db, marts_db, parallelism, order_buckets) -> DataFrame:
     ledger = Ledger(spark, f"{base}/ledger")
-    loaded = _load(spark, ledger, landing_dir, base, raw_db, parallelism)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{raw_db}`")
+    loaded = _load(spark, ledger, landing_dir, base, raw_db, parallelism, order_buckets)
     skipped = [t for t, (status, _, _) in loaded.items() if status.startswith("skipped")]
     wrong = [t for t in skipped if fail_on_skipped or (fail_on_skipped is None and "stale" in loaded[t][0])]
     if wrong:
         raise RefreshFailed(f"landing files are missing for {wrong}")
-    raw = files.ParquetRaw(spark, f"{base}/{raw_db}.db")
+    raw = files.TableRaw(spark, raw_db)
     for t in RawTables.NAMES:
         if t not in skipped:
-            databases.open_table(spark, raw_db, t, base)
+            databases.open_table(spark, raw_db, t, base, _buckets(t, order_buckets))
     w = Warehouse(spark, landing_dir, raw=raw)
     built: dict[str, DataFrame] = {}
 
@@ -114,10 +129,12 @@ def _run(spark, landing_dir, base, fail_on_error, fail_on_skipped, raw_db, marts
     prints = {t: fingerprint for t, (_, _, fingerprint) in loaded.items()}
     report = [("load", t, status, rows) for t, (status, rows, _) in loaded.items()]
     for m in MART_ORDER:
-        prints[m] = chain(m, [prints[r] for r in READS[m]])
-        work: Callable[[], int] = lambda m=m: _rows(databases.replace_table(model(m), marts_db, m, base))
+        buckets = _buckets(m, order_buckets)
+        prints[m] = chain(m, [str(buckets), *[prints[r] for r in READS[m]]])
+        work: Callable[[], int] = lambda m=m, b=buckets: _rows(
+            databases.replace_table(model(m), marts_db, m, base, b))
         state, rows = ledger.step("model", m, prints[m], databases.table_path(base, marts_db, m), work)
-        built[m] = databases.open_table(spark, marts_db, m, base)
+        built[m] = databases.open_table(spark, marts_db, m, base, buckets)
         report.append(("model", m, "built" if state == "done" else "reused", rows))
 
     models = {m: built.get(m, w.model(m) if m.startswith("stg_") else None)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.bins import edge_bins, fixed_bins, rank_quintile
 from ..functions.temporal import add_days, elapsed_days, month_text
 from ..operators.positions import write_and_reread
-from ..operators.scale import exact_quantiles, quantile_edges, row_numbers
+from ..operators.scale import exact_quantiles, row_numbers
 from .marts import MONEY_SUM, mean
 
 # Delivery-time buckets (days, right-closed) and their labels.
@@ -61,17 +61,17 @@ def rfm_base(base: DataFrame, key: str = "customer_id") -> DataFrame:
 
 
 def quintile_edges(df: DataFrame, cols: list[str], key: str) -> DataFrame:
-    """Quintile edges (p = 0, .2, ..., 1) of several columns in one ordered pass:
-    the columns are stacked as (metric, value) and ranked within metric."""
-    long = df.select(key, F.explode(F.array(*[
+    """Quintile edges (p = 0, .2, ..., 1) of several columns, selected together:
+    the columns are stacked as (metric, value)."""
+    long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
-        for c in cols])).alias("r")).select(key, "r.*")
+        for c in cols])).alias("r")).select("r.*")
     return exact_quantiles(long, "value", QUINTILE_PROBS, group_cols=["metric"])
 
 
-def value_quintile(edges_df: DataFrame, col: str, reverse: bool = False) -> Column:
+def value_quintile(edges: dict[tuple[str, float], float], col: str, reverse: bool = False) -> Column:
     """Quintile bin of a value (pandas ``qcut(x, 5)``), 5..1 when reversed."""
-    edges = quantile_edges(edges_df.filter(F.col("metric") == col), QUINTILE_PROBS)
+    edges = [F.lit(edges.get((col, p))).cast("double") for p in QUINTILE_PROBS]
     labels = [5, 4, 3, 2, 1] if reverse else [1, 2, 3, 4, 5]
     return edge_bins(F.col(col).cast("double"), edges, labels)
 
@@ -89,7 +89,8 @@ def rfm_scores(base: DataFrame, key: str = "customer_id") -> DataFrame:
     """Per key: recency, frequency, monetary, r/f/m scores and segment."""
     # one row per customer, read by the passes below: written once
     rfm = write_and_reread(rfm_base(base, key), "rfm")
-    edges = write_and_reread(quintile_edges(rfm, ["recency", "monetary"], key), "rfm-edges")
+    edges = {(r["metric"], r["p"]): r["q"]  # twelve rows
+             for r in quintile_edges(rfm, ["recency", "monetary"], key).collect()}
     r_score = value_quintile(edges, "recency", reverse=True)
     m_score = value_quintile(edges, "monetary")
     # rank(method='first') on frequency: ties in key order

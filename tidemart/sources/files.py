@@ -164,6 +164,23 @@ def view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+class TableRaw:
+    """Raw tables by name, with the buckets they were written with."""
+
+    NAMES = tuple(FILE_TABLE_MAP.values())
+
+    def __init__(self, spark: SparkSession, database: str):
+        self.spark, self.database = spark, database
+
+    def get(self, name: str) -> DataFrame:
+        return self.spark.table(f"{self.database}.{name}")
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in FILE_TABLE_MAP.values():
+            return self.get(name)
+        raise AttributeError(name)
+
+
 class ParquetRaw:
     """Raw tables read back from the raw database folder (one Parquet table each)."""
 
