@@ -115,3 +115,21 @@ def test_words_of_slices():
         seen += [(int(t), spelt[i].decode(), bool(j)) for t, i, j in zip(w.texts, w.ids, w.joined)]
     assert [(s, j) for _, s, j in seen] == [("ab", True), ("c", False), ("c", False), ("d", True), ("e", False),
                                             ("é", True), ("ab", False), ("x" * 100, False)]
+
+
+def test_word_keys_tell_words_and_languages_apart():
+    import pyarrow as pa
+    from tidemart.llm.word_arrays import keys_in_groups, word_keys
+
+    r = random.Random(7)
+    words = list({bytes(r.randrange(256) for _ in range(r.choice([1, 2, 3, 8, 63, 64, 65, 300]))) for _ in range(5000)})
+    words += [b"\0" * n for n in (5, 6, 64, 65, 66)]
+    keys = word_keys(pa.array(words, pa.binary()))
+    assert len(set(map(tuple, keys.tolist()))) == len(set(words))
+    assert (word_keys(pa.array(words, pa.binary()).slice(7, 50)) == keys[7:57]).all()
+    group = np.repeat([0, 1], len(words))
+    both = keys_in_groups(keys, ["en", ""], group, np.tile(np.arange(len(words)), 2))
+    assert len(set(map(tuple, both.tolist()))) == 2 * len(set(words))
+    flipped = keys_in_groups(keys, ["", "en"], 1 - group, np.tile(np.arange(len(words)), 2))
+    assert (both == flipped).all()
+    assert len({k for pair in both.tolist() for k in pair}) == 4 * len(set(words))

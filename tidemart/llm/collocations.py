@@ -6,7 +6,7 @@ states of all text positions at once, level by level, and the counts of the
 accepting states are summed over the tasks.
 
 The candidates are Apriori-safe. Words are counted first. A pair of words is
-counted (by 64-bit word hashes, so never too low) where both words are frequent,
+counted (by 64 bits of the words' keys, so never too low) where both words are frequent,
 a longer phrase where both phrases one word shorter are. "Frequent" is asked of
 a bit set of bounded size that never misses a frequent phrase. So no phrase with
 ``min_count`` occurrences is left out, and what is wrongly let in is counted
@@ -17,13 +17,12 @@ keyed by word, the ranking is one global order cut by offsets.
 
 Defined results: a NULL text is empty; a NULL language is ``und`` and joins the
 documents that say so; repeated rows all count; ties follow the phrase's bytes;
-an empty table gives no rows; further columns are ignored.
+an empty table gives no rows; further columns are ignored. Inside the tries words
+are known by 128-bit keys of language and spelling.
 """
 
 from __future__ import annotations
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 from ..operators.positions import with_positions
 from . import bit_filter, phrase_trie
 from .common import release_memory, write_and_reread
-from .word_arrays import byte_classes, in_groups, slices, words_of
+from .word_arrays import byte_classes, in_groups, keys_in_groups, slices, word_keys, words_of
 
 CLASSES = byte_classes(gaps=b" \t", breaks=b".,;:!?\n\x0b\x0c\r")
 UNKNOWN_LANG = "und"
@@ -42,27 +41,6 @@ KEEP_INSIDE_PERCENT = 50
 TOP = 2000
 #: Phrases of one trie: its size bounds what is collected and broadcast.
 BLOCK_PHRASES = 1 << 19
-_SEED = 42  # of Spark's xxhash64
-
-
-def _word_hash(lang: str, word: bytes) -> int:
-    import xxhash
-
-    h = xxhash.xxh64_intdigest(word, xxhash.xxh64_intdigest(lang.encode(), _SEED))
-    return h - (1 << 64) if h >> 63 else h
-
-
-def _word_key(lang: str, word: bytes) -> bytes:
-    # no UTF-8 text holds the byte ff
-    return hashlib.md5(lang.encode() + b"\xff" + word).digest()
-
-
-def _hash_column(lang: str, word: str) -> Column:
-    return F.xxhash64(lang, word)
-
-
-def _key_column(lang: str, word: str) -> Column:
-    return F.unhex(F.md5(F.concat(F.col(lang).cast("binary"), F.lit(b"\xff"), F.col(word).cast("binary"))))
 
 
 def _mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -77,21 +55,23 @@ def _mix_column(left: Column, right: Column) -> Column:
 
 
 def _sliced(batches, work):
-    """``work(words, ids, langs, spelt)`` for every slice: word ids are told
-    apart by language; ``langs`` and ``spelt`` are those of each id."""
+    """``work(words, ids, langs, group, word)`` for every slice: word ids are
+    told apart by language; ``group`` (a place in ``langs``) and ``word`` (a
+    place in the spellings) are those of each id."""
     for b in batches:
         for part in slices(b, 1):
             words = words_of(part.column(1), CLASSES)
-            if not len(words.ids):
-                continue
-            named = part.column(0).dictionary_encode()
-            ids, group, word = in_groups(words, named.indices.to_numpy(zero_copy_only=False))
-            lang = named.dictionary.to_pylist()
-            spelt = words.spellings()
-            yield from work(words, ids, [lang[g] for g in group], [spelt[w] for w in word])
+            if len(words.ids):
+                named = part.column(0).dictionary_encode()
+                ids, group, word = in_groups(words, named.indices.to_numpy(zero_copy_only=False))
+                yield from work(words, ids, named.dictionary, group, word)
     release_memory()
 
 
+def _keys(words, langs, group, word) -> np.ndarray:
+    return keys_in_groups(word_keys(words.spelt), langs.to_pylist(), group, word)
+
+
 def _texts(docs: DataFrame, lang: str, text: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN_LANG)).alias("lang"),
                        F.col(text).alias("text")).filter(F.col("text") != "")
@@ -100,10 +80,11 @@ def _texts(docs: DataFrame, lang: str, text: str) -> DataFrame:
 def word_counts(texts: DataFrame) -> DataFrame:
     """lang, word, n: all words of ``texts`` (lang, text)."""
     def run(batches):
-        def work(words, ids, langs, spelt):
-            n = np.bincount(ids, minlength=len(spelt))
+        def work(words, ids, langs, group, word):
+            n = np.bincount(ids, minlength=len(word))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array(spelt, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
+                [langs.take(pa.array(group)).cast(pa.string()),
+                 words.spelt.take(pa.array(word)).cast(pa.binary()).cast(pa.string()), pa.array(n, pa.int64())],
                 names=["lang", "word", "n"])
         yield from _sliced(batches, work)
 
@@ -111,6 +92,19 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return part.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+def keyed_words(words: DataFrame) -> DataFrame:
+    """``words`` (lang, word, n) with their 128-bit key as k1 and k2."""
+    def run(batches):
+        for b in batches:
+            named = b.column(0).dictionary_encode()
+            keys = keys_in_groups(word_keys(b.column(1)), named.dictionary.to_pylist(),
+                                  named.indices.to_numpy(zero_copy_only=False), np.arange(b.num_rows))
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(keys[:, 0]), pa.array(keys[:, 1])],
+                                             names=["lang", "word", "n", "k1", "k2"])
+
+    return words.select("lang", "word", "n").mapInArrow(run, "lang string, word string, n long, k1 long, k2 long")
+
+
 def _gram_counts(texts: DataFrame, words: int, frequent, min_count: int) -> DataFrame:
     """h1, h2, ...: word hashes of the phrases of ``words`` words that may have
     ``min_count`` occurrences: both phrases one word shorter are in the bit set
@@ -118,9 +112,9 @@ def _gram_counts(texts: DataFrame, words: int, frequent, min_count: int) -> Data
     names = [f"h{k}" for k in range(1, words + 1)]
 
     def run(batches):
-        def work(found, ids, langs, spelt):
-            h = np.fromiter(map(_word_hash, langs, spelt), np.int64, len(spelt))
-            size = np.int64(len(spelt))
+        def work(found, ids, langs, group, word):
+            h = np.ascontiguousarray(_keys(found, langs, group, word)[:, 0])
+            size = np.int64(len(word))
             place = np.flatnonzero(found.joined)
             if words == 2:
                 good = bit_filter.contains(frequent.value, h)[ids]
@@ -143,11 +137,12 @@ def _gram_counts(texts: DataFrame, words: int, frequent, min_count: int) -> Data
 
 
 def candidates(texts: DataFrame, words: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
-    """lang, w1, w2, w3 (NULL in pairs): a superset of the phrases of two and
-    three words that occur ``min_count`` times. ``words``: lang, word, n."""
+    """lang, w1, w2, w3 (NULL in pairs) and the words' keys (k11, k12, k21, ...):
+    a superset of the phrases of two and three words that occur ``min_count``
+    times. ``words``: lang, word, n."""
     spark = texts.sparkSession
-    common = words.filter(F.col("n") >= min_count).select("lang", "word", _hash_column("lang", "word").alias("h"))
-    frequent = spark.sparkContext.broadcast(bit_filter.build(common, "h"))
+    common = write_and_reread(keyed_words(words.filter(F.col("n") >= min_count)), "common-words")
+    frequent = spark.sparkContext.broadcast(bit_filter.build(common, "k1"))
     pairs = write_and_reread(_gram_counts(texts, 2, frequent, min_count), "pairs")
     mixed = pairs.select(_mix_column(F.col("h1"), F.col("h2")).alias("h"))
     twos = spark.sparkContext.broadcast(bit_filter.build(mixed, "h"))
@@ -155,36 +150,44 @@ def candidates(texts: DataFrame, words: DataFrame, min_count: int = MIN_COUNT) -
     grams = pairs.select("h1", "h2", F.lit(None).cast("long").alias("h3")).unionByName(triples)
 
     def named(k: int) -> DataFrame:
-        return common.select(F.col("lang").alias(f"lang{k}"), F.col("word").alias(f"w{k}"), F.col("h").alias(f"h{k}"))
+        return common.select(F.col("lang").alias(f"lang{k}"), F.col("word").alias(f"w{k}"), F.col("k1").alias(f"h{k}"),
+                             F.col("k1").alias(f"k{k}1"), F.col("k2").alias(f"k{k}2"))
 
     found = (grams.join(named(1), "h1").join(named(2), "h2").join(named(3), "h3", "left")
              .filter("lang1 = lang2 and (h3 is null or lang3 = lang1)"))
-    return found.select(F.col("lang1").alias("lang"), "w1", "w2", "w3")
+    return found.select(F.col("lang1").alias("lang"), "w1", "w2", "w3", *_PATH)
+
+
+#: Columns of a phrase's word keys, two a word.
+_PATH = [f"k{k}{i}" for k in range(1, LONGEST + 1) for i in (1, 2)]
 
 
 def _trie_of(block: DataFrame) -> phrase_trie.Trie:
-    """The trie of a block: ``place`` (from 0), ``words`` and ``path`` (16 bytes
-    a word, filled up to ``LONGEST`` words)."""
-    got = block.select("place", "words", "path").toArrow().combine_chunks()
+    """The trie of a block: ``place`` (from 0), ``words`` and the word keys."""
+    got = block.select("place", "words", *_PATH).toArrow().combine_chunks()
     order = np.argsort(got.column("place").to_numpy())
-    path = got.column("path").chunk(0)
-    keys = np.frombuffer(path.buffers()[2], "S16", len(path) * LONGEST).reshape(-1, LONGEST)
+    paths = np.empty((len(order), len(_PATH)), np.int64)
+    for i, c in enumerate(_PATH):
+        paths[:, i] = got.column(c).to_numpy()
     words = got.column("words").to_numpy()[order]
-    keys = keys[order]
-    del got, path
-    return phrase_trie.build(keys, words)
+    del got
+    return phrase_trie.build(_as_bytes(paths[order]), words)
+
+
+def _as_bytes(keys: np.ndarray) -> np.ndarray:
+    """Rows of int64 pairs as rows of 16-byte keys."""
+    return np.ascontiguousarray(keys).view("S16")
 
 
 def phrase_counts(texts: DataFrame, phrases: DataFrame, block_phrases: int = BLOCK_PHRASES) -> DataFrame:
-    """``phrases`` (lang, w1, w2, w3) plus ``f``: all their occurrences in
-    ``texts``; phrases that do not occur are left out. All blocks are run, one
-    after the other."""
+    """``phrases`` (as ``candidates`` gives them) plus ``f``: all their
+    occurrences in ``texts``; phrases that do not occur are left out. All blocks
+    are run, one after the other."""
     spark = texts.sparkSession
     spelt = [f"w{k}" for k in range(1, LONGEST + 1)]
-    key = F.concat(*[F.coalesce(_key_column("lang", w), F.lit(bytes(16))) for w in spelt])
     words = sum(F.col(w).isNotNull().cast("int") for w in spelt)
-    placed = write_and_reread(with_positions(phrases, ["lang", *spelt]).withColumns(
-        {"path": key, "words": words}), "phrases")
+    whole = phrases.withColumns({c: F.coalesce(c, F.lit(0)) for c in _PATH}).withColumn("words", words)
+    placed = with_positions(whole, ["lang", *spelt])
     total = placed.count()
     sums = None
     for start in range(0, total, block_phrases):
@@ -194,8 +197,8 @@ def phrase_counts(texts: DataFrame, phrases: DataFrame, block_phrases: int = BLO
         shared.unpersist()
         sums = part if sums is None else sums.unionByName(part)
     if sums is None:
-        return phrases.withColumn("f", F.lit(None).cast("long")).limit(0)
-    return placed.join(sums, "position").drop("position", "path", "words")
+        return phrases.drop(*_PATH).withColumn("f", F.lit(None).cast("long")).limit(0)
+    return placed.drop(*_PATH, "words").join(sums, "position").drop("position")
 
 
 def _counted(texts: DataFrame, shared, start: int) -> DataFrame:
@@ -203,8 +206,8 @@ def _counted(texts: DataFrame, shared, start: int) -> DataFrame:
         trie = shared.value
         total = np.zeros(len(trie.base), np.int64)
 
-        def work(words, ids, langs, spelt):
-            keys = np.frombuffer(b"".join(map(_word_key, langs, spelt)), "S16")
+        def work(words, ids, langs, group, word):
+            keys = _as_bytes(_keys(words, langs, group, word)).ravel()
             total[:] += trie.count(trie.symbols_of(keys)[ids], words.joined, LONGEST)
             return ()
         for _ in _sliced(batches, work):

@@ -98,5 +98,61 @@ def in_groups(words: Words, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     pairs, and the group and ``spelt`` place of each pair."""
     n = max(len(words.spelt), 1)
     both = np.repeat(groups.astype(np.int64), words.counts) * n + words.ids
+    size = (int(groups.max()) + 1) * n if len(groups) else 0
+    if size <= 8 * len(both):
+        there = np.zeros(size, bool)
+        there[both] = True
+        distinct = np.flatnonzero(there)
+        place = np.cumsum(there) - 1
+        return place[both], distinct // n, distinct % n
     distinct, ids = np.unique(both, return_inverse=True)
     return ids, distinct // n, distinct % n
+
+
+# keys ----------------------------------------------------------------------
+
+#: Longer words are hashed by MD5, one by one.
+_SHORT = 64
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit (uint64)."""
+    for shift, factor in ((33, 0xFF51AFD7ED558CCD), (33, 0xC4CEB9FE1A85EC53)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(33))
+
+
+_NUMBERS = [mixed(np.arange(1 + k, 257 + k, dtype=np.uint64)) for k in (0, 1000)]  # of each byte
+_FACTORS = [mixed(np.arange(5000 + k, 5000 + _SHORT + k, dtype=np.uint64)) | np.uint64(1) for k in (0, 1000)]  # of each place
+
+
+def _md5(word: bytes) -> tuple[int, int]:
+    import hashlib
+
+    d = hashlib.md5(word).digest()
+    return int.from_bytes(d[:8], "little"), int.from_bytes(d[8:], "little")
+
+
+def word_keys(spelt: pa.Array) -> np.ndarray:
+    """(words, 2): a 128-bit key of each distinct word (uint64)."""
+    off, data = _bytes_of(spelt)
+    n = len(spelt)
+    if not n:
+        return np.zeros((0, 2), np.uint64)
+    sizes = np.diff(off)
+    place = np.minimum(np.arange(len(data)) - np.repeat(off[:-1], sizes), _SHORT - 1)
+    keys = np.empty((n, 2), np.uint64)
+    for k in range(2):
+        sums = np.zeros(n, np.uint64)
+        some = sizes > 0
+        sums[some] = np.add.reduceat(_NUMBERS[k][data] * _FACTORS[k][place], off[:-1][some])
+        keys[:, k] = mixed(sums + sizes.astype(np.uint64))
+    for i in np.flatnonzero(sizes > _SHORT):
+        keys[i] = _md5(data[off[i]:off[i + 1]].tobytes())
+    return keys
+
+
+def keys_in_groups(keys: np.ndarray, names: list[str], group: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """(pairs, 2): keys of (group, word) pairs as int64; ``names`` of the groups."""
+    seeds = np.array([_md5(x.encode()) for x in names], np.uint64).reshape(-1, 2)
+    return mixed(keys[word] ^ mixed(seeds[group])).view(np.int64)
