@@ -6,20 +6,19 @@ Plan notes (checked with ``explain``):
   the aggregates come out hash-partitioned on ``order_id``, so the joins add
   only the orders-side exchange.
 * The reference date is an uncorrelated scalar subquery, run once.
-* The purchase-gap lag is a plain window while every customer's orders fit
-  one task; when a customer holds more than ``WINDOW_GROUP_MAX_ROWS`` orders
-  it runs on range partitions (``operators.scale``), so a customer holding a
-  large share of orders is split across tasks.
+* The purchase-gap lag runs on ranges of (customer, time, order), one shuffle,
+  so a customer holding a large share of orders is split across tasks.
 * Per-customer aggregates use partial (map-side) aggregation, so a hot
   customer is pre-aggregated before the shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.temporal import elapsed_days
+from ..operators.carry import lag_with_carry
 
 # Defaults of the feature mart when a customer has no payments or
 # no reviews, the churn horizon and the untranslated-category label.
@@ -107,29 +106,13 @@ def ref_date(orders: DataFrame) -> Column:
 
 def orders_with_gap(fct: DataFrame) -> DataFrame:
     """Delivered orders with whole days since the customer's previous purchase.
-
-    The lag runs inside (customer, hour), so a customer with a third of all
-    orders is spread over as many tasks as there are hours; the first order of
-    an hour looks back to the customer's last purchase in the hour before that
-    has any, taken from one row per customer and hour. A NULL customer is a
-    customer, as in a plain window.
-    """
+    A customer with any share of the orders is split (``operators.carry``); a
+    NULL customer is a customer, as in a plain window."""
     d = fct.filter(F.col("order_status") == "delivered").select(
         "customer_id", "order_id", "purchased_at", "delivered_to_customer_at",
-        "estimated_delivery_at", "total_order_value", "delivery_days", "item_count",
-        F.struct(F.to_date("purchased_at").alias("day"), F.hour("purchased_at").alias("hour"))
-         .alias("_slice"))
-    inside = Window.partitionBy("customer_id", "_slice").orderBy("purchased_at", "order_id")
-    g = d.withColumns({"_prev": F.lag("purchased_at").over(inside),
-                       "_rn": F.row_number().over(inside)})
-    slices = d.groupBy("customer_id", "_slice").agg(F.max("purchased_at").alias("_last"))
-    earlier = Window.partitionBy("customer_id").orderBy("_slice")
-    before = slices.select(F.col("customer_id").alias("_c"), F.col("_slice").alias("_s"),
-                           F.lag("_last").over(earlier).alias("_before"))
-    j = g.join(before, g["customer_id"].eqNullSafe(before["_c"]) & (g["_slice"] == before["_s"]), "left")
-    prev = F.when(F.col("_rn") == 1, F.col("_before")).otherwise(F.col("_prev"))
-    return j.withColumn("purchase_gap_days", elapsed_days(F.col("purchased_at"), prev)) \
-            .drop("_prev", "_rn", "_slice", "_c", "_s", "_before")
+        "estimated_delivery_at", "total_order_value", "delivery_days", "item_count")
+    g = lag_with_carry(d, ["customer_id"], ["purchased_at", "order_id"], "purchased_at", "_prev")
+    return g.withColumn("purchase_gap_days", elapsed_days(F.col("purchased_at"), F.col("_prev"))).drop("_prev")
 
 
 def mean(c: Column) -> Column:
