@@ -97,3 +97,13 @@ def test_hot_tree_and_hot_parent(spark):
     got = ct.format_conversations(spark.createDataFrame(rows, SCHEMA)).collect()
     assert len(got) == 1 and got[0]["leaf"] == 6
     assert hashlib.sha256(got[0]["formatted"].encode()).hexdigest()
+
+
+def test_rows_that_share_a_node_give_one_whole_message(spark):
+    rows = [("t", 0, None, "user", "q", 1.0), ("t", 1, 0, "assistant", "A-text", 1.0),
+            ("t", 1, None, "user", "Z-text", 9.0), ("t", 2, 0, "assistant", "other", None), ("t", 2, 0, "assistant", "other", None)]
+    df = spark.createDataFrame(rows, "tree string, node long, parent long, role string, text string, score double")
+    got = {(r.leaf, r.path_score, r.formatted) for r in ct.format_conversations(df, top=5).collect()}
+    # of node 1 the row without a parent is first: a tree of its own, whole; a NULL score counts as 0
+    assert got == {(1, 9.0, "[INST]user[/INST]Z-text</s>"),
+                   (2, 1.0, "[INST]user[/INST]q</s>[INST]assistant[/INST]other</s>")}

@@ -9,8 +9,10 @@ mask over the assistant's text.
 
 Defined results: NULL text and role are empty; a message whose parent is NULL
 or missing starts a tree; messages on a reply cycle have no root and belong to
-no path; (tree, node) must identify a message: of repeated rows one is kept; a
-NULL tree is a tree of its own; ties in score go to the smaller leaf.
+no path; (tree, node) identifies a message: of rows that share it one is kept
+whole, the first by parent, score, role and text (NULLs first); a NULL score
+counts as 0; a NULL tree is a tree of its own; ties in score go to the smaller
+leaf.
 """
 
 from __future__ import annotations
@@ -66,12 +68,16 @@ def _quoted(s: str) -> str:
     return "\\Q" + s + "\\E"
 
 
+def _one_row_each(messages: DataFrame) -> DataFrame:
+    """Of rows that share (tree, node) the smallest one, whole."""
+    rest = [c for c in ("parent", "score", "role", "text") if c in messages.columns]
+    return messages.groupBy("tree", "node").agg(F.min(F.struct(*rest)).alias("m")).select("tree", "node", "m.*")
+
+
 def chosen_paths(messages: DataFrame, *, top: int = 1) -> DataFrame:
     """``tree, leaf, path_rank, path_score, node, depth`` of the ``top`` best
     branches of each tree. ``messages``: tree, node, parent, score."""
-    m = write_and_reread(
-        messages.groupBy("tree", "node").agg(F.min("parent").alias("parent"),
-                                             F.max("score").alias("score")), "messages")
+    m = write_and_reread(_one_row_each(messages).withColumn("score", F.coalesce("score", F.lit(0.0))), "messages")
     known = m.select("tree", F.col("node").alias("parent"))
     linked = (m.select("tree", "node", "parent").filter("parent is not null")
               .join(known.withColumnRenamed("tree", "_t"),
@@ -129,10 +135,10 @@ def format_conversations(messages: DataFrame, *, top: int = 1, loss_role: str =
 
     ``messages``: tree, node, parent, role, text, score.
     """
+    messages = _one_row_each(messages)
     paths = chosen_paths(messages.select("tree", "node", "parent", "score"), top=top)
-    said = messages.groupBy(F.col("tree").alias("_t"), F.col("node").alias("_n")).agg(
-        F.min(F.struct(F.coalesce("role", F.lit("")).alias("role"),
-                       F.coalesce("text", F.lit("")).alias("text"))).alias("said"))
+    said = messages.select(F.col("tree").alias("_t"), F.col("node").alias("_n"), F.struct(
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("said"))
     turns = paths.join(said, F.col("tree").eqNullSafe(F.col("_t")) & (F.col("node") == F.col("_n")))
     turn = F.struct("depth", F.col("said.role").alias("role"),
                     template.escape(F.col("said.role")).alias("role_out"),
