@@ -108,3 +108,22 @@ def test_damaged_file_is_logged_as_a_gap(spark, tmp_path):
     (gap,) = warc.gaps_of(out).collect()
     assert (gap["begin"], gap["end"]) == (len(rec(0)), len(rec(0)) + len(rec(1)))
     assert warc.records_of(out).filter(F.col("record_type") != "response").count() == 0
+
+
+def test_a_page_with_a_very_long_url_is_read_back(spark):
+    from tidemart.llm import shared_files
+    url = "http://h/" + "long/" * 420_000
+    pages = spark.createDataFrame([(1, url, "body"), (2, "http://h/x", "y" * 2000), (3, url, "y" * 2000)],
+                                  "page_id long, url string, html string")
+    manifest = warc.write_warc(warc.with_revisits(pages), shared_files.new_folder(spark, "warc"))
+    read = warc.read_warc(manifest)
+    assert warc.gaps_of(read).count() == 0
+    assert {(r.page_id, r.url == url, r.record_type) for r in warc.whole_records_of(read).collect()} == {
+        (1, True, "response"), (2, False, "revisit"), (3, True, "response")}
+
+
+def test_a_gap_in_an_archive_that_must_be_sound_is_an_error(spark):
+    import pytest
+    broken = spark.createDataFrame([("f", 7, None, None, None, None, None, None, None, 9, "torn")], warc._RECORD)
+    with pytest.raises(Exception, match="torn"):
+        warc.whole_records_of(broken).collect()

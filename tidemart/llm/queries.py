@@ -99,7 +99,7 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.with_revisits(table(spark, sf_dir, "pages"))
     manifest = warc.write_warc(records, shared_files.new_folder(spark, "warc"))
     read = warc.read_warc(manifest, payloads=False)
-    return warc.records_of(read).select(
+    return warc.whole_records_of(read).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

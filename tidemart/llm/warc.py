@@ -96,13 +96,14 @@ def check_digest(said: str | None, data: bytes, what: str) -> None:
 def parse_record(f, pos: int):
     """The plain record at ``pos`` of the seekable ``f``: (headers, block, end)."""
     f.seek(pos)
-    head = b""
-    while PLAIN_END not in head:
-        more = f.read(4096)
-        if not more or len(head) > 1 << 20:
+    head, step = bytearray(), 4096
+    while (end := head.find(PLAIN_END, max(0, len(head) - step // 2 - len(PLAIN_END)))) < 0:
+        more = f.read(step)
+        if not more:
             raise Damaged("header without end")
         head += more
-    head, _, _ = head.partition(PLAIN_END)
+        step *= 2  # a header is as long as its url
+    head = bytes(head[:end])
     lines = head.split(b"\r\n")
     if not lines[0].startswith(VERSION):
         raise Damaged("no version line")
@@ -299,6 +300,13 @@ def records_of(read: DataFrame) -> DataFrame:
     return read.filter("gap_reason is null").drop("gap_end", "gap_reason")
 
 
+def whole_records_of(read: DataFrame) -> DataFrame:
+    """The records of archives that must be sound: a gap is an error."""
+    broken = F.raise_error(F.concat_ws(" ", F.col("path"), F.lit("is damaged at"), F.col("offset"), F.col("gap_reason")))
+    whole = F.when(F.col("gap_reason").isNotNull(), broken).otherwise(F.col("path"))
+    return read.withColumn("path", whole).filter("path is not null").drop("gap_end", "gap_reason")
+
+
 def gaps_of(read: DataFrame) -> DataFrame:
     """The log of quarantined stretches: path, begin, end, reason."""
     return read.filter("gap_reason is not null").select(
