@@ -106,3 +106,44 @@ def test_copies_after_a_run_of_one_word():
         found = index.verify(codes, at, size, index.candidates(codes, at, size))
         missed += found != [(0, 0, 0, 87, 127)]
     assert missed == 0
+
+
+def test_short_items_and_scripts_without_spaces(spark):
+    items = [(1, "seven words of an item stand here"), (2, "今日は良い天気ですね、散歩に行きましょう。本当に気持ちがいい"),
+             (3, "four words are enough"), (4, "three are not"), (5, "ภาษาไทยเขียนไม่มีช่องว่างระหว่างคำเลย")]
+    docs = [(1, "before SEVEN words, of an item stand here; after"), (2, "seven words of an item stand there"),
+            (3, f"x {items[1][1]} y"), (4, items[1][1].replace("良", "悪")), (5, "so four words are\nenough. four words are enough"),
+            (6, "three are not"), (7, "four words are"), (8, "enough"), (9, "ก" + items[4][1] + "ข"), (10, "今日は")]
+    got = dc.contaminated_passages(spark.createDataFrame(docs, "doc_id long, text string"),
+                                   spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["edits"]) for r in got} == {
+        (1, 1, 0), (3, 2, 0), (4, 2, 1), (5, 3, 0), (9, 5, 0)}
+    (r,) = [r for r in got if r["doc_id"] == 5]
+    assert (r["from_word"], r["to_word"]) == (1, 5)
+
+
+def test_a_very_long_item_beside_many_short_ones_stays_small():
+    """The index keeps no table of steps times words."""
+    import pickle
+    rng = random.Random(1)
+    vocab = [f"w{i}" for i in range(20_000)]
+    items = [(i, " ".join(rng.choice(vocab) for _ in range(40))) for i in range(2000)]
+    items.append((-1, " ".join(rng.choice(vocab) for _ in range(50_000))))
+    index = dc.ItemIndex(items, max_edit_share=dc.MAX_EDIT_SHARE, min_item_words=8,
+                         target_recall=dc.TARGET_RECALL, samples=dc.SAMPLES)
+    assert len(pickle.dumps(index)) < 30 << 20
+    codes = np.concatenate([np.zeros(11, np.int32), index.items[-1], np.zeros(5, np.int32)])
+    at, size = np.array([0]), np.array([len(codes)])
+    cand = index.candidates(codes, at, size)
+    assert ((cand[:, 1] == len(items) - 1) & (cand[:, 2] == 11)).any()
+
+
+def test_blocks_of_items_give_the_same(spark, monkeypatch):
+    rng = random.Random(4)
+    items = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(rng.choice([5, 12, 30])))) for i in range(40)]
+    docs = spark.createDataFrame([(i, f"a {t} b") for i, t in items], "doc_id long, text string")
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    one = sorted(map(tuple, dc.contaminated_passages(docs, frame).collect()))
+    monkeypatch.setattr(dc, "BLOCK_CHARS", 1000)
+    assert sorted(map(tuple, dc.contaminated_passages(docs, frame).collect())) == one
+    assert {(d, i) for d, i, *_ in one} >= {(i, i) for i, _ in items}

@@ -13,13 +13,18 @@ are embedded from each of their first ``stride`` words, so a copy always has a
 start in common with some window and the stride costs no exact copy. Items are
 grouped into size classes; a class's windows have its smallest item's size.
 
-The items' hashes go to the tasks in blocks of ``block_items`` items (bounded
-size, all blocks are run), so documents are never shuffled and nothing depends
-on how many documents share a passage.
-
-Words: lower case, ASCII punctuation and white space separate. Defined results:
-NULL or empty texts have no words; items of fewer than ``min_item_words`` words
-are no passages and match nothing; repeated documents or items give a row each
+Items too short for the embedding are looked for without edits: the hash of
+every window of their size meets theirs, and equal words decide.
+
+The items' hashes go to the tasks in blocks of bounded items and characters (all
+blocks are run, each is released after its search), so documents are never
+shuffled and nothing depends on how many documents share a passage. The random
+bits are drawn from (step, word) when they are needed; no table of them is kept.
+
+Words: lower case, ASCII punctuation and white space separate; in scripts
+written without spaces every character is a word. Defined results: NULL or empty
+texts have no words; items of fewer than ``MIN_EXACT_WORDS`` words are no
+passages and match nothing; repeated documents or items give a row each
 per distinct pair; a pair is reported once, at its best passage (fewest edits,
 then the first); empty tables give no rows.
 """
@@ -27,6 +32,7 @@ then the first); empty tables give no rows.
 from __future__ import annotations
 
 import math
+import re
 import string
 
 import numpy as np
@@ -35,14 +41,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import release_memory
+from .common import release_memory, write_and_reread
+from .word_arrays import mixed
 
 MAX_EDIT_SHARE = 0.15  # edits per item word
-MIN_ITEM_WORDS = 8
+MIN_ITEM_WORDS = 8     # shorter items are matched exactly
+MIN_EXACT_WORDS = 4    # what is shorter still is in too many clean texts to be a passage
 TARGET_RECALL = 0.95
 SAMPLES = 4            # sampled positions in a hash
 CLASS_RATIO = 1.5      # sizes in a class are within this factor
 BLOCK_ITEMS = 10_000
+BLOCK_CHARS = 16 << 20
+VERIFY_CELLS = 4 << 20  # words of the windows verified at once
 MAX_STRIDE = 8
 WALKS_AT_ONCE = 1 << 15
 WORDS_AT_ONCE = 500_000
@@ -50,8 +60,16 @@ WORDS_AT_ONCE = 500_000
 _SPLIT = bytes.maketrans(string.punctuation.encode(), b" " * len(string.punctuation))
 
 
+#: Letters of scripts written without spaces (Thai to Khmer, kana, Han).
+_UNSPACED = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff"
+                       "\uf900-\ufaff\U00020000-\U0003ffff])")
+
+
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode().translate(_SPLIT).split()
+    t = (text or "").lower()
+    if not t.isascii() and _UNSPACED.search(t):
+        t = _UNSPACED.sub(r" \1 ", t)
+    return t.encode().translate(_SPLIT).split()
 
 
 def repeats_for(target_recall: float, max_edit_share: float, samples: int) -> int:
@@ -73,12 +91,13 @@ class ItemIndex:
         self.ids, self.items = [], []
         for i, text in items:
             w = words_of(text)
-            if len(w) >= min_item_words:
+            if len(w) >= min(min_item_words, MIN_EXACT_WORDS):
                 self.ids.append(i)
                 self.items.append(np.array([vocab.setdefault(x, len(vocab) + 1) for x in w], np.int32))
         self.vocab = vocab  # code 0: any word that stands in no item
         rng = np.random.default_rng(seed)
         size = np.array([len(x) for x in self.items], np.int64)
+        self.exact = self._exact(np.flatnonzero(size < min_item_words))
         self.classes = []
         low = min_item_words
         repeats = repeats_for(target_recall, max_edit_share, samples)
@@ -94,11 +113,38 @@ class ItemIndex:
                     self.classes.append(self._walk(members, stride, steps, samples, rng))
             low = high
 
+    def _exact(self, members) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """By size: sorted window hashes of the short items, and the items."""
+        out = {}
+        for n in {len(self.items[m]) for m in members}:
+            some = np.array([m for m in members if len(self.items[m]) == n])
+            keys = window_hashes(np.concatenate([self.items[m] for m in some]), n)[::n]
+            order = np.argsort(keys, kind="stable")
+            out[n] = keys[order], some[order]
+        return out
+
+    def exact_matches(self, codes, doc_start, doc_size):
+        """(document, item, 0, from, to) of the first copy of each short item."""
+        best = {}
+        for n, (keys, items) in sorted(self.exact.items()):
+            h = window_hashes(codes, n)
+            left = np.searchsorted(keys, h, "left")
+            count = np.searchsorted(keys, h, "right") - left
+            for at in np.flatnonzero(count).tolist():
+                d = int(np.searchsorted(doc_start, at, "right")) - 1
+                if at + n > doc_start[d] + doc_size[d]:
+                    continue  # the window leaves its document
+                for item in items[left[at]:left[at] + count[at]].tolist():
+                    begin = at - int(doc_start[d])
+                    if (d, item) not in best and (codes[at:at + n] == self.items[item]).all():
+                        best[d, item] = (0, begin, begin + n)
+        return [(d, i, *v) for (d, i), v in best.items()]
+
     def _walk(self, members, stride, steps, samples, rng):
-        moves = rng.integers(0, 2, (steps, len(self.vocab) + 1), dtype=np.uint8)
         at = np.sort(rng.choice(steps, samples, replace=False))
         mult = rng.integers(1, 1 << 62, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        walk = {"stride": stride, "moves": moves, "at": set(at.tolist()), "mult": mult, "steps": steps}
+        walk = {"stride": stride, "seed": rng.integers(0, 1 << 62, dtype=np.uint64), "words": len(self.vocab) + 1,
+                "at": set(at.tolist()), "mult": mult, "steps": steps}
         pad = np.zeros(steps + stride, np.int32)
         flat = np.concatenate([np.concatenate([self.items[m], pad]) for m in members])
         base = np.cumsum([0] + [len(self.items[m]) + len(pad) for m in members[:-1]])
@@ -123,6 +169,9 @@ class ItemIndex:
             h = np.full(len(pos), 0x9E3779B97F4A7C15, np.uint64)
             k = 0
             for j in range(walk["steps"]):
+                if j % 64 == 0:  # the bits of the next 64 steps of every word
+                    start = np.uint64(int(walk["seed"]) * (j // 64 + 1) % (1 << 64))
+                    bits = mixed(np.arange(walk["words"], dtype=np.uint64) + start)
                 word = codes[pos]
                 if j in walk["at"]:
                     h = (h ^ (word.astype(np.uint64) + np.uint64(k + 1))) * walk["mult"][k]
@@ -130,7 +179,7 @@ class ItemIndex:
                     k += 1
                     if k == len(walk["mult"]):
                         break
-                pos += walk["moves"][j][word]
+                pos += ((bits[word] >> np.uint64(j % 64)) & np.uint64(1)).view(np.int64)
             out[a:a + WALKS_AT_ONCE] = h * np.uint64(0xD6E8FEB86659FD93)
         return out
 
@@ -180,8 +229,9 @@ class ItemIndex:
             head |= (rows[:, 2] - rows[chain, 2]) % (MAX_STRIDE + 1) == 0
             rows = rows[head]
             width = len(pattern) + 2 * margin
-            for a in range(0, len(rows), 4096):
-                part = rows[a:a + 4096]
+            at_once = max(1, VERIFY_CELLS // width)
+            for a in range(0, len(rows), at_once):
+                part = rows[a:a + at_once]
                 first = part[:, 2] - margin
                 grid = first[:, None] + np.arange(width)
                 size = doc_size[part[:, 0]][:, None]
@@ -197,6 +247,15 @@ class ItemIndex:
         return [(d, i, *v) for (d, i), v in sorted(best.items())]
 
 
+def window_hashes(codes: np.ndarray, n: int) -> np.ndarray:
+    """Of each place, a hash of the ``n`` words from it (fewer places by n - 1)."""
+    many = max(0, len(codes) - n + 1)
+    h = np.zeros(many, np.uint64)
+    for k in range(n):
+        h = mixed(h ^ (codes[k:k + many].astype(np.uint64) + np.uint64(k << 32)))
+    return h
+
+
 def _last_row(pattern: np.ndarray, text: np.ndarray, free_start: bool) -> np.ndarray:
     """Edit distances of ``pattern`` to what ends at each place of each row of
     ``text``, beginning anywhere (``free_start``) or at the row's begin."""
@@ -241,7 +300,8 @@ def contaminated_passages(docs: DataFrame, items: DataFrame, *, doc_id: str = "d
     schema = T.StructType([*source.schema.fields[:-1], T.StructField("item_id", item_type),
                            *[T.StructField(c, T.IntegerType()) for c in ("edits", "from_word", "to_word")]])
     distinct = items.select(F.col(item_id).alias("i"), F.col(item_text).alias("t")).distinct()
-    n_blocks = max(1, -(-distinct.count() // block_items))
+    size = distinct.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.length("t")), F.lit(0)).alias("chars")).first()
+    n_blocks = max(1, -(-size["n"] // block_items), -(-size["chars"] // BLOCK_CHARS))
     out = None
     for k in range(n_blocks):
         block = distinct.filter(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == k)
@@ -251,6 +311,9 @@ def contaminated_passages(docs: DataFrame, items: DataFrame, *, doc_id: str = "d
             rows, max_edit_share=max_edit_share, min_item_words=min_item_words,
             target_recall=target_recall, samples=samples))
         part = source.mapInArrow(_search(index, schema.names), schema)
+        if n_blocks > 1:  # one block at a time is held
+            part = write_and_reread(part, "passages")
+            index.unpersist()
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -267,10 +330,11 @@ def _search(index, names):
                 return []
             flat, start = np.concatenate(codes), np.cumsum(size) - size
             found = idx.verify(flat, start, size, idx.candidates(flat, start, size))
+            found += idx.exact_matches(flat, start, size)
             return [(rows[d], idx.ids[i], *rest) for d, i, *rest in found]
 
         for b in batches:
-            if not b.num_rows or not idx.classes:
+            if not b.num_rows or not (idx.classes or idx.exact):
                 continue
             hits, rows, codes, words = [], [], [], 0
             for k, t in enumerate(b.column(b.num_columns - 1)):
