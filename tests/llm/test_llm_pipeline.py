@@ -70,3 +70,17 @@ def test_repeated_rows_leave_one_of_a_group(spark):
     docs = spark.createDataFrame([(3, text)] * 4 + [(2, text), (None, text), (9, "other words here")],
                                  "doc_id long, text string")
     assert sorted(r["doc_id"] for r in cp.near_duplicate_stage(spark, docs, SF).collect()) == [2, 9]
+
+
+def test_columns_named_like_internal_ones_pass_through(spark):
+    """Every name that a stage uses inside, as a further column of documents."""
+    from pyspark.sql import functions as F
+    names = ["_kept_text", "kept_text", "row", "k1", "k2", "profile", "kept", "fp", "u", "v", "component_id", "n_lines",
+             "n_dropped", "_lang", "_body", "_w", "_t", "_rest", "_ref_lang", "item_id", "edits", "decoded", "ids", "position"]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(60)
+    docs = docs.withColumns({n: F.lit(i) for i, n in enumerate(names)})
+    for _, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns
+        assert {tuple(r) for r in out.select(*names).distinct().collect()} <= {tuple(range(len(names)))}
+    assert cp.token_stage(spark, docs, "/root/testdata/sf0.001").count() == docs.count()
