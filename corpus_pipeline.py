@@ -31,11 +31,10 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in many documents go (operator 2); ``n_chars`` follows the text."""
     done = line_dedup.line_dedup(docs)
-    out = done.select("row.*", F.col("kept_text").alias("_kept_text"))
-    changed = {"text": F.when(F.col("text").isNotNull(), F.col("_kept_text"))}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("text").isNotNull(), F.length("_kept_text").cast("bigint"))
-    return out.withColumns(changed).select(*docs.columns)
+    there = F.col("row.text").isNotNull()
+    changed = {"text": F.when(there, F.col("kept_text")),
+               "n_chars": F.when(there, F.length("kept_text").cast("bigint"))}
+    return done.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
