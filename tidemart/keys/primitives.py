@@ -214,7 +214,7 @@ def join_anti(spark, sf_dir):
 
 
 @register("join_fanout", sql(
-    "SELECT customer_id, per_payment AS avg_installments, card_share AS credit_card_rate FROM payers"))
+    "SELECT customer_id, avg_installments, credit_card_rate FROM payers"))
 def join_fanout(spark, sf_dir):
     w = W(spark, sf_dir)
     return MT.payment_features(w.fct_orders, w.stg_order_payments)
@@ -229,8 +229,8 @@ def scalar_subquery(spark, sf_dir):
 
 # ------------------------------------------------------- aggregations
 @register("agg_group_sum_max", sql("""
-SELECT order_id, CAST(list_sum(amounts) AS DECIMAL(38,2)) AS total_payment_value,
-       list_max(instalments) AS max_installments FROM paid"""))
+SELECT order_id, CAST(paid AS DECIMAL(38,2)) AS total_payment_value,
+       installments AS max_installments FROM order_payments"""))
 def agg_group_sum_max(spark, sf_dir):
     return MT.payment_totals(W(spark, sf_dir).stg_order_payments)
 
@@ -238,7 +238,7 @@ def agg_group_sum_max(spark, sf_dir):
 @register("agg_group_expr", sql("""
 SELECT order_id, n_items AS item_count, CAST(goods AS DECIMAL(38,2)) AS total_price,
        CAST(freight AS DECIMAL(38,2)) AS total_freight_value,
-       CAST(both_sums AS DECIMAL(38,2)) AS total_order_value FROM bought"""))
+       CAST(total AS DECIMAL(38,2)) AS total_order_value FROM order_items"""))
 def agg_group_expr(spark, sf_dir):
     return MT.item_totals(W(spark, sf_dir).stg_order_items)
 
@@ -269,8 +269,7 @@ def agg_approx_distinct(spark, sf_dir):
 
 
 @register("agg_avg_min", sql("""
-SELECT customer_id, mean_score AS avg_review_score, worst AS min_review_score,
-       bad_share AS bad_review_rate FROM reviewers"""))
+SELECT customer_id, avg_review_score, min_review_score, bad_review_rate FROM reviewers"""))
 def agg_avg_min(spark, sf_dir):
     w = W(spark, sf_dir)
     return MT.review_features(w.fct_orders, w.stg_order_reviews)
