@@ -118,3 +118,34 @@ def test_token_files_in_order(spark):
     assert token_pack.read_token_files(man).count() == awkward_docs(spark).count()
     man = token_pack.write_token_files(empty_docs(spark), PATH, shared_files.new_folder(spark, "t"))
     assert token_pack.read_token_files(man).count() == 0
+
+
+def test_no_table_is_left_in_the_catalog(spark):
+    from tidemart.llm import queries
+    before = {t.name for t in spark.catalog.listTables()}
+    got = queries.op3_bpe_words(spark, "/root/testdata/sf0.001")
+    assert {t.name for t in spark.catalog.listTables()} == before
+    assert got.count() == 200
+
+
+def test_registered_token_queries_equal_whole_text_encoding(spark):
+    """ids, their digests, starts and checksums of the given tables."""
+    import hashlib
+    import zlib
+
+    import numpy as np
+    from tidemart.llm import queries
+    from tidemart.llm.bpe import default_tokenizer_path, load_tokenizer
+    sf, tok = "/root/testdata/sf0.001", load_tokenizer(default_tokenizer_path())
+    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
+    three, six, at = {}, {}, 0
+    for i, t in docs:
+        ids = tok.encode(t, add_special_tokens=False).ids
+        raw = np.array(ids, "<u4").tobytes()
+        back = tok.decode(ids, skip_special_tokens=False)
+        three[i] = (len(ids), hashlib.sha256(raw).hexdigest(), hashlib.sha256(back.encode()).hexdigest())
+        six[i] = (at, len(ids) + 1, zlib.crc32(raw + bytes(4)))
+        at += len(ids) + 1
+    assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256)
+            for r in queries.op3_bpe_words(spark, sf).collect()} == three
+    assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op6_token_files(spark, sf).collect()} == six

@@ -251,6 +251,7 @@ def encode(docs: DataFrame, tokenizer: str, *, text: str = "text", keep: list[st
      .write.bucketBy(parts, "chunk").option("compression", "zstd")
      .option("path", work_path(spark, "tables", name)).saveAsTable(name))
     chunks = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # external: the files stay, the name need not
     words = chunks.filter("bucket is not null").select("chunk", "bucket", "words")
     encoded = (words.repartition("bucket").sortWithinPartitions("bucket")
                .mapInArrow(_encode(tokenizer, CACHED_WORDS), "chunk string, bucket int, ids binary"))
