@@ -39,6 +39,8 @@ MIN_COUNT = 10
 LONGEST = 3
 KEEP_INSIDE_PERCENT = 50
 TOP = 2000
+#: Text that a task turns into arrays at once.
+SLICE_BYTES = 4 << 20
 #: Phrases of one trie: its size bounds what is collected and broadcast.
 BLOCK_PHRASES = 1 << 19
 
@@ -59,7 +61,7 @@ def _sliced(batches, work):
     told apart by language; ``group`` (a place in ``langs``) and ``word`` (a
     place in the spellings) are those of each id."""
     for b in batches:
-        for part in slices(b, 1):
+        for part in slices(b, 1, SLICE_BYTES):
             words = words_of(part.column(1), CLASSES)
             if len(words.ids):
                 named = part.column(0).dictionary_encode()
