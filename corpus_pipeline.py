@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemart.llm import bpe_words, decontaminate, line_dedup, quality_divergence, simhash
 from tidemart.llm.bpe import default_tokenizer_path
 from tidemart.llm.common import row_key, write_and_reread
-from tidemart.session import work_path
+from tidemart.session import remove, work_path, work_scope
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,11 +71,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each is written as Parquet and reread."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; each is written as Parquet and reread.
+    What a stage wrote on its way, and its input, go once its output is there."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
         path = work_path(spark, "pipeline", f"{k}-{uuid.uuid4().hex}")
-        out.write.parquet(path)
+        with work_scope(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
         docs = spark.read.schema(out.schema).parquet(path)
+        if last:
+            remove(spark, last)
+        last = path
     return docs

@@ -187,8 +187,9 @@ def profile(tables: dict[str, DataFrame]) -> DataFrame:
                        for i, c in enumerate(cols)])
         shown = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in cols]
         order = F.struct(*[F.struct(F.col(f"`{c}`").isNull(), F.col(f"`{c}`")) for c in cols])
-        first = (df.select(F.array(*shown).alias("_v"), order.alias("_o")).orderBy("_o").limit(SAMPLE_ROWS)
-                 .agg(F.sort_array(F.collect_list(F.struct("_o", "_v"))).alias("_s"))
+        # every task keeps its first rows by the plain columns; only those few are made into structs
+        first = (df.orderBy(*[F.col(f"`{c}`").asc_nulls_last() for c in cols]).limit(SAMPLE_ROWS)
+                 .agg(F.sort_array(F.collect_list(F.struct(order.alias("_o"), F.array(*shown).alias("_v")))).alias("_s"))
                  .select(F.col("_s._v").alias("_first")))
         rows = agg.select("_rows", F.explode(F.array(*[
             F.struct(F.lit(i + 1).alias("ordinal"), F.lit(c).alias("column_name"),

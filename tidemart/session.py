@@ -1,7 +1,7 @@
 """Spark session options and the shared work folder.
 
 The library never assumes a machine-local folder on a cluster: every table it
-writes (landing CSVs, raw tables, marts, models, checkpoints) lives under the
+writes (landing CSVs, raw tables, marts, models, passes) lives under the
 folder the cluster names in ``spark.checkpoint.dir``. Only when that setting is
 missing (a laptop, a unit test) and the master is local do we create one under
 the system temp folder; on a cluster master the missing setting is an error.
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -25,9 +26,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # range passes and multi-read frames are checkpointed; remove the files once
-    # the DataFrame that owns them is garbage-collected
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -75,10 +73,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 _RUN_ID = uuid.uuid4().hex[:12]
 
 
+_SCOPES: list[list[str]] = []
+
+
 def work_path(spark: SparkSession, *parts: str) -> str:
     """A path for written tables of this run, inside the shared folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     # inside the per-context uuid leaf of the checkpoint folder Spark returns, so
     # one run's files stay together
-    return "/".join([base, "tidemart", _RUN_ID, *parts])
+    path = "/".join([base, "tidemart", _RUN_ID, *parts])
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
 
+@contextmanager
+def work_scope(spark: SparkSession):
+    """Tables that are written inside are removed at the end: put work in it
+    whose result is written elsewhere before the end."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield
+    finally:
+        _SCOPES.remove(made)
+        for path in made:
+            remove(spark, path)
