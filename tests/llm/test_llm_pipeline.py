@@ -84,3 +84,19 @@ def test_columns_named_like_internal_ones_pass_through(spark):
         assert out.columns == docs.columns
         assert {tuple(r) for r in out.select(*names).distinct().collect()} <= {tuple(range(len(names)))}
     assert cp.token_stage(spark, docs, "/root/testdata/sf0.001").count() == docs.count()
+
+
+def test_only_the_result_stays_in_the_work_folder(spark):
+    import re
+    from pathlib import Path
+
+    from tidemart.session import work_path
+    root = Path(re.sub("^file:", "", work_path(spark)))
+
+    def tables():
+        return {p for d in ("tables", "pipeline") if (root / d).exists() for p in (root / d).iterdir()}
+    before = tables()
+    got = cp.run(spark, "/root/testdata/sf0.001")
+    new = tables() - before
+    assert {p.parent.name for p in new} == {"pipeline"} and len(new) == 1
+    assert got.count() > 0
