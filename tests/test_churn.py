@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tidemart.plans import churn as C
@@ -62,6 +63,15 @@ def test_baseline_gradient_vanishes(prep):
     assert len(g) == len(prep.features) + 1 and max(abs(r["gradient"]) for r in g) < 1e-2
 
 
+def test_baseline_scores_after_the_session_observed_rows(spark, prep):
+    seen = Observation()
+    spark.range(5).observe(seen, F.count(F.lit(1)).alias("rows")).collect()
+    assert seen.get["rows"] == 5
+    m = C.logistic_baseline(prep.train)
+    assert C.scored(m, prep.test).filter("churn_probability between 0 and 1").count() == prep.test.count()
+    assert C.linear_gap(m, prep.test) < 1e-6
+
+
 def test_saved_pipeline_scores_raw_rows(spark, ds, prep, tmp_path):
     model = C.gbt(3, 2.0).fit(prep.train.withColumn("w", C.active_weight(2.0)))
     C.save_model(prep.stages, model, prep.features, prep.med, 0.4, str(tmp_path / "m"), spark)
