@@ -70,3 +70,14 @@ def test_skipped_file_is_marked_and_can_fail(spark, tmp_path):
     assert r["status"] == "skipped, table is stale"
     with pytest.raises(RefreshFailed):
         refresh_all(spark, str(tmp_path / "none"), str(tmp_path / "out"), fail_on_skipped=True)
+
+
+def test_buckets_grow_with_the_landing_files(spark, tmp_path, monkeypatch):
+    from tidemart.plans import refresh
+    monkeypatch.setattr(refresh, "BUCKET_BYTES", 100)
+    for name, size in (("olist_orders_dataset.csv", 390), ("olist_order_items_dataset.csv", 1000)):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "part-0.csv").write_text("x" * size)
+    assert refresh.bucket_count(spark, str(tmp_path), 4) == 16
+    assert refresh.bucket_count(spark, str(tmp_path), 64) == 64
+    assert refresh.bucket_count(spark, str(tmp_path / "none"), 4) == 4
