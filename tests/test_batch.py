@@ -81,3 +81,14 @@ def test_buckets_grow_with_the_landing_files(spark, tmp_path, monkeypatch):
     assert refresh.bucket_count(spark, str(tmp_path), 4) == 16
     assert refresh.bucket_count(spark, str(tmp_path), 64) == 64
     assert refresh.bucket_count(spark, str(tmp_path / "none"), 4) == 4
+
+
+def test_materialised_models_read_the_written_fact(spark, monkeypatch):
+    from tidemart.keys import sources
+    seen, materialise = {}, sources.files.materialise
+    monkeypatch.setattr(sources.files, "materialise",
+                        lambda df, path: seen.setdefault(path.rpartition("/")[2], df) and materialise(df, path))
+    got = {r["model"]: r["rows"] for r in sources.table_materialise(spark, "/root/testdata/sf0.001").collect()}
+    assert set(got) == set(sources.MART_TABLES) == set(seen)
+    assert all("/fct_orders/" in f for f in seen["mart_churn_labels"].inputFiles())
+    assert not any(f.endswith("/customer.parquet") for f in seen["mart_customer_features"].inputFiles())
