@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from tidemart.operators.positions import write_and_reread
 from tidemart.plans import churn as C
 from tidemart.plans import shapley
 
@@ -57,6 +58,32 @@ def test_patience_keeps_more_than_one_tree(prep, tmp_path):
     assert set(names) == set(prep.features) and names["frequency"] > names["monetary"] >= 0
 
 
+def test_final_model_fits_no_round_again(prep, monkeypatch):
+    fitted, gbt = [], C.gbt
+    monkeypatch.setattr(C, "gbt", lambda rounds, w: fitted.append(rounds) or gbt(rounds, w))
+    b = C.final_model(prep.train, 3.0, rounds=40, patience=5)
+    assert fitted == [40] and b.best_round < 40
+    fit = prep.train.join(b.validation.select(C.KEY), C.KEY, "left_anti").withColumn("w", C.active_weight(3.0))
+    again = C.scored(gbt(b.best_round, 3.0).fit(fit), prep.test).select(C.KEY, F.col("churn_probability").alias("p"))
+    both = C.scored(b.model, prep.test).join(again, C.KEY)
+    assert both.count() == prep.test.count() and both.filter("abs(p - churn_probability) > 1e-9").isEmpty()
+    assert b.model.numFeatures == len(prep.features) and len(b.model.featureImportances) == len(prep.features)
+    # the last round is still the best: all rounds come next, not twice as many
+    fitted.clear()
+    monkeypatch.setattr(C, "FIRST_ROUNDS", 3)
+    b = C.final_model(prep.train, 3.0, rounds=9, patience=1)
+    assert fitted == [3, 9] and b.model.getNumTrees == b.best_round
+
+
+def test_dataset_builds_the_order_fact_once(spark, monkeypatch):
+    from tidemart.keys import churn as K
+    seen = {}
+    monkeypatch.setattr(K, "write_and_reread", lambda df, name: seen.setdefault(name, write_and_reread(df, name)))
+    monkeypatch.setattr(K.C, "ml_dataset", lambda f, labels: labels)
+    got = K.written_dataset(spark, "/root/testdata/sf0.001")
+    assert list(seen) == ["ml-orders", "ml-dataset"] and got.count() > 0
+
+
 def test_baseline_gradient_vanishes(prep):
     m = C.logistic_baseline(prep.train)
     g = C.stationarity(m, prep.train, len(prep.features)).collect()
