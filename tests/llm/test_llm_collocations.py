@@ -94,6 +94,32 @@ def test_trie_counts_random_phrases():
     assert {shapes[e]: int(counts[s]) for s, e in enumerate(trie.entry) if e >= 0} == {s: want[s] for s in shapes}
 
 
+def test_counting_phrases_takes_no_memory_per_slot():
+    """A task held several counters per slot, of which there are many times more than phrases."""
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    keys = np.array([rng.bytes(16) for _ in range(20000)], "S16")
+    shapes = np.unique(rng.integers(0, 20000, (30000, 3)), axis=0)
+    phrases, words = keys[shapes], rng.integers(2, 4, len(shapes))
+    phrases[words == 2, 2] = b""
+    _, once = np.unique(np.where(words == 2, 0, shapes[:, 2]) + 20000 * (shapes[:, 1] + 20000 * shapes[:, 0]),
+                        return_index=True)
+    trie = phrase_trie.build(phrases[once], words[once])
+    text, joined = shapes[rng.integers(0, len(shapes), 5000)].ravel(), np.ones(15000, bool)
+    joined[-1] = False
+    symbols = trie.symbols_of(keys)[text]
+    total = np.zeros(len(once), np.int64)
+    tracemalloc.start()
+    for _ in range(3):
+        trie.add_phrases(total, symbols, joined, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    slots = trie.count(symbols, joined, 3)
+    assert total.sum() > 0 and (total[trie.entry[trie.entry >= 0]] == 3 * slots[trie.entry >= 0]).all()
+    assert peak < 8 * len(trie.base)
+
+
 def test_bit_filter_misses_nothing(spark):
     rng = np.random.default_rng(1)
     keys = rng.integers(-2**63, 2**63 - 1, 5000)

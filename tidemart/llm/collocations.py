@@ -3,7 +3,7 @@
 Every candidate phrase is counted exactly by tries: the candidates, in blocks of
 bounded size, become double-array tries that are broadcast; a task advances the
 states of all text positions at once, level by level, and the counts of the
-accepting states are summed over the tasks.
+phrases are summed over the tasks.
 
 The candidates are Apriori-safe. Words are counted first. A pair of words is
 counted (by 64 bits of the words' keys, so never too low) where both words are frequent,
@@ -146,6 +146,7 @@ def candidates(texts: DataFrame, words: DataFrame, min_count: int = MIN_COUNT) -
     common = write_and_reread(keyed_words(words.filter(F.col("n") >= min_count)), "common-words")
     frequent = spark.sparkContext.broadcast(bit_filter.build(common, "k1"))
     pairs = write_and_reread(_gram_counts(texts, 2, frequent, min_count), "pairs")
+    frequent.unpersist()
     mixed = pairs.select(_mix_column(F.col("h1"), F.col("h2")).alias("h"))
     twos = spark.sparkContext.broadcast(bit_filter.build(mixed, "h"))
     triples = _gram_counts(texts, 3, twos, min_count)
@@ -206,17 +207,16 @@ def phrase_counts(texts: DataFrame, phrases: DataFrame, block_phrases: int = BLO
 def _counted(texts: DataFrame, shared, start: int) -> DataFrame:
     def run(batches):
         trie = shared.value
-        total = np.zeros(len(trie.base), np.int64)
+        total = np.zeros(int(trie.entry.max(initial=-1)) + 1, np.int64)
 
         def work(words, ids, langs, group, word):
             keys = _as_bytes(_keys(words, langs, group, word)).ravel()
-            total[:] += trie.count(trie.symbols_of(keys)[ids], words.joined, LONGEST)
+            trie.add_phrases(total, trie.symbols_of(keys)[ids], words.joined, LONGEST)
             return ()
         for _ in _sliced(batches, work):
             pass
-        slot = np.flatnonzero((total > 0) & (trie.entry >= 0))
-        yield pa.RecordBatch.from_arrays([pa.array(trie.entry[slot].astype(np.int64) + start), pa.array(total[slot])],
-                                         names=["position", "f"])
+        place = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(place + start), pa.array(total[place])], names=["position", "f"])
 
     part = texts.mapInArrow(run, "position long, f long")
     return part.groupBy("position").agg(F.sum("f").alias("f"))

@@ -9,6 +9,7 @@ the root's base is 0, so the state after one word is the word's symbol.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -41,10 +42,9 @@ class Trie(NamedTuple):
         to = self.base[states] + symbols
         return np.where(self.parent[to] == states, to, -1)
 
-    def count(self, symbols: np.ndarray, joined: np.ndarray, longest: int) -> np.ndarray:
-        """Occurrences per slot: every position starts at the root, all of them
-        advance level by level, accepting slots are counted."""
-        counts = np.zeros(len(self.base), np.int64)
+    def reached(self, symbols: np.ndarray, joined: np.ndarray, longest: int) -> Iterator[np.ndarray]:
+        """States after two words, three, ...: every position starts at the
+        root, all of them advance level by level."""
         state = self.first(symbols)
         place = np.flatnonzero(state >= 0)
         state = state[place]
@@ -57,10 +57,23 @@ class Trie(NamedTuple):
             on = state >= 0
             place, state = place[on], state[on]
             if not len(place):
-                break
+                return
+            yield state
+
+    def count(self, symbols: np.ndarray, joined: np.ndarray, longest: int) -> np.ndarray:
+        """Occurrences per slot."""
+        counts = np.zeros(len(self.base), np.int64)
+        for state in self.reached(symbols, joined, longest):
             counts += np.bincount(state, minlength=len(counts))
         return counts
 
+    def add_phrases(self, total: np.ndarray, symbols: np.ndarray, joined: np.ndarray, longest: int) -> None:
+        """Add the occurrences of each phrase to ``total``: slots, of which there
+        are many more, are not counted."""
+        for state in self.reached(symbols, joined, longest):
+            ended = self.entry[state]
+            total += np.bincount(ended[ended >= 0], minlength=len(total))
+
 
 def _place(parent: np.ndarray, base: np.ndarray, heads: np.ndarray, owner: np.ndarray, sym: np.ndarray,
            rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
