@@ -149,3 +149,30 @@ def test_registered_token_queries_equal_whole_text_encoding(spark):
     assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256)
             for r in queries.op3_bpe_words(spark, sf).collect()} == three
     assert {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op6_token_files(spark, sf).collect()} == six
+
+
+def test_new_words_are_encoded_in_runs():
+    """A tokenizer call for each new word took more time than the limit allows."""
+    class Counted:
+        calls = 0
+
+        def __init__(self, tok):
+            self.tok = tok
+
+        def __getattr__(self, name):
+            Counted.calls += 1
+            return getattr(self.tok, name)
+
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abcdeéñ#\n$12中") for _ in range(rng.randrange(4, 12))).strip() for _ in range(2000)]
+    cache = token_pack.WordCache(PATH, 1 << 20)
+    cache.tok = cache.words.tok = Counted(cache.words.tok)
+    text = " ".join(words)
+    assert cache.encode(text).tolist() == whole(text)
+    assert Counted.calls < 100
+    assert cache.encode(text).tolist() == whole(text) and Counted.calls < 101
+    # runs of words that end in white space, take spaces away or hold pieces of a space
+    for t in random_texts(3000, 6) + ["a <|endoftext|> b", "\na b\n", "Ġ Ġa aĠ", "a ", " a", " "]:
+        fresh = token_pack.WordCache(PATH, 1 << 20)
+        fresh.words.clear()
+        assert fresh.encode(t).tolist() == whole(t), t

@@ -12,21 +12,34 @@ from __future__ import annotations
 import re
 from functools import lru_cache
 
+import numpy as np
+
 #: A space between two characters that no definition of white space includes.
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
-#: White space other than the space and the line feed.
-_ODD_SPACE = re.compile(r"[^\S \n]")
+#: White space other than the space and the line feed (the last one is U+3000).
+_ODD_SPACES = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 
 
 def split_words(text: str) -> list[str]:
     """Words of a text: joined by one space they give the text. All but the
     first are encoded with that space in front."""
     # every space is a break where none has white space beside it
-    if ("  " in text or " \n" in text or "\n " in text or _ODD_SPACE.search(text)):
+    if "  " in text or " \n" in text or "\n " in text or any(c in text for c in _ODD_SPACES):
         return _BREAK.split(text)
     return text.split(" ")
 
 
+@lru_cache(maxsize=4)
+def begins_with_space(path: str) -> np.ndarray:
+    """Of each id: whether its piece begins with a space (special tokens: no)."""
+    tok = load_tokenizer(path)
+    special = tok.get_added_tokens_decoder()
+    vocab = tok.get_vocab(with_added_tokens=True)
+    out = np.zeros(max(vocab.values(), default=0) + 1, bool)
+    out[[i for piece, i in vocab.items() if i not in special and piece.startswith(chr(256 + 32))]] = True
+    return out
+
+
 @lru_cache(maxsize=4)
 def load_tokenizer(path: str):
     """The tokenizer of a file, once per process, without truncation or

@@ -25,13 +25,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shared_files
-from .bpe import load_tokenizer, split_words, vocabulary_size
+from .bpe import begins_with_space, load_tokenizer, split_words, vocabulary_size
 from .common import write_and_reread
 
 MAGIC = b"TPK1"
 BLOCK_IDS = 1 << 16
 FILE_IDS = 1 << 24
 CACHED_WORDS = 2_000_000
+#: New words that are encoded in one call.
+RUN_WORDS = 64
 END_ID = 0
 # fixed layout: bits per id, ids per block, ids, documents, place of the
 # document table, place of the block offsets, magic
@@ -149,9 +151,10 @@ class _SpacedWords(dict):
     """Ids (as bytes) of words with a space in front, encoded when first met.
     Bounded: the words met since the last turn, and those of the turn before."""
 
-    def __init__(self, tok, most: int):
+    def __init__(self, path: str, most: int):
         super().__init__()
-        self.tok, self.most, self.before = tok, most, {}
+        self.tok, self.spaced = load_tokenizer(path), begins_with_space(path)
+        self.most, self.before = most, {}
 
     def __missing__(self, word: str) -> bytes:
         ids = self.before.get(word)
@@ -160,6 +163,24 @@ class _SpacedWords(dict):
         self[word] = ids
         return ids
 
+    def many(self, words: list[str]) -> list[bytes]:
+        """Ids of each word. New words are encoded in runs: in a run, a word's
+        first piece is the only one of it that begins with a space."""
+        found = [*map(self.get, words)]
+        if None not in found:
+            return found
+        new = [w for w in dict.fromkeys(w for w, ids in zip(words, found) if ids is None)
+               if w and w not in self.before and w == w.strip() and " " not in w]
+        for a in range(0, len(new), RUN_WORDS):
+            run = new[a:a + RUN_WORDS]
+            [made] = self.tok.encode_batch_fast([" " + " ".join(run)], add_special_tokens=False)
+            ids = np.array(made.ids, np.uint32)
+            begin = np.flatnonzero(self.spaced[ids])
+            if len(begin) == len(run):  # else a special token took a space: one by one
+                raw, cut = ids.tobytes(), [*(4 * begin).tolist(), 4 * len(ids)]
+                self.update((w, raw[x:y]) for w, x, y in zip(run, cut, cut[1:]))
+        return [*map(self.__getitem__, words)]
+
     def turn(self) -> None:
         if len(self) > self.most // 2:
             self.before = dict(self)
@@ -169,7 +190,7 @@ class _SpacedWords(dict):
 @lru_cache(maxsize=1)
 def _spaced_words(path: str, most: int) -> _SpacedWords:
     """Kept from task to task of a Python worker."""
-    return _SpacedWords(load_tokenizer(path), most)
+    return _SpacedWords(path, most)
 
 
 class WordCache:
@@ -181,7 +202,7 @@ class WordCache:
     def encode(self, text: str) -> np.ndarray:
         words = split_words(text)
         first = array("I", self.tok.encode(words[0], add_special_tokens=False).ids).tobytes()
-        ids = first + b"".join(map(self.words.__getitem__, words[1:]))
+        ids = first + b"".join(self.words.many(words[1:]))
         self.words.turn()
         return np.frombuffer(ids, np.uint32)
 
