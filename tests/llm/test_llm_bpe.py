@@ -30,6 +30,45 @@ def test_words_encode_alone_as_in_the_text():
         assert ids == whole(t), t
 
 
+def test_word_parts_encode_alone_as_in_the_word():
+    assert bpe.cuts_at_classes(PATH)
+    rng = random.Random(4)
+    some = ["a", "Bc", "é", "ß", "12", "_", ".", "...", "$$", "\n", "|>", "'s", "<|endoftext|>", "\t", "×", "中"]
+    cut = 0
+    for _ in range(20000):
+        w = rng.choice(some[:9]) + "".join(rng.choice(some) for _ in range(rng.randrange(0, 5)))
+        parts = bpe.word_parts(w)
+        if parts is not None:
+            cut += 1
+            assert "".join(parts) == w
+            assert [i for k, p in enumerate(parts) for i in whole(p if k else " " + p)] == whole(" " + w), w
+    assert cut > 2000
+
+
+def test_words_met_before_are_not_encoded_again_with_signs_behind_them(monkeypatch):
+    """Token files: a word with a stop, a line or another sign behind it needs no new encoding."""
+    rng = random.Random(5)
+    stems = ["".join(rng.choice("abcdeorst") for _ in range(9)) for _ in range(300)]
+    ends = ["", ".", ",", "!", "$$$", ".\nSo", ",\nSo", "12"]
+    text = "x " + " ".join(s + e for e in ends for s in stems)
+    cache, sent = token_pack.WordCache(PATH, 1 << 10 | 3), []
+
+    class Counting:
+        def encode(self, x, **k):
+            sent.append(x)
+            return bpe.load_tokenizer(PATH).encode(x, **k)
+
+        def encode_batch_fast(self, xs, **k):
+            sent.extend(w for x in xs for w in x.split())
+            return bpe.load_tokenizer(PATH).encode_batch_fast(xs, **k)
+
+    monkeypatch.setattr(cache.words, "tok", Counting())
+    assert cache.encode(text).tolist() == whole(text)
+    assert 300 <= len(sent) < 330
+    for t in random_texts(3000, 6):
+        assert cache.encode(t).tolist() == whole(t), t
+
+
 @pytest.mark.parametrize("chunk_bytes,buckets", [(32 << 20, 1024), (200, 7)])
 def test_word_table_round_trip(spark, chunk_bytes, buckets):
     rows = list(enumerate(random_texts(300))) + [(500, None), (501, ""), (501, ""), (None, "x y")]

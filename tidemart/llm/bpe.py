@@ -9,6 +9,7 @@ stay inside one word.
 
 from __future__ import annotations
 
+import json
 import re
 from functools import lru_cache
 
@@ -18,6 +19,27 @@ import numpy as np
 _BREAK = re.compile(r"(?<=\S) (?=\S)")
 #: White space other than the space and the line feed (the last one is U+3000).
 _ODD_SPACES = tuple(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
+#: Runs that the byte-level pre-tokenizer keeps whole and apart: letters, digits,
+#: ASCII signs but ``'`` (contractions) and ``<`` (special tokens), a lone line feed.
+_PART = r"[A-Za-zÀ-ÖØ-öø-ÿ]++|[0-9]++|[!-&(-/:;=-@\[-`{-~]++|\n(?!\n)"
+_PARTS, _WHOLE = re.compile(_PART), re.compile(f"(?:{_PART})++")
+
+
+def word_parts(word: str) -> list[str] | None:
+    """Parts of a word that are encoded alone as in the word, the first one with
+    the space that stands in front of the word; None for words of other characters."""
+    return _PARTS.findall(word) if _WHOLE.fullmatch(word) else None
+
+
+@lru_cache(maxsize=4)
+def cuts_at_classes(path: str) -> bool:
+    """Whether a tokenizer's words fall apart as ``word_parts`` says."""
+    conf = json.loads(load_tokenizer(path).to_str())
+    pre = conf.get("pre_tokenizer") or {}
+    return (conf.get("normalizer") is None and pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
+            and not pre.get("add_prefix_space") and conf["model"].get("dropout") is None
+            and all("<" in t["content"] and not (t["lstrip"] or t["rstrip"] or t["single_word"])
+                    for t in conf.get("added_tokens") or []))
 
 
 def split_words(text: str) -> list[str]:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import shared_files
-from .bpe import begins_with_space, load_tokenizer, split_words, vocabulary_size
+from .bpe import begins_with_space, cuts_at_classes, load_tokenizer, split_words, vocabulary_size, word_parts
 from .common import write_and_reread
 
 MAGIC = b"TPK1"
@@ -154,7 +154,8 @@ class _SpacedWords(dict):
     def __init__(self, path: str, most: int):
         super().__init__()
         self.tok, self.spaced = load_tokenizer(path), begins_with_space(path)
-        self.most, self.before = most, {}
+        self.parts = word_parts if cuts_at_classes(path) else lambda word: None
+        self.most, self.before, self.inner = most, {}, {}
 
     def __missing__(self, word: str) -> bytes:
         ids = self.before.get(word)
@@ -164,27 +165,48 @@ class _SpacedWords(dict):
         return ids
 
     def many(self, words: list[str]) -> list[bytes]:
-        """Ids of each word. New words are encoded in runs: in a run, a word's
-        first piece is the only one of it that begins with a space."""
+        """Ids of each word. New words are cut into parts, so that a word met
+        before is not encoded again with a stop or a line behind it, and encoded
+        in runs: in a run, a word's first piece is the only one of it that
+        begins with a space."""
         found = [*map(self.get, words)]
         if None not in found:
             return found
-        new = [w for w in dict.fromkeys(w for w, ids in zip(words, found) if ids is None)
-               if w and w not in self.before and w == w.strip() and " " not in w]
+        cut, new = [], {}
+        for w in dict.fromkeys(w for w, ids in zip(words, found) if ids is None):
+            if w in self.before:
+                continue
+            parts = None if w.isalpha() else self.parts(w)
+            if parts and len(parts) > 1:
+                cut.append((w, parts))
+                w = parts[0]
+                if w in self or w in self.before:
+                    continue
+            if w and w == w.strip() and " " not in w:
+                new[w] = None
+        new = [*new]
         for a in range(0, len(new), RUN_WORDS):
             run = new[a:a + RUN_WORDS]
             [made] = self.tok.encode_batch_fast([" " + " ".join(run)], add_special_tokens=False)
-            ids = np.array(made.ids, np.uint32)
-            begin = np.flatnonzero(self.spaced[ids])
-            if len(begin) == len(run):  # else a special token took a space: one by one
-                raw, cut = ids.tobytes(), [*(4 * begin).tolist(), 4 * len(ids)]
-                self.update((w, raw[x:y]) for w, x, y in zip(run, cut, cut[1:]))
-        return [*map(self.__getitem__, words)]
+            raw = array("I", made.ids).tobytes()
+            ends = np.flatnonzero(self.spaced[np.frombuffer(raw, np.uint32)])
+            if len(ends) == len(run):  # else a special token took a space: one by one
+                ends = [*(4 * ends).tolist(), len(raw)]
+                self.update((w, raw[x:y]) for w, x, y in zip(run, ends, ends[1:]))
+        inner = self.inner  # parts without a space in front
+        if cut and (new := [*{p: None for _, parts in cut for p in parts[1:] if p not in inner}]):
+            made = self.tok.encode_batch_fast(new, add_special_tokens=False)
+            inner.update((p, array("I", m.ids).tobytes()) for p, m in zip(new, made))
+        for w, parts in cut:
+            self[w] = self[parts[0]] + b"".join([inner[p] for p in parts[1:]])
+        return [self[w] if ids is None else ids for w, ids in zip(words, found)]
 
     def turn(self) -> None:
         if len(self) > self.most // 2:
             self.before = dict(self)
             self.clear()
+        if len(self.inner) > self.most // 8:
+            self.inner.clear()
 
 
 @lru_cache(maxsize=1)
