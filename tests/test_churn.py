@@ -178,3 +178,64 @@ def test_a_constant_model_fails_its_keys(spark, prep, monkeypatch, tmp_path):
     assert {r.beats_constant for r in K.ml_boosted_trees(spark, "").collect()} == {True}
     assert {tuple(r)[1:] for r in K.ml_score_all(spark, "").collect()} == {(True, True, True)}
     assert {r.adds_up for r in K.ml_feature_importance(spark, "").collect()} == {True}
+
+
+def _margins(model, df, name):
+    return model.transform(df).select(C.KEY, C.vector_to_array("rawPrediction")[1].alias(name))
+
+
+def test_grown_trees_are_sparks_however_rows_are_dealt(spark):
+    """Large nodes only: in small ones several splits part the rows alike, and
+    Spark chooses among these by the rounding of its sums."""
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+
+    from tidemart.plans import boosting
+    rng = random.Random(5)
+    rows = []
+    for i in range(3000):
+        x = [rng.choice([0.0, rng.gauss(0, 3)]), float(rng.randrange(6)), rng.random(), round(rng.random() * 40)]
+        rows.append((f"c{i}", [float(v) for v in x], int(x[0] + x[1] * x[2] + rng.gauss(0, 1) > 1)))
+    df = spark.createDataFrame(rows, "customer_id string, x array<double>, is_churned int")
+    df = df.withColumn("features", array_to_vector("x")).withColumns({"w3": C.active_weight(3), "w8": C.active_weight(8)})
+    booster = boosting.Booster(8, 0.2, 3, C.SEED, C.LABEL)
+    grown = {n: booster.fit_each(df, ["w3", "w8"], tasks=n) for n in (1, 3)}
+    for i, w in enumerate(("w3", "w8")):
+        spark_model = GBTClassifier(labelCol=C.LABEL, weightCol=w, maxIter=8, stepSize=0.2, maxDepth=3).fit(df)
+        want = _margins(spark_model, df, "want")
+        one, three = (_margins(grown[n][i], df, f"from{n}") for n in (1, 3))
+        got = want.join(one, C.KEY).join(three, C.KEY)
+        assert got.count() == 3000 and got.filter("from1 != from3").isEmpty()
+        assert got.filter("abs(from1 - want) > 1e-9").isEmpty()
+        assert grown[3][i].totalNumNodes == spark_model.totalNumNodes
+        assert max(abs(a - b) for a, b in zip(grown[3][i].featureImportances, spark_model.featureImportances)) < 1e-9
+
+
+def test_rounds_are_not_jobs(spark, prep):
+    sc = spark.sparkContext
+    sc.setJobGroup("boosting", "thirty rounds")
+    try:
+        model = C.gbt(30, 3.0).fit(prep.train.withColumn("w", C.active_weight(3.0)))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert model.getNumTrees == 30
+    assert len(sc.statusTracker().getJobIdsForGroup("boosting")) < 30
+
+
+def test_booster_refuses_rows_it_cannot_use(spark, prep):
+    df = prep.train.withColumn("w", F.lit(1.0))
+    for bad in (df.withColumn(C.LABEL, F.lit(None).cast("int")), df.withColumn("w", F.lit(0.0)), df.filter("false")):
+        with pytest.raises(ValueError, match="rows without"):
+            C.gbt(2, 1.0).fit(bad)
+
+
+def test_split_points_follow_weights_and_zeros():
+    import numpy as np
+
+    from tidemart.plans import boosting
+    one = lambda *v: np.array(v, float)
+    assert boosting.split_points(one(3, 1, 1), one(1, 1, 1), 3.0, 31) == [2.0]
+    assert boosting.split_points(one(5, 5), one(1, 2), 3.0, 31) == []
+    assert boosting.split_points(one(0, 0, -1, 2), one(1, 1, 1, 1), 4.0, 31) == [-0.5, 1.0]
+    assert boosting.split_points(np.arange(1.0, 9), np.ones(8), 8.0, 3) == [2.5, 4.5, 6.5]
+    assert boosting.split_points(one(1, 2, 3, 4), one(9, 1, 1, 1), 12.0, 2) == [1.5, 2.5]
