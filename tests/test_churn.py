@@ -239,3 +239,21 @@ def test_split_points_follow_weights_and_zeros():
     assert boosting.split_points(one(0, 0, -1, 2), one(1, 1, 1, 1), 4.0, 31) == [-0.5, 1.0]
     assert boosting.split_points(np.arange(1.0, 9), np.ones(8), 8.0, 3) == [2.5, 4.5, 6.5]
     assert boosting.split_points(one(1, 2, 3, 4), one(9, 1, 1, 1), 12.0, 2) == [1.5, 2.5]
+
+
+@pytest.mark.parametrize("total", [900.0, 100.0])
+def test_a_sample_heavier_than_its_share_makes_more_thresholds(spark, monkeypatch, total):
+    """As in Spark, they are all tried; the last one parts the labels here."""
+    import numpy as np
+    from pyspark.ml.functions import array_to_vector
+
+    from tidemart.plans import boosting
+    points = boosting.split_points(np.arange(1.0, 1001), np.ones(1000), total, boosting.BINS - 1)
+    assert len(points) >= boosting.BINS * 1000 // total - 1 > boosting.BINS
+    monkeypatch.setattr(boosting.Booster, "_points", lambda *_: [[points, []]])
+    rows = [(f"c{i}", [float(i), 0.0], int(i > points[-1])) for i in range(1, 1001)]
+    df = spark.createDataFrame(rows, "customer_id string, x array<double>, is_churned int")
+    df = df.withColumns({"features": array_to_vector("x"), "w": F.lit(1.0)})
+    model, = boosting.Booster(2, 0.2, 1, C.SEED, C.LABEL).fit_each(df, ["w"], tasks=2)
+    assert f"<= {points[-1]}" in model.toDebugString
+    assert C.scored(model, df).filter(F.col("prediction") != F.col(C.LABEL)).isEmpty()
