@@ -53,6 +53,23 @@ def test_equals_brute_force_in_any_blocks(spark, block):
     assert want and got(collocations.collocations(docs, top=25, block_phrases=block)) == want
 
 
+def test_passes_do_not_grow_with_the_blocks(spark):
+    """Every block read all texts again, so time grew with the square of the input."""
+    r = random.Random(4)
+    rows = [("en", " ".join(f"w{r.randrange(12)}" for _ in range(200))) for _ in range(60)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    sc, jobs, found = spark.sparkContext, [], []
+    for block in (10_000, 10):
+        sc.setJobGroup(f"block {block}", "collocations")
+        try:
+            found.append(got(collocations.collocations(docs, block_phrases=block)))
+        finally:
+            sc.setLocalProperty("spark.jobGroup.id", None)
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"block {block}")))
+    assert found[0] == found[1] == brute(rows, 10, 2000) and len(found[0]) > 100
+    assert jobs[1] <= jobs[0] + 5
+
+
 def test_awkward_rows_and_hot_row(spark):
     docs = awkward_docs(spark)
     assert got(collocations.collocations(docs, min_count=2, top=50)) == brute(
@@ -94,6 +111,18 @@ def test_trie_counts_random_phrases():
     assert {shapes[e]: int(counts[s]) for s, e in enumerate(trie.entry) if e >= 0} == {s: want[s] for s in shapes}
 
 
+def test_trie_counts_only_phrases_that_begin_at_given_places():
+    keys = np.array([bytes([65 + i]) * 16 for i in range(4)], "S16")
+    phrases = np.array([[keys[0], keys[1], b""], [keys[0], keys[1], keys[2]], [keys[1], keys[2], b""]], "S16")
+    trie = phrase_trie.build(phrases, np.array([2, 3, 2]))
+    paths = np.array([[0, 1, 2], [0, 1, -1], [1, 2, 0], [3, 1, 2]])  # places among the keys
+    symbols = np.append(trie.symbols_of(keys), -1)[paths]
+    joined = np.tile([True, True, False], len(paths))
+    total = np.zeros(3, np.int64)
+    trie.add_phrases(total, symbols.ravel(), joined, 3, np.arange(0, 12, 3), np.array([5, 7, 11, 13], np.uint32))
+    assert total.tolist() == [12, 5, 11]
+
+
 def test_counting_phrases_takes_no_memory_per_slot():
     """A task held several counters per slot, of which there are many times more than phrases."""
     import tracemalloc

@@ -1,9 +1,10 @@
 """Phrase collocation mining (op 11).
 
-Every candidate phrase is counted exactly by tries: the candidates, in blocks of
-bounded size, become double-array tries that are broadcast; a task advances the
-states of all text positions at once, level by level, and the counts of the
-phrases are summed over the tasks.
+Every candidate phrase is counted exactly by tries: the candidates are dealt out
+by their first two words to blocks of bounded size, each of which becomes a
+double-array trie in a task of its own; the text positions at which a phrase may
+begin are dealt out alike, in one pass over the texts whatever the number of
+blocks, and the task advances their states together, level by level.
 
 The candidates are Apriori-safe. Words are counted first. A pair of words is
 counted (by 64 bits of the words' keys, so never too low) where both words are frequent,
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,8 +43,8 @@ KEEP_INSIDE_PERCENT = 50
 TOP = 2000
 #: Text that a task turns into arrays at once.
 SLICE_BYTES = 4 << 20
-#: Phrases of one trie: its size bounds what is collected and broadcast.
-BLOCK_PHRASES = 1 << 19
+#: Phrases of one trie, on average: its size bounds what a task holds.
+BLOCK_PHRASES = 1 << 17
 
 
 def _mix(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -150,33 +152,26 @@ def candidates(texts: DataFrame, words: DataFrame, min_count: int = MIN_COUNT) -
     mixed = pairs.select(_mix_column(F.col("h1"), F.col("h2")).alias("h"))
     twos = spark.sparkContext.broadcast(bit_filter.build(mixed, "h"))
     triples = _gram_counts(texts, 3, twos, min_count)
-    grams = pairs.select("h1", "h2", F.lit(None).cast("long").alias("h3")).unionByName(triples)
 
     def named(k: int) -> DataFrame:
         return common.select(F.col("lang").alias(f"lang{k}"), F.col("word").alias(f"w{k}"), F.col("k1").alias(f"h{k}"),
                              F.col("k1").alias(f"k{k}1"), F.col("k2").alias(f"k{k}2"))
 
-    found = (grams.join(named(1), "h1").join(named(2), "h2").join(named(3), "h3", "left")
-             .filter("lang1 = lang2 and (h3 is null or lang3 = lang1)"))
-    return found.select(F.col("lang1").alias("lang"), "w1", "w2", "w3", *_PATH)
+    def spelt(grams: DataFrame, words: int) -> DataFrame:
+        for k in range(1, words + 1):
+            grams = grams.join(named(k), f"h{k}")
+        same = " and ".join(f"lang{k} = lang1" for k in range(2, words + 1))
+        return grams.filter(same).withColumnRenamed("lang1", "lang")
+
+    three = spelt(triples, 3).select("lang", "w1", "w2", "w3", *_PATH)
+    two = spelt(pairs, 2).select("lang", "w1", "w2", *[c for c in _PATH if c[1] != "3"])
+    return two.unionByName(three, allowMissingColumns=True).select("lang", "w1", "w2", "w3", *_PATH)
 
 
 #: Columns of a phrase's word keys, two a word.
 _PATH = [f"k{k}{i}" for k in range(1, LONGEST + 1) for i in (1, 2)]
 
 
-def _trie_of(block: DataFrame) -> phrase_trie.Trie:
-    """The trie of a block: ``place`` (from 0), ``words`` and the word keys."""
-    got = block.select("place", "words", *_PATH).toArrow().combine_chunks()
-    order = np.argsort(got.column("place").to_numpy())
-    paths = np.empty((len(order), len(_PATH)), np.int64)
-    for i, c in enumerate(_PATH):
-        paths[:, i] = got.column(c).to_numpy()
-    words = got.column("words").to_numpy()[order]
-    del got
-    return phrase_trie.build(_as_bytes(paths[order]), words)
-
-
 def _as_bytes(keys: np.ndarray) -> np.ndarray:
     """Rows of int64 pairs as rows of 16-byte keys."""
     return np.ascontiguousarray(keys).view("S16")
@@ -184,42 +179,107 @@ def _as_bytes(keys: np.ndarray) -> np.ndarray:
 
 def phrase_counts(texts: DataFrame, phrases: DataFrame, block_phrases: int = BLOCK_PHRASES) -> DataFrame:
     """``phrases`` (as ``candidates`` gives them) plus ``f``: all their
-    occurrences in ``texts``; phrases that do not occur are left out. All blocks
-    are run, one after the other."""
+    occurrences in ``texts``; phrases that do not occur are left out.
+
+    Phrases are dealt out to blocks by their first two words, and so are, in one
+    pass over the texts, the places at which one may begin. Each block is one
+    task, which builds the trie of its phrases and runs its places through it."""
     spark = texts.sparkSession
     spelt = [f"w{k}" for k in range(1, LONGEST + 1)]
-    words = sum(F.col(w).isNotNull().cast("int") for w in spelt)
-    whole = phrases.withColumns({c: F.coalesce(c, F.lit(0)) for c in _PATH}).withColumn("words", words)
-    placed = with_positions(whole, ["lang", *spelt])
-    total = placed.count()
-    sums = None
-    for start in range(0, total, block_phrases):
-        block = placed.filter(F.col("position").between(start, start + block_phrases - 1))
-        shared = spark.sparkContext.broadcast(_trie_of(block.withColumn("place", F.col("position") - start)))
-        part = write_and_reread(_counted(texts, shared, start), "phrase-counts")
-        shared.unpersist()
-        sums = part if sums is None else sums.unionByName(part)
-    if sums is None:
+    phrases = write_and_reread(phrases, "candidates")
+    total = phrases.count()
+    if not total:
         return phrases.drop(*_PATH).withColumn("f", F.lit(None).cast("long")).limit(0)
-    return placed.drop(*_PATH, "words").join(sums, "position").drop("position")
+    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // block_phrases))
+    pair = _mix_column(F.col("k11"), F.col("k21"))
+    triple = _mix_column(F.col("k11"), _mix_column(F.col("k21"), F.col("k31")))
+    known = phrases.select(F.when(F.col("w3").isNull(), pair).otherwise(triple).alias("h"))
+    wanted = spark.sparkContext.broadcast(bit_filter.build(known, "h"))
+    both = phrases.withColumn("block", F.pmod(pair, F.lit(blocks)).cast("int")).unionByName(
+        _places(texts, wanted, blocks), allowMissingColumns=True)
+    dealt = both.repartitionById(blocks, F.col("block")).sortWithinPartitions(F.col("paths").isNotNull())
+    columns = ["lang", *spelt, *_PATH, "keys", "paths", "times"]
+    schema = ", ".join(f"{c} string" for c in ["lang", *spelt]) + ", f long"
+    counted = write_and_reread(dealt.select(*columns).mapInArrow(_counted, schema), "phrase-counts")
+    wanted.unpersist()
+    return counted
+
+
+def _places(texts: DataFrame, wanted, blocks: int) -> DataFrame:
+    """block, keys, paths, times: for each slice of text and block, the distinct
+    runs of words that may begin with one of the block's phrases (those whose hash
+    is in the bit set ``wanted``, a broadcast). ``keys``: 16 bytes a word;
+    ``paths``: first, second and third words as places among the keys, from 1 (0:
+    the run has two words); ``times``: how often each run occurs."""
+    def packed(keys: np.ndarray, path: np.ndarray, times: np.ndarray) -> tuple[bytes, bytes, bytes]:
+        used = np.unique(path[path >= 0])
+        local = np.where(path >= 0, np.searchsorted(used, path) + 1, 0)
+        size = np.uint16 if len(used) < 1 << 16 else np.uint32
+        return keys[used].tobytes(), local.astype(size).tobytes(), times.astype(np.uint32).tobytes()
 
-
-def _counted(texts: DataFrame, shared, start: int) -> DataFrame:
     def run(batches):
-        trie = shared.value
-        total = np.zeros(int(trie.entry.max(initial=-1)) + 1, np.int64)
+        def work(found, ids, langs, group, word):
+            keys = _keys(found, langs, group, word)
+            h = np.ascontiguousarray(keys[:, 0])
+            at = np.flatnonzero(found.joined)
+            second, third = ids[at + 1], ids[np.minimum(at + 2, len(ids) - 1)]
+            pair = _mix(h[ids[at]], h[second])
+            triple = _mix(h[ids[at]], _mix(h[second], h[third]))
+            three = found.joined[at + 1] & bit_filter.contains(wanted.value, triple)
+            some = np.flatnonzero(three | bit_filter.contains(wanted.value, pair))
+            if not len(some):
+                return
+            path = np.stack([ids[at], second, np.where(three, third, -1)])[:, some]
+            _, head = np.unique(path[0] * np.int64(len(word)) + path[1], return_inverse=True)
+            _, once, times = np.unique(head * np.int64(len(word) + 1) + path[2] + 1, return_index=True, return_counts=True)
+            block = pair[some[once]] % blocks
+            order = np.argsort(block, kind="stable")
+            parts = np.split(order, np.flatnonzero(np.diff(block[order])) + 1)
+            rows = [packed(keys, path[:, once[p]], times[p]) for p in parts]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array([block[p[0]] for p in parts], np.int32)), *map(pa.array, zip(*rows))],
+                names=["block", "keys", "paths", "times"])
+        yield from _sliced(batches, work)
 
-        def work(words, ids, langs, group, word):
-            keys = _as_bytes(_keys(words, langs, group, word)).ravel()
-            trie.add_phrases(total, trie.symbols_of(keys)[ids], words.joined, LONGEST)
-            return ()
-        for _ in _sliced(batches, work):
-            pass
-        place = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(place + start), pa.array(total[place])], names=["position", "f"])
-
-    part = texts.mapInArrow(run, "position long, f long")
-    return part.groupBy("position").agg(F.sum("f").alias("f"))
+    return texts.mapInArrow(run, "block int, keys binary, paths binary, times binary")
+
+
+def _counted(batches):
+    """The counts of one block: its phrases come first, then its places."""
+    phrases, trie, total = [], None, None
+    for b in batches:
+        ours = pc.is_null(b.column("paths"))
+        phrases.append(b.filter(ours).select(range(1 + LONGEST + len(_PATH))))
+        places = b.filter(pc.invert(ours))
+        if not places.num_rows:
+            continue
+        if trie is None:
+            known = pa.Table.from_batches(phrases).combine_chunks()
+            trie, total = _trie_of(known), np.zeros(known.num_rows, np.int64)
+        for keys, paths, times in zip(*(places.column(c) for c in ("keys", "paths", "times"))):
+            times = np.frombuffer(times.as_buffer(), np.uint32)
+            size = np.uint16 if paths.as_buffer().size == 2 * LONGEST * len(times) else np.uint32
+            path = np.frombuffer(paths.as_buffer(), size).reshape(LONGEST, -1)
+            symbols = np.append(-1, trie.symbols_of(np.frombuffer(keys.as_buffer(), "S16")))[path.T]
+            joined = np.ones(path.T.shape, bool)
+            joined[:, -1] = False
+            trie.add_phrases(total, symbols.ravel(), joined.ravel(), LONGEST, np.arange(0, path.size, LONGEST), times)
+    if trie is not None:
+        there = np.flatnonzero(total)
+        out = known.take(pa.array(there)).combine_chunks()
+        for part in out.select(range(1 + LONGEST)).append_column("f", pa.array(total[there])).to_batches():
+            yield part
+    del phrases, trie
+    release_memory()
+
+
+def _trie_of(phrases: pa.Table) -> phrase_trie.Trie:
+    """The trie of a block of phrases with their word keys; rows by their place."""
+    paths = np.empty((phrases.num_rows, len(_PATH)), np.int64)
+    for i, c in enumerate(_PATH):
+        paths[:, i] = phrases.column(c).fill_null(0).to_numpy()
+    words = LONGEST - phrases.column(f"w{LONGEST}").is_null().to_numpy().astype(int)
+    return phrase_trie.build(_as_bytes(paths), words)
 
 
 def _phrase(first: int, last: int) -> Column:

@@ -42,37 +42,46 @@ class Trie(NamedTuple):
         to = self.base[states] + symbols
         return np.where(self.parent[to] == states, to, -1)
 
-    def reached(self, symbols: np.ndarray, joined: np.ndarray, longest: int) -> Iterator[np.ndarray]:
-        """States after two words, three, ...: every position starts at the
-        root, all of them advance level by level."""
-        state = self.first(symbols)
-        place = np.flatnonzero(state >= 0)
-        state = state[place]
+    def reached(self, symbols: np.ndarray, joined: np.ndarray, longest: int,
+                begins: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places and states after two words, three, ...: every position (or those
+        of ``begins``, by their place there) starts at the root, all of them
+        advance level by level."""
+        place = np.arange(len(symbols)) if begins is None else begins
+        state = self.first(symbols[place])
+        start = np.flatnonzero(state >= 0)
+        place, state = place[start], state[start]
         for _ in range(longest - 1):
             on = joined[place]
-            place, state = place[on] + 1, state[on]
+            start, place, state = start[on], place[on] + 1, state[on]
             on = symbols[place] >= 0
-            place, state = place[on], state[on]
+            start, place, state = start[on], place[on], state[on]
             state = self.step(state, symbols[place])
             on = state >= 0
-            place, state = place[on], state[on]
+            start, place, state = start[on], place[on], state[on]
             if not len(place):
                 return
-            yield state
+            yield start, state
 
     def count(self, symbols: np.ndarray, joined: np.ndarray, longest: int) -> np.ndarray:
         """Occurrences per slot."""
         counts = np.zeros(len(self.base), np.int64)
-        for state in self.reached(symbols, joined, longest):
+        for _, state in self.reached(symbols, joined, longest):
             counts += np.bincount(state, minlength=len(counts))
         return counts
 
-    def add_phrases(self, total: np.ndarray, symbols: np.ndarray, joined: np.ndarray, longest: int) -> None:
+    def add_phrases(self, total: np.ndarray, symbols: np.ndarray, joined: np.ndarray, longest: int,
+                    begins: np.ndarray | None = None, times: np.ndarray | None = None) -> None:
         """Add the occurrences of each phrase to ``total``: slots, of which there
-        are many more, are not counted."""
-        for state in self.reached(symbols, joined, longest):
+        are many more, are not counted. With ``begins``, only phrases that begin
+        there count, each as often as ``times`` says."""
+        for start, state in self.reached(symbols, joined, longest, begins):
             ended = self.entry[state]
-            total += np.bincount(ended[ended >= 0], minlength=len(total))
+            on = ended >= 0
+            if times is None:
+                total += np.bincount(ended[on], minlength=len(total))
+            else:
+                np.add.at(total, ended[on], times[start[on]])
 
 
 def _place(parent: np.ndarray, base: np.ndarray, heads: np.ndarray, owner: np.ndarray, sym: np.ndarray,
