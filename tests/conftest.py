@@ -12,3 +12,15 @@ def spark():
     s = build_session("local[4]", app="tidemart-tests", shuffle_partitions=4)
     yield s
     s.stop()
+
+
+@pytest.fixture(scope="module", autouse=True)
+def no_tables_left():
+    """Each file finds a session without named tables: those of the batch would
+    stand for the models that a statement of another file names."""
+    yield
+    from pyspark.sql import SparkSession
+    s = SparkSession.getActiveSession()
+    for db in s.catalog.listDatabases() if s else ():
+        if db.name != "default":
+            s.sql(f"DROP DATABASE `{db.name}` CASCADE")
